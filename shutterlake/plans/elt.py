@@ -186,6 +186,7 @@ def run_elt(
     extract_only: bool = False,
     transform_only: bool = False,
     recorded_at: dt.datetime | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Extract, load and transform; one summary row per step.
 
@@ -214,7 +215,7 @@ def run_elt(
 
         if not phase("extract", "extract_photos", extract) or extract_only:
             return summary()
-        loaded = phase("load", "load_photos", lambda: load_photos(raw, root, recorded_at))
+        loaded = phase("load", "load_photos", lambda: load_photos(raw, root, recorded_at, buckets))
         log = read_search_log(spark, f"{landing}/searches")
         if log is not None:
             loaded &= phase("load", "load_trending_data", lambda: load_search_trends(log, root))

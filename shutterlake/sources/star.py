@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from shutterlake.schemas import RAW_PHOTO
 
 AS_OF = "2001-08-01"  # the newest order date at every scale factor
 LINE_ORDER = (
@@ -200,8 +203,10 @@ def raw_photos(spark: SparkSession, folder: str) -> DataFrame:
                 F.struct(F.floor(F.col("o_totalprice") / 100).cast("bigint").alias("total"))
                 .alias("downloads"),
                 F.struct((key % 500).cast("bigint").alias("total")).alias("likes"),
+                F.lit(None).cast("struct<total:bigint>").alias("views"),
             ).alias("statistics"),
         )
+        .to(StructType.fromDDL(RAW_PHOTO))
     )
 
 

@@ -80,26 +80,32 @@ def merge(
     Only the partitions the batch touches are read and rewritten, and nothing else of the
     table moves. The new partitions are staged in the shared folder first, because a path
     cannot be read and overwritten in one job; a failed run can simply be repeated. Keys that
-    the batch lacks stay in the table.
+    the batch lacks stay in the table. The batch is read several times: pass a checkpointed
+    frame unless it is cheap to recompute.
     """
     spark = batch.sparkSession
     target = f"{root.rstrip('/')}/{name}"
     current = read_table_or_none(spark, root, name)
-    new = batch
-    if current is not None:
-        # one value per partition of the table: bounded by the table's layout, not its rows
-        touched = [row[0] for row in batch.select(partition).distinct().collect()]
-        old = current.where(F.col(partition).isin(touched)) if touched else current.limit(0)
-        new = upsert(old, batch, [*keys, *([] if partition in keys else [partition])], keep, touch)
+    if current is None:
+        _by_partition(batch, partition).write.partitionBy(partition).parquet(target)
+        return spark.read.schema(batch.schema).parquet(target)
+    # one value per partition of the table: bounded by the table's layout, not its rows
+    touched = [row[0] for row in batch.select(partition).distinct().collect()]
+    old = current.where(F.col(partition).isin(touched)) if touched else current.limit(0)
+    columns = [*keys, *([] if partition in keys else [partition])]
+    new = _by_partition(upsert(old, batch, columns, keep, touch), partition)
     staged = scratch(spark, f"stage-{name}")
     new.write.partitionBy(partition).parquet(staged)
     (
-        spark.read.schema(new.schema)
-        .parquet(staged)
-        .hint("rebalance", partition)
+        _by_partition(spark.read.schema(new.schema).parquet(staged), partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(target)
     )
     return spark.read.schema(new.schema).parquet(target)
+
+
+def _by_partition(df: DataFrame, partition: str) -> DataFrame:
+    """Rows of a partition brought together for few files; Spark splits the large ones."""
+    return df.hint("rebalance", partition)

@@ -21,27 +21,31 @@ PHOTO_COLUMNS = ("id", "photo_date", *COUNTERS)
 SPLIT_ABOVE = 1_000
 
 
+def _tagged():
+    return F.filter("bag", lambda t: t["tag"].isNotNull())
+
+
 def _named(bags: DataFrame) -> DataFrame:
     """Bags without NULL tags, counters defaulted, and the creation day."""
     return bags.select(
         "id",
         F.to_date("created_at").alias("photo_date"),
         *[X.or_zero(c).alias(c) for c in COUNTERS],
-        F.filter("bag", lambda t: t["tag"].isNotNull()).alias("bag"),
+        _tagged().alias("bag"),
     )
 
 
 def tag_pairs(
-    bags: DataFrame, self_pairs: bool = False, split_above: int | None = SPLIT_ABOVE
+    bags: DataFrame, diagonal: bool = False, split_above: int | None = SPLIT_ABOVE
 ) -> DataFrame:
     """One row per photo and distinct tag pair, ``tag1 < tag2``, with its ``weight``.
 
     The weight is the number of position pairs behind the row: the product of the two
-    multiplicities, or n(n-1)/2 for a tag paired with itself. Photos above ``split_above``
-    distinct tags are spread over tasks by their first tag; ``None`` skips that branch where
-    the lists are known to be short.
+    multiplicities, or n(n-1)/2 on the ``diagonal``, where a tag meets itself. Photos above
+    ``split_above`` distinct tags are spread over tasks by their first tag; ``None`` skips
+    that branch where the lists are known to be short.
     """
-    first = 1 if self_pairs else 2
+    first = 1 if diagonal else 2
     bags = _named(bags)
 
     def heads(rows):
@@ -57,29 +61,28 @@ def tag_pairs(
         short, long = F.size("bag") <= split_above, F.size("bag") > split_above
         spread = heads(bags.where(long)).repartition("id", "i")
         pairs = tails(heads(bags.where(short))).unionByName(tails(spread))
-    product = F.col("a.n") * F.col("b.n")
-    if self_pairs:
-        n = F.col("a.n")
-        own = (n * (n - 1) / 2).cast("bigint")
-        product = F.when(F.col("a.tag") == F.col("b.tag"), own).otherwise(product)
+    n = F.col("a.n")
+    weight = n * F.col("b.n")
+    if diagonal:
+        own = F.col("a.tag") == F.col("b.tag")
+        weight = F.when(own, (n * (n - 1) / 2).cast("bigint")).otherwise(weight)
     return pairs.select(
         *PHOTO_COLUMNS,
         F.col("a.tag").alias("tag1"),
         F.col("b.tag").alias("tag2"),
-        product.alias("weight"),
-    ).where("weight > 0")
+        weight.alias("weight"),
+    )
 
 
-def tag_cooccurrence(
-    bags: DataFrame,
-    as_of: dt.date | str,
-    min_count: int = 2,
-    split_above: int | None = SPLIT_ABOVE,
+def pair_statistics(
+    bags: DataFrame, min_count: int = 2, split_above: int | None = SPLIT_ABOVE
 ) -> DataFrame:
-    """Per pair: distinct photos and days, totals, means, first and last date.
+    """Statistics per pair of tags that share a photo, the diagonal (t, t) included.
 
-    Totals and means are over position pairs, hence the weights. The distinct days make Spark
-    aggregate by (pair, day) first, which also splits a pair that is on most photos.
+    Totals and means are over position pairs, hence the weights. The diagonal counts the
+    photos on which a tag is paired with any other, so one pass over the photos serves both
+    the pairs and their rates. The distinct days make Spark aggregate by (pair, day) first,
+    which also splits a pair that is on most photos.
     """
     weight = F.sum("weight")
 
@@ -87,7 +90,7 @@ def tag_cooccurrence(
         return F.sum(F.col("weight") * F.col(name))
 
     return (
-        tag_pairs(bags, split_above=split_above)
+        tag_pairs(bags.where(F.size(_tagged()) >= 2), True, split_above)
         .groupBy("tag1", "tag2")
         .agg(
             F.count("*").alias("cooccurrence_count"),
@@ -102,26 +105,34 @@ def tag_cooccurrence(
             F.max("photo_date").alias("latest_cooccurrence_date"),
         )
         .where(F.col("cooccurrence_count") >= min_count)
-        .withColumn("analysis_date", X.day(as_of))
     )
 
 
-def tag_pair_rate(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """Adds the share of tag1's paired photos that also carry tag2, in percent.
+def tag_cooccurrence(
+    bags: DataFrame, as_of: dt.date | str, min_count: int = 2
+) -> DataFrame:
+    """Per pair: distinct photos and days, totals, means, first and last date."""
+    pairs = pair_statistics(bags, min_count).where("tag1 < tag2")
+    return pairs.withColumn("analysis_date", X.day(as_of))
+
+
+def tag_pair_rate(bags: DataFrame, as_of: dt.date | str, min_count: int = 2) -> DataFrame:
+    """The pairs with the share of tag1's paired photos that also carry tag2, in percent.
 
-    A tag is paired on every photo with at least two distinct tags, so the base needs the
-    bags only, not the pairs.
+    The statistics are checkpointed because pairs and diagonal are two readers of them. A
+    pair's diagonal is at least as frequent as the pair, so ``min_count`` never drops it.
     """
-    base = (
-        _named(bags)
-        .where(F.size("bag") >= 2)
-        .select(F.explode("bag.tag").alias("tag1"))
-        .groupBy("tag1")
-        .agg(F.count("*").alias("_paired"))
+    statistics = checkpointed(pair_statistics(bags, min_count))
+    paired = statistics.where("tag1 = tag2").select(
+        "tag1", F.col("cooccurrence_count").alias("_paired")
     )
     rate = F.round(F.col("cooccurrence_count").cast("double") / F.col("_paired") * 100, 2)
     return (
-        pairs.join(base, "tag1").withColumn("tag1_cooccurrence_rate", rate).drop("_paired")
+        statistics.where("tag1 < tag2")
+        .join(paired, "tag1")
+        .withColumn("tag1_cooccurrence_rate", rate)
+        .drop("_paired")
+        .withColumn("analysis_date", X.day(as_of))
     )
 
 
@@ -133,9 +144,9 @@ def mart_tag_cooccurrence(
 ) -> DataFrame:
     """Pairs with rates and the two global ranks, most frequent first.
 
-    The pairs are checkpointed once and counted; only a small result is ranked in one task.
+    The pairs are counted first; only a small result is ranked in one task.
     """
-    pairs = checkpointed(tag_pair_rate(tag_cooccurrence(bags, as_of, min_count), bags))
+    pairs = tag_pair_rate(bags, as_of, min_count)
     small = pairs.count() <= single_task_rows
     rank = ranking.rank_in_one_task if small else ranking.rank_by_ranges
     by_count = [F.desc("cooccurrence_count"), F.asc("tag1"), F.asc("tag2")]
@@ -149,7 +160,7 @@ def tag_pairs_positional(
 ) -> DataFrame:
     """Pairs over list positions i < j: duplicates count, and a tag can pair with itself."""
     return (
-        tag_pairs(bags, self_pairs=True)
+        tag_pairs(bags, diagonal=True)
         .groupBy("tag1", "tag2")
         .agg(F.sum("weight").alias("cooccurrence_count"))
         .where(F.col("cooccurrence_count") >= min_count)

@@ -360,9 +360,7 @@ def tag_cooccurrence(spark, folder):
 
 @query
 def tag_pair_rate(spark, folder):
-    bags = _stg_bags(spark, folder)
-    pairs = cooccurrence.tag_cooccurrence(bags, AS_OF)
-    return cooccurrence.tag_pair_rate(pairs, bags).select(
+    return cooccurrence.tag_pair_rate(_stg_bags(spark, folder), AS_OF).select(
         "tag1", "tag2", "cooccurrence_count", "tag1_cooccurrence_rate"
     )
 

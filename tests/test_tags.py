@@ -77,7 +77,7 @@ def test_pairs_brute_force(photos, bags):
                     weight[t1, t2] += 1
                     paired[t1].add(p["id"])
                     paired[t2].add(p["id"])
-    pairs = co.tag_pair_rate(co.tag_cooccurrence(bags, DAY), bags).collect()
+    pairs = co.tag_pair_rate(bags, DAY).collect()
     assert {(r["tag1"], r["tag2"]) for r in pairs} == {
         k for k, v in photo_sets.items() if len(v) >= 2
     }
@@ -99,12 +99,12 @@ def test_positional_brute_force(photos, bags):
     assert got == sorted((*k, n) for k, n in expected.items() if n >= 2)
 
 
-@pytest.mark.parametrize("self_pairs", [False, True])
-def test_split_photos_give_the_same_pairs(bags, self_pairs):
+@pytest.mark.parametrize("diagonal", [False, True])
+def test_split_photos_give_the_same_pairs(bags, diagonal):
     names = ("id", "tag1", "tag2", "weight")
-    whole = rows(co.tag_pairs(bags, self_pairs, split_above=None), *names)
-    assert rows(co.tag_pairs(bags, self_pairs, split_above=3), *names) == whole
-    assert rows(co.tag_pairs(bags, self_pairs), *names) == whole
+    whole = rows(co.tag_pairs(bags, diagonal, split_above=None), *names)
+    assert rows(co.tag_pairs(bags, diagonal, split_above=3), *names) == whole
+    assert rows(co.tag_pairs(bags, diagonal), *names) == whole
 
 
 def test_short_lists_and_null_tags(make_photos):

@@ -11,23 +11,27 @@ from shutterlake.schemas import REQUIRED
 CORRUPT = "_corrupt"
 
 
-def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Loadable records, and the rest with a reason.
+def judge(raw: DataFrame) -> DataFrame:
+    """``raw`` with a ``reason`` for every record that cannot be loaded, NULL for the others.
 
     A record is bad if it is not valid JSON of the schema, or if a required field is missing
     or a timestamp does not parse.
     """
     missing = [
-        F.when(
-            (X.parse_ts(c) if c.endswith("_at") else F.col(c)).isNull(), F.lit(c)
-        )
+        F.when((X.parse_ts(c) if c.endswith("_at") else F.col(c)).isNull(), F.lit(c))
         for c in REQUIRED["photos"]
     ]
-    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
-    reason = F.when(corrupt, "malformed").otherwise(
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise(
         F.nullif(F.concat_ws(",", *missing), F.lit(""))
     )
-    judged = raw.withColumn("reason", reason)
+    return raw.withColumn("reason", reason)
+
+
+def split_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Loadable records, and the rest with a reason. Judged records are taken as they are."""
+    judged = raw if "reason" in raw.columns else judge(raw)
     good = judged.where("reason is null").drop("reason", CORRUPT)
     return good, judged.where("reason is not null")
 

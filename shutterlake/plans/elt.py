@@ -59,8 +59,13 @@ def run_step(
 def load_photos(
     raw: DataFrame, root: str, recorded_at: dt.datetime, buckets: int = BUCKETS
 ) -> int:
-    """Upserts good records into photos, appends their snapshots, quarantines the rest."""
+    """Upserts good records into photos, appends their snapshots, quarantines the rest.
+
+    Records that are not judged yet are parsed and staged once, for both kinds of reader.
+    """
     spark = raw.sparkSession
+    if "reason" not in raw.columns:
+        raw = checkpointed(normalize.judge(raw))
     good, bad = normalize.split_bad(raw)
     tables.append(bad.select("id", normalize.CORRUPT, "reason"), root, "quarantine")
     stamp = F.lit(recorded_at).cast("timestamp")
@@ -207,15 +212,19 @@ def run_elt(
         return spark.createDataFrame(results, SUMMARY)
 
     if not transform_only:
-        raw = L.photo_batch(L.read_photos(spark, f"{landing}/photos"), batch_size)
+        staged = {}
 
         def extract():
-            # every column is named so that the corrupt-record column is filled
-            return raw.select(F.count(F.struct(*raw.columns)).alias("n")).first()["n"]
+            raw = L.photo_batch(L.read_photos(spark, f"{landing}/photos"), batch_size)
+            staged["photos"] = checkpointed(normalize.judge(raw))
+            return staged["photos"].count()
+
+        def load():
+            return load_photos(staged["photos"], root, recorded_at, buckets)
 
         if not phase("extract", "extract_photos", extract) or extract_only:
             return summary()
-        loaded = phase("load", "load_photos", lambda: load_photos(raw, root, recorded_at, buckets))
+        loaded = phase("load", "load_photos", load)
         log = read_search_log(spark, f"{landing}/searches")
         if log is not None:
             loaded &= phase("load", "load_trending_data", lambda: load_search_trends(log, root))

@@ -87,6 +87,8 @@ def test_failed_extract_stops_and_is_logged(spark, tmp_path):
     drop(tmp_path / "landing", "x.json", '{"id": "p"}')
     got = elt.run_elt(spark, str(tmp_path / "landing"), root, DAY, extract_only=True).collect()
     assert [(r["step"], r["records"]) for r in got] == [("extract_photos", 1)]
+    none = elt.run_elt(spark, str(tmp_path / "nowhere"), root, DAY).collect()
+    assert [(r["step"], r["success"]) for r in none] == [("extract_photos", False)]
 
     def fail():
         raise ValueError("no")

@@ -592,26 +592,14 @@ def check_foreign_key(spark, folder):
 @query
 def store_failures(spark, folder):
     """The failing rows of two checks, written and read back."""
-    root = scratch(spark, "failures")
     lines = star.table(spark, folder, "lineitem")
-    duplicate = quality.check_unique(lines, ["l_orderkey", "l_linenumber"])
     orders = star.table(spark, folder, "orders")
     empty = quality.orphans(orders, "o_orderkey", lines, "l_orderkey")
-    elt.store_failures(duplicate.select("l_orderkey", "l_linenumber"), root, "unique_lines")
-    elt.store_failures(empty.select("o_orderkey", "o_orderstatus"), root, "orders_without_lines")
-    first = tables.read_table(spark, root, "failures/unique_lines")
-    second = tables.read_table(spark, root, "failures/orders_without_lines")
-    return first.select(
-        F.lit("unique_lines").alias("check_name"),
-        F.col("l_orderkey").alias("key"),
-        F.col("l_linenumber").cast("string").alias("detail"),
-    ).unionByName(
-        second.select(
-            F.lit("orders_without_lines").alias("check_name"),
-            F.col("o_orderkey").alias("key"),
-            F.col("o_orderstatus").alias("detail"),
-        )
-    )
+    checks = {
+        "unique_lines": quality.check_unique(lines, ["l_orderkey", "l_linenumber"]),
+        "orders_without_lines": empty.select("o_orderkey", "o_orderstatus"),
+    }
+    return elt.store_failures(checks, scratch(spark, "failures"))
 
 
 @query

@@ -1,6 +1,6 @@
 """The batch job: landing files to tables, analyses and marts, with a run log.
 
-    spark-submit -m shutterlake.plans.elt --landing DIR --root DIR [--analysis-date D]
+    python -m shutterlake.plans.elt --landing DIR --root DIR [--analysis-date D]
 """
 
 from __future__ import annotations
@@ -9,7 +9,9 @@ import argparse
 import datetime as dt
 import sys
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ def job_log(
     now = dt.datetime.now(dt.timezone.utc)
     ended = now if status in ("completed", "failed") else None
     row = (job_name, job_type, status, now, ended, records, error, meta or {})
-    tables.append(spark.createDataFrame([row], schemas.ETL_JOBS), root, "etl_jobs")
+    log = spark.createDataFrame([row], schemas.ETL_JOBS).coalesce(1)
+    tables.append(log, root, "etl_jobs")
 
 
 def run_step(
@@ -141,21 +144,21 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
         return len(models)
 
     def test_tables():
-        failures = 0
+        checks = {}
         for name, keys in declared.items():
             df = tables.read_table_or_none(spark, root, name)
             if df is not None:
-                found = store_failures(quality.check_unique(df, keys), root, f"unique_{name}")
                 required = schemas.REQUIRED.get(name, keys)
-                nulls = quality.check_not_null(df, required)
-                failures += found + store_failures(nulls, root, f"not_null_{name}")
+                checks[f"unique_{name}"] = quality.check_unique(df, keys)
+                checks[f"not_null_{name}"] = quality.check_not_null(df, required)
         stats = tables.read_table_or_none(spark, root, "photo_statistics")
         if stats is not None:
             lost = quality.check_foreign_key(stats, "photo_id", photos, "id")
-            failures += store_failures(lost, root, "foreign_key_photo_statistics")
+            checks["foreign_key_photo_statistics"] = lost
+        failures = store_failures(checks, root).count()
         if failures:
-            raise ValueError(f"{failures} failing rows, kept below failures/")
-        return 0
+            raise ValueError(f"{failures} failing rows, kept in the table failures")
+        return len(checks)
 
     results = []
     for step in (
@@ -174,9 +177,15 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
     return results
 
 
-def store_failures(failing: DataFrame, root: str, check: str) -> int:
-    """Keeps the failing rows of a check and returns their number."""
-    return tables.publish(failing, f"failures/{check}", "table", root).count()
+def store_failures(checks: dict[str, DataFrame], root: str) -> DataFrame:
+    """Keeps the failing rows of all checks as (check_name, failing), ``failing`` as JSON."""
+    parts = [
+        failing.select(
+            F.lit(name).alias("check_name"), F.to_json(F.struct(*failing.columns)).alias("failing")
+        )
+        for name, failing in checks.items()
+    ]
+    return tables.publish(reduce(DataFrame.unionByName, parts), "failures", "table", root)
 
 
 SUMMARY = "phase string, step string, success boolean, records bigint, error string"
@@ -195,7 +204,8 @@ def run_elt(
 ) -> DataFrame:
     """Extract, load and transform; one summary row per step.
 
-    ``landing`` holds the folders photos/ and, optionally, searches/. Load needs a successful
+    ``landing`` holds the folder photos/ and, optionally, details/ and statistics/, which
+    complete the photo records, and searches/, a search log. Load needs a successful
     extract, transform a successful load; a failure keeps what earlier phases wrote.
     """
     recorded_at = recorded_at or dt.datetime.now(dt.timezone.utc)
@@ -215,7 +225,7 @@ def run_elt(
         staged = {}
 
         def extract():
-            raw = L.photo_batch(L.read_photos(spark, f"{landing}/photos"), batch_size)
+            raw = L.photo_batch(read_records(spark, landing), batch_size)
             staged["photos"] = checkpointed(normalize.judge(raw))
             return staged["photos"].count()
 
@@ -234,27 +244,62 @@ def run_elt(
     return summary()
 
 
-def read_search_log(spark: SparkSession, path: str) -> DataFrame | None:
+def read_records(spark: SparkSession, landing: str) -> DataFrame:
+    """The photo feed, completed by the details and statistics feeds where they landed."""
+    basic = L.read_photos(spark, f"{landing}/photos")
+    details = or_none(lambda: L.read_feed(spark, f"{landing}/details", "photos"))
+    stats = or_none(lambda: L.read_feed(spark, f"{landing}/statistics", "photo_statistics"))
+    if details is None and stats is None:
+        return basic
+    if details is None:
+        details = basic.limit(0)
+    if stats is None:
+        found = details.where("statistics is not null").select("id", "statistics.*")
+        stats = found.unionByName(basic.where("statistics is not null").select("id", "statistics.*"))
+    else:
+        stats = _valid(stats)
+    newest = [F.desc("updated_at"), F.asc(F.xxhash64(F.to_json(F.struct(*details.columns))))]
+    details = latest(_valid(details, keep=True), ["id"], newest)
+    totals = [F.desc(f"{c}.total") for c in snapshots.DELTAS]  # totals only grow
+    return normalize.enrich(basic, details, latest(stats, ["id"], totals))
+
+
+def _valid(feed: DataFrame, keep: bool = False) -> DataFrame:
+    """A feed's well-formed records with an id."""
+    valid = feed.where(F.col("id").isNotNull() & F.col(normalize.CORRUPT).isNull())
+    return valid if keep else valid.drop(normalize.CORRUPT)
+
+
+def or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist."""
     try:
-        return spark.read.schema("search_term string, searched_at timestamp").json(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def read_search_log(spark: SparkSession, path: str) -> DataFrame | None:
+    schema = "search_term string, searched_at timestamp"
+    return or_none(lambda: spark.read.schema(schema).json(path))
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Run the photo trends job")
     parser.add_argument("--landing", required=True)
     parser.add_argument("--root", required=True)
     parser.add_argument("--analysis-date", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--batch-size", type=int)
+    parser.add_argument("--log-level", choices=["DEBUG", "INFO", "WARN", "ERROR"], default="WARN")
     only = parser.add_mutually_exclusive_group()
     only.add_argument("--extract-only", action="store_true")
     only.add_argument("--transform-only", action="store_true")
     args = parser.parse_args(argv)
+    spark = get_session()
+    spark.sparkContext.setLogLevel(args.log_level)
     summary = run_elt(
-        get_session(),
+        spark,
         args.landing,
         args.root,
         args.analysis_date,

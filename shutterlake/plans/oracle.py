@@ -520,10 +520,12 @@ with {PHOTOS}
 select id, count(*) as "rows" from photos
 where id not in (select cast(user_id as varchar) from events) group by id""",
     "store_failures": """
-select 'unique_lines' as check_name, l_orderkey as key, cast(l_linenumber as varchar) as detail
+select 'unique_lines' as check_name, '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' ||
+ l_linenumber || ',"rows":' || count(*) || '}' as failing
 from lineitem group by l_orderkey, l_linenumber having count(*) > 1
 union all
-select 'orders_without_lines', o_orderkey, o_orderstatus from orders
+select 'orders_without_lines',
+ '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}' from orders
 where o_orderkey not in (select l_orderkey from lineitem)""",
     "evolve_schema": f"""
 with {STG}, {TAG_ANALYSIS}
@@ -544,7 +546,7 @@ union all select 'transform', 'analyze_photographers', true, count(distinct c_cu
 union all select 'transform', 'generate_daily_trends', true,
  least(count(*), 1), null from good where cast(parsed as date) = date '2001-08-01'
 union all select 'transform', 'build_marts', true, 5, null
-union all select 'transform', 'test_tables', true, 0, null""",
+union all select 'transform', 'test_tables', true, 13, null""",
     "job_log": f"""
 with {RAW},
 done as (

@@ -14,8 +14,12 @@ from shutterlake.session import scratch
 BUCKET = "bucket"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+def read_table(
+    spark: SparkSession, root: str, name: str, merge_schema: bool = False
+) -> DataFrame:
+    """A table; ``merge_schema`` also finds columns that only its newer files have."""
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    return reader.parquet(f"{root.rstrip('/')}/{name}")
 
 
 def read_table_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:

@@ -72,6 +72,9 @@ def test_publish(spark, tmp_path):
     assert rows(spark.table("a_view")) == rows(df)
     assert rows(tables.publish(df, "a_table", "table", str(tmp_path))) == rows(df)
     assert tables.read_table_or_none(spark, str(tmp_path), "none") is None
+    tables.append(df.withColumn("extra", F.lit(7)), str(tmp_path), "a_table")
+    merged = tables.read_table(spark, str(tmp_path), "a_table", merge_schema=True)
+    assert rows(merged, "id", "extra") == [("1", 7), ("1", None)]
     with pytest.raises(ValueError):
         tables.publish(df, "x", "table")
 

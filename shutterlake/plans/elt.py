@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shutterlake import schemas
 from shutterlake.functions import columns as X
@@ -38,11 +39,21 @@ def job_log(
     meta: dict[str, str] | None = None,
 ) -> None:
     """Appends one run-log row. A job leaves two: 'running', then 'completed' or 'failed'."""
-    now = dt.datetime.now(dt.timezone.utc)
-    ended = now if status in ("completed", "failed") else None
-    row = (job_name, job_type, status, now, ended, records, error, meta or {})
-    log = spark.createDataFrame([row], schemas.ETL_JOBS).coalesce(1)
-    tables.append(log, root, "etl_jobs")
+    ended = F.current_timestamp() if status in ("completed", "failed") else F.lit(None)
+    pairs = [F.lit(str(part)) for item in (meta or {}).items() for part in item]
+    values = {
+        "job_name": F.lit(job_name),
+        "job_type": F.lit(job_type),
+        "status": F.lit(status),
+        "started_at": F.current_timestamp(),
+        "completed_at": ended,
+        "records_processed": F.lit(records),
+        "error_message": F.lit(error),
+        "meta_data": F.create_map(*pairs),
+    }
+    types = StructType.fromDDL(schemas.ETL_JOBS)
+    row = [values[f.name].cast(f.dataType).alias(f.name) for f in types]
+    tables.append(spark.range(1).coalesce(1).select(*row), root, "etl_jobs")
 
 
 def run_step(

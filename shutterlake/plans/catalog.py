@@ -482,12 +482,12 @@ def overview_stats(spark, folder):
 @query
 def search_photos(spark, folder):
     photos = star.text_photos(spark, folder)
-    rows = reads.search_photos(photos, "LICENSE", limit=20, offset=5)
+    rows = reads.search_photos(photos, "tHe", limit=20, offset=5)
     flat = rows.select(
         "id", F.md5("description").alias("description_md5"), "likes", "downloads",
         F.col("user.username").alias("username"), F.col("user.name").alias("name"),
     )
-    matches = reads.search_matches(photos, "LICENSE")
+    matches = reads.search_matches(photos, "tHe")
     return _page(flat, reads.pagination(matches, 20, 5))
 
 

@@ -169,7 +169,7 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
         failures = store_failures(checks, root).count()
         if failures:
             raise ValueError(f"{failures} failing rows, kept in the table failures")
-        return len(checks)
+        return failures
 
     results = []
     for step in (

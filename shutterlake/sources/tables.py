@@ -91,7 +91,9 @@ def merge(
     target = f"{root.rstrip('/')}/{name}"
     current = read_table_or_none(spark, root, name)
     if current is None:
-        _by_partition(batch, partition).write.partitionBy(partition).parquet(target)
+        # append, because an earlier merge of an empty batch left the folder without data
+        first = _by_partition(batch, partition).write.mode("append")
+        first.partitionBy(partition).parquet(target)
         return spark.read.schema(batch.schema).parquet(target)
     # one value per partition of the table: bounded by the table's layout, not its rows
     touched = [row[0] for row in batch.select(partition).distinct().collect()]

@@ -54,6 +54,14 @@ def test_merge_rewrites_touched_partitions_only(spark, tmp_path):
     assert rows(tables.merge(again.limit(0), root, "t", ["k", "day"], "day")) == rows(got)
 
 
+def test_merge_of_nothing(spark, tmp_path):
+    df = tables.with_bucket(frame(spark, ("1", 1, "a")), "id", 2)
+    for batch, expected in ((df.limit(0), []), (df.limit(0), []), (df, [("1", 1, "a")]),
+                            (df.limit(0), [("1", 1, "a")])):
+        got = tables.merge(batch, str(tmp_path), "t", ["id"], tables.BUCKET)
+        assert rows(got, "id", "v", "seen") == expected
+
+
 def test_merge_by_bucket_keeps_first_seen(spark, tmp_path):
     root = str(tmp_path)
     first = tables.with_bucket(frame(spark, *[(str(i), i, "old") for i in range(50)]), "id", 4)

@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: a photo counts as recent for this many days.
+RECENT_DAYS = 30
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

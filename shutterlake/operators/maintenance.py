@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from shutterlake.operators.upsert import latest
 
+# Operation name and text of the cleanup log.
+OPERATION = "duplicate_user_cleanup"
+DETAILS = "Cleaned up duplicate users for email %s. Kept ID: %s, Removed IDs: %s"
 # Removed ids listed in one log row; a key with more gets several rows.
 IDS_PER_ROW = 10_000
 
@@ -40,14 +43,13 @@ def dedup_log(users: DataFrame, key: str = "email", ids_per_row: int = IDS_PER_R
     ids = F.transform(
         F.sort_array(F.collect_list("_newest")), lambda entry: entry["id"].cast("string")
     )
-    text = "Cleaned up duplicate users for email %s. Kept ID: %s, Removed IDs: %s"
     return (
         removed.groupBy(key, F.col("_kept.id").alias("_kept_id"), "_part")
         .agg(ids.alias("_ids"))
         .select(
-            F.lit("duplicate_user_cleanup").alias("operation"),
+            F.lit(OPERATION).alias("operation"),
             F.format_string(
-                text,
+                DETAILS,
                 F.col(key).cast("string"),
                 F.col("_kept_id").cast("string"),
                 F.array_join("_ids", ", "),

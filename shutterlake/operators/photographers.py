@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shutterlake.functions import columns as X
 
+# Weights of mean likes and mean downloads in the engagement score.
+LIKE_WEIGHT, DOWNLOAD_WEIGHT = 0.4, 0.6
 PERSON = ("user_id", "user_username", "user_name")
 ORIENTATIONS = ("landscape", "portrait", "square")  # alphabetical: ties go to the first
 
@@ -21,7 +23,7 @@ def photographer_metrics(stg: DataFrame, as_of: dt.date | str) -> DataFrame:
     orientation, and the sub-group sizes for the tag.
     """
     measures = ("likes", "downloads", "views", "like_rate", "download_rate", "aspect_ratio")
-    recent = F.col("created_at") >= F.date_sub(X.day(as_of), 30)
+    recent = F.col("created_at") >= F.date_sub(X.day(as_of), X.RECENT_DAYS)
     partial = (
         stg.where(F.col("user_id").isNotNull())
         .groupBy(*PERSON, "primary_tag")
@@ -48,7 +50,8 @@ def photographer_metrics(stg: DataFrame, as_of: dt.date | str) -> DataFrame:
         F.col("primary_tag").isNotNull(), F.struct(-F.col("photos"), F.col("primary_tag"))
     )
     views = F.when(mean("views") > 0, mean("views")).otherwise(F.lit(1.0))
-    score = (mean("likes") * 0.4 + mean("downloads") * 0.6) / views * 100
+    interest = mean("likes") * LIKE_WEIGHT + mean("downloads") * DOWNLOAD_WEIGHT
+    score = interest / views * 100
     return (
         partial.groupBy(*PERSON)
         .agg(

@@ -43,7 +43,7 @@ def tag_metrics(bags: DataFrame, as_of: dt.date | str, min_photos: int = 2) -> D
         rate = X.per_view_rate(X.or_zero(name), X.or_zero("views"))
         return F.round(F.sum(n * rate) / weight, 2)
 
-    recent = F.col("created_at") >= F.date_sub(X.day(as_of), 30)
+    recent = F.col("created_at") >= F.date_sub(X.day(as_of), X.RECENT_DAYS)
     return (
         tag_links(bags)
         .groupBy(F.col("tag").alias("tag_name"))

@@ -157,7 +157,7 @@ def _tables(counts: pa.Table, order: int) -> Model:
     gram, n = counts["gram"].to_numpy(), counts["n"].to_numpy()
     languages = tuple(sorted(set(lang.tolist())))
     last = gram & 255
-    seen = np.unique(last)
+    seen = np.unique(np.append(last, ord("\n")))  # contexts begin with line ends
     symbol = np.full(256, len(seen), np.int64)  # the last column: bytes never seen
     symbol[seen] = np.arange(len(seen))
     width = len(seen) + 1

@@ -5,7 +5,7 @@ is certain. The fraction is an inclusion probability, the same for all documents
 and is rounded by the cube method: the vector of probabilities walks inside the unit cube along
 the null space of two constraints, the number of tokens and the number of documents, until
 (nearly) every coordinate is 0 or 1. The walk takes place in blocks of a source; what stays
-fractional in a block, three documents at most, meets that of other blocks in the next round,
+fractional in a block, two documents at most, meets that of other blocks in the next round,
 until one small landing problem a source remains.
 """
 
@@ -24,6 +24,7 @@ WEIGHTS = (3, 1, 2)  # repeating over the sources in order of code points, null
 SHARE = 1.5  # words the mix takes, as a share of all words
 LIMIT = 2.0  # largest share of a source, and of a document
 BLOCK = 2000  # fractional documents of a source that one task rounds together
+LANDING = 10  # documents of a source that the landing rounds beside those left fractional
 EPSILON = 1e-9
 
 
@@ -72,8 +73,9 @@ def mix(df: DataFrame, id_column: str, text: str, source: str) -> DataFrame:
     """``(id, source, size, source_size, target, copies, key, number)`` for every row of ``df``.
 
     ``size`` is the number of words and ``copies`` (0, 1 or 2) how often the mix takes the
-    row. Copies of a source follow the target within the largest document of the landing
-    problem; tokens and documents are balanced in every block before that. Rows are told apart
+    row. The flight keeps a source's expected words and documents; the landing rounds the
+    last dozen documents to the sum nearest to the target. What remains is less than the
+    largest document, and usually less than the smallest. Rows are told apart
     by ``key`` (of id and text) and rows alike by their ``number``, so reruns agree. Null sources
     are one source; null and empty texts have size 0 and get the whole part of the copies alone.
     A source without words has target 0 and no copies. Ids may be null. Other columns are not
@@ -139,7 +141,7 @@ def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray) -> np.ndar
 
     Three fractional units at a time span a space in which one direction keeps both
     constraints; a step along it, to either side with the odds that keep every expectation,
-    ends at a face of the cube. At most two or three units stay fractional.
+    ends at a face of the cube. At most two units stay fractional.
     """
     p = chances.tolist()
     x = sizes.tolist()
@@ -172,20 +174,30 @@ def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray) -> np.ndar
     return np.array(p)
 
 
-def land(sizes: np.ndarray, chances: np.ndarray) -> np.ndarray:
-    """Rounds the last few units of a source to the sums nearest to the expected ones."""
-    p = chances.copy()
-    open_ = np.flatnonzero((p > EPSILON) & (p < 1 - EPSILON))
-    p[(p <= EPSILON)] = 0
-    p[(p >= 1 - EPSILON)] = 1
+def land(sizes: np.ndarray, chances: np.ndarray, goal: float) -> np.ndarray:
+    """Rounds the last few units of a source so that the sizes taken come nearest to ``goal``.
+
+    All ways are tried: two units at most are left by the flight, and ``LANDING`` stay behind. If
+    they can not make up for a unit much larger than they are, single units change sides, each
+    time the one that brings the sum nearest.
+    """
+    p = np.where(chances >= 1 - EPSILON, 1.0, np.where(chances <= EPSILON, 0.0, chances))
+    open_ = np.flatnonzero((p > 0) & (p < 1))
     if len(open_):
-        size, goal = sizes[open_], float(sizes[open_] @ p[open_])
+        size, rest = sizes[open_], goal - float(sizes @ (p == 1))
         choice = np.array(np.meshgrid(*[[0, 1]] * len(open_))).reshape(len(open_), -1).T
-        miss = np.abs(choice @ size - goal)
+        miss = np.abs(choice @ size - rest)
         near = np.abs(choice.sum(axis=1) - p[open_].sum())
         best = np.lexsort((np.arange(len(choice)), near, miss))[0]
         p[open_] = choice[best]
-    return p
+    miss = float(sizes @ p) - goal
+    while True:
+        after = np.abs(miss + sizes * (1 - 2 * p))
+        one = int(after.argmin())
+        if after[one] >= abs(miss) - EPSILON:
+            return p
+        miss += sizes[one] * (1 - 2 * p[one])
+        p[one] = 1 - p[one]
 
 
 def _rounds(chances: DataFrame, goals: DataFrame) -> DataFrame:
@@ -200,15 +212,16 @@ def _rounds(chances: DataFrame, goals: DataFrame) -> DataFrame:
 
     def fly(last: bool):
         def run(part: pd.DataFrame) -> pd.DataFrame:
-            # the largest first, so that what stays fractional is small
-            part = part.sort_values(
-                ["size", "key", "number"], ascending=[False, True, True], ignore_index=True
-            )
-            sizes, p = part["size"].to_numpy(np.float64), part["chance"].to_numpy()
+            part = part.sort_values(["size", "key", "number"], ignore_index=True)
+            sizes, p = part["size"].to_numpy(np.float64), part["chance"].to_numpy(copy=True)
             keys = part["key"].to_numpy(np.int64).view(np.uint64)
             draws = np.random.default_rng(int(np.bitwise_xor.reduce(keys))).random(len(p))
-            p = flight(sizes, p, draws)
-            return part.assign(chance=land(sizes, p) if last else p)
+            flying = np.ones(len(p), bool)
+            if last:  # some of all sizes stay behind, so that the landing can meet the target
+                flying[np.linspace(0, len(p) - 1, LANDING).astype(int)] = False
+            goal = float(sizes @ p)
+            p[flying] = flight(sizes[flying], p[flying], draws)
+            return part.assign(chance=land(sizes, p, goal) if last else p)
 
         return run
 
@@ -220,9 +233,9 @@ def _rounds(chances: DataFrame, goals: DataFrame) -> DataFrame:
         settled = whole if settled is None else settled.unionByName(whole)
         if last:
             break
-        # at most three of a block are left: so many blocks fill one of the next round
-        blocks = math.ceil(blocks / (BLOCK // 3))
+        # at most two of a block are left: so many blocks fill one of the next round
+        blocks = math.ceil(blocks / (BLOCK // 2))
         current = done.where(f"chance > {EPSILON} and chance < 1 - {EPSILON}").withColumn(
-            "block", F.floor(F.col("block") / (BLOCK // 3))
+            "block", F.floor(F.col("block") / (BLOCK // 2))
         )
     return settled.select("source", "key", "size", "number", F.lit(1).alias("extra"))

@@ -32,8 +32,8 @@ def near_duplicates(
     Vectors are ordered ``passes`` times, each time lexicographically by ``bits`` concatenated
     random hashes (the side of a random plane). A vector is compared with its ``window``
     successors in every order; pairs with a cosine of ``threshold`` or more, in double
-    precision, are links, and the union of all passes gives the components. The members of a
-    component then count their links among each other exactly, so a group larger than any
+    precision, are links, and the union of all passes gives the components; a task passes on only
+    as many of its links as connect what they connect. The members of a component then count their links among each other exactly, so a group larger than any
     window loses none: a component is dealt in chunks and every two chunks meet in one task,
     which returns counts and no pairs.
 
@@ -121,15 +121,32 @@ def _window_links(groups, width, threshold, passes, bits, window, seed) -> DataF
             at = np.flatnonzero(close & own[:-step])
             left.append(rep[at])
             right.append(rep[at + step])
-        pairs = {"a": left, "b": right}
-        return pd.DataFrame(
-            {k: np.concatenate(v) if v else np.array([], np.int64) for k, v in pairs.items()}
-        )
+        empty = [np.array([], np.int64)]
+        a, b = np.concatenate(empty + left), np.concatenate(empty + right)
+        return pd.DataFrame(forest(a, b), columns=["a", "b"])
 
     found = dealt.groupBy("block").applyInPandas(compare, "a bigint, b bigint")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what all links together connect: fewer than there are ends."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = find(x), find(y)
+        if p != q:
+            parent[p] = q
+            kept.append((x, y))
+    return kept
+
+
 def _links_within(linked: DataFrame, width: int, threshold: float) -> DataFrame:
     """``(rep, links)``: for every class, the rows of other classes of its component it links."""
     sizes = linked.groupBy("root").agg(F.count("*").alias("_members"))

@@ -1,6 +1,7 @@
 """Toxicity grades by cumulative-link ordinal regression.
 
-A document has grade 0 (clean), 1 (toxic) or 2 (toxic with a high rate of toxic words). One
+A document has grade 0 (clean), 1 (toxic) or 2 (toxic, with more words that mark toxic documents
+than the median of those). One
 weight for each feature is shared by all grades; only the thresholds differ:
 P(grade > k) = s(weights . features - threshold k), s the logistic function, thresholds rising.
 The expected severity is the sum of these probabilities.
@@ -79,13 +80,15 @@ def learn(
     docs_per_class: int = 4000,
     features: int = 400,
     lift: float = 10.0,
+    support: float = 0.02,
 ) -> Model:
     """Learns from ``labels(id, label)``, 1 for toxic and 0 for clean; other values are unused.
 
     The sample is bounded: of toxic and of clean ids the ``docs_per_class`` with the smallest
     hash (an id labelled both ways is left out). Equal texts count once. Features are the
-    ``features`` words and word beginnings with the largest chi-square among those at least
-    ``lift`` times as frequent in toxic documents; counting is done by tasks. With no toxic
+    ``features`` words and word beginnings with the largest chi-square among those in three
+    toxic documents, and a share of ``support`` of them, and at least ``lift`` times as frequent
+    there as in clean ones; counting is done by tasks. With no toxic
     or no clean document nothing is learned, and every severity is near zero.
     """
     given = (
@@ -136,7 +139,7 @@ def learn(
     surprise = (F.col("a") - expected) ** 2 / (expected * (n_clean / n))
     rate = ((F.col("a") + 0.5) / (n_toxic + 1)) / ((F.col("c") + 0.5) / (n_clean + 1))
     best = (
-        seen.where((F.col("a") >= 3) & (rate >= lift))
+        seen.where((F.col("a") >= max(3, support * n_toxic)) & (rate >= lift))
         .select("feature", surprise.alias("surprise"))
         .orderBy(F.desc("surprise"), "feature")
         .limit(features)
@@ -160,7 +163,7 @@ def learn(
                 toxic.append(label_)
                 ids.append(keys)
                 counts.append([float(own[i]) for i in keys])
-                hits.append(marked / max(1, len(words)))
+                hits.append(float(marked))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(toxic, pa.int32()),
@@ -168,19 +171,20 @@ def learn(
                     pa.array(counts, pa.list_(pa.float64())),
                     pa.array(hits, pa.float64()),
                 ],
-                names=["toxic", "ids", "counts", "rate"],
+                names=["toxic", "ids", "counts", "marked"],
             )
 
-    schema = "toxic int, ids array<int>, counts array<double>, rate double"
+    schema = "toxic int, ids array<int>, counts array<double>, marked double"
     # at most 2 * docs_per_class rows of at most `features` numbers
     rows = sample.mapInArrow(vectors, schema).collect()
-    rows.sort(key=lambda r: (r["toxic"], r["rate"], r["ids"], r["counts"]))
+    rows.sort(key=lambda r: (r["toxic"], r["marked"], r["ids"], r["counts"]))
     x = np.zeros((len(rows), len(index)))
     for i, row in enumerate(rows):
         x[i, row["ids"]] = np.log1p(row["counts"])
     toxic = np.array([r["toxic"] for r in rows])
-    rate_ = np.array([r["rate"] for r in rows])
-    grade = toxic + ((toxic == 1) & (rate_ > np.median(rate_[toxic == 1])))
+    marked = np.array([r["marked"] for r in rows])
+    some = marked[(toxic == 1) & (marked > 0)]
+    grade = toxic + ((toxic == 1) & (marked > (np.median(some) if len(some) else 0)))
     weights, thresholds = fit(x, grade)
     return Model(
         {f: float(weights[i]) for f, i in index.items()}, tuple(float(t) for t in thresholds)
@@ -188,39 +192,36 @@ def learn(
 
 
 def fit(
-    x: np.ndarray, grade: np.ndarray, rounds: int = 400, ridge: float = 1e-3
+    x: np.ndarray, grade: np.ndarray, rounds: int = 600, ridge: float = 1e-4, pace: float = 0.1
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of the largest penalised likelihood, by accelerated gradient steps.
+    """Weights and thresholds of the largest penalised likelihood, by adaptive gradient steps.
 
     The likelihood of grade g is P(grade > g - 1) - P(grade > g). Thresholds are the first one
     plus the exponentials of free numbers, which keeps them rising.
     """
     n, d = x.shape
     value = np.zeros(d + GRADES - 1)
-    value[d] = 2.0
-    step_base = 1.0 / (0.25 * max(1e-9, (x**2).sum(axis=1).mean()) + 1)
-    speed = np.zeros_like(value)
-    for turn in range(rounds):
-        look = value + (turn / (turn + 3)) * speed
-        w, first, gaps = look[:d], look[d], np.exp(np.clip(look[d + 1 :], -8, 5))
+    mean, square = np.zeros_like(value), np.zeros_like(value)
+    row, rest, top = np.arange(n), grade < GRADES - 1, grade > 0
+    for turn in range(1, rounds + 1):
+        w, first, gaps = value[:d], value[d], np.exp(np.clip(value[d + 1 :], -8, 5))
         theta = first + np.concatenate([[0], np.cumsum(gaps)])
-        s = 1 / (1 + np.exp(-np.clip(x @ w[:, None] - theta, -40, 40)))
+        s = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - theta, -40, 40)))
         upper = np.hstack([np.ones((n, 1)), s])
         lower = np.hstack([s, np.zeros((n, 1))])
-        row = np.arange(n)
         p = np.maximum(upper[row, grade] - lower[row, grade], 1e-12)
         slope = s * (1 - s)
         # d log p / d (w.x - theta_k) for the threshold below and above the grade
         pull = np.zeros_like(s)
-        has = grade > 0
-        pull[row[has], grade[has] - 1] += slope[row[has], grade[has] - 1] / p[has]
-        has = grade < GRADES - 1
-        pull[row[has], grade[has]] -= slope[row[has], grade[has]] / p[has]
+        pull[row[top], grade[top] - 1] += slope[row[top], grade[top] - 1] / p[top]
+        pull[row[rest], grade[rest]] -= slope[row[rest], grade[rest]] / p[rest]
         up = x.T @ pull.sum(axis=1) / n - ridge * w
         down = -pull.mean(axis=0)
         step = np.concatenate([up, [down.sum()], gaps * np.cumsum(down[:0:-1])[::-1]])
-        moved = look + step_base * step
-        value, speed = moved, moved - value
+        mean = 0.9 * mean + 0.1 * step
+        square = 0.999 * square + 0.001 * step**2
+        size = np.sqrt(square / (1 - 0.999**turn)) + 1e-8
+        value += pace * (1 - turn / (rounds + 1)) * mean / (1 - 0.9**turn) / size
     gaps = np.exp(np.clip(value[d + 1 :], -8, 5))
     return value[:d], value[d] + np.concatenate([[0], np.cumsum(gaps)])
 

@@ -1,6 +1,7 @@
 """The tables behind the dashboard's charts.
 
-``top_n`` restricts an operator to the page a dashboard would show; None reads everything.
+Operators read the whole table. ``top_n`` restricts one to the page a dashboard shows, for callers
+that ask for it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def most_liked(photos: DataFrame, top_n: int | None) -> DataFrame:
 
 
 def histogram(
-    photos: DataFrame, value: str, bins: int = 20, top_n: int | None = 50
+    photos: DataFrame, value: str, bins: int = 20, top_n: int | None = None
 ) -> DataFrame:
     """Counts in ``bins`` equal-width bins between minimum and maximum, empty bins included.
 
@@ -53,7 +54,7 @@ def histogram(
     )
 
 
-def color_counts(photos: DataFrame, top: int = 10, top_n: int | None = 50) -> DataFrame:
+def color_counts(photos: DataFrame, top: int = 10, top_n: int | None = None) -> DataFrame:
     """The most frequent colours; photos without one do not count."""
     return (
         most_liked(photos, top_n)
@@ -80,7 +81,7 @@ def top_photos_table(photos: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def nlargest_tags(
-    analysis: DataFrame, metric: str, top: int = 15, top_n: int | None = 20
+    analysis: DataFrame, metric: str, top: int = 15, top_n: int | None = None
 ) -> DataFrame:
     """Top tags by ``metric`` among the ``top_n`` tags with most likes (None: among all)."""
     if metric not in TAG_METRICS:
@@ -99,7 +100,7 @@ def tag_pair_labels(pairs: DataFrame, top: int = 15) -> DataFrame:
     )
 
 
-def daily_search_activity(trends: DataFrame, top_n: int | None = 50) -> DataFrame:
+def daily_search_activity(trends: DataFrame, top_n: int | None = None) -> DataFrame:
     """Searches per day over the ``top_n`` strongest trend rows (None: all)."""
     if top_n is not None:
         trends = trends.orderBy(F.desc("search_count"), "search_term", "trend_date").limit(top_n)

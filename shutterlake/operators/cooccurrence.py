@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 
 from shutterlake.functions import columns as X
 from shutterlake.operators import ranking
-from shutterlake.session import checkpointed
 
 COUNTERS = ("likes", "downloads", "views")
 PHOTO_COLUMNS = ("id", "photo_date", *COUNTERS)
-# A photo with more distinct tags than this has its pairs made by many tasks.
-SPLIT_ABOVE = 1_000
+# First tags of the pairs that one row makes; a photo gives a row for each so many of its tags.
+HEADS = 256
 
 
 def _tagged():
@@ -35,32 +34,27 @@ def _named(bags: DataFrame) -> DataFrame:
     )
 
 
-def tag_pairs(
-    bags: DataFrame, diagonal: bool = False, split_above: int | None = SPLIT_ABOVE
-) -> DataFrame:
+def tag_pairs(bags: DataFrame, diagonal: bool = False) -> DataFrame:
     """One row per photo and distinct tag pair, ``tag1 < tag2``, with its ``weight``.
 
     The weight is the number of position pairs behind the row: the product of the two
-    multiplicities, or n(n-1)/2 on the ``diagonal``, where a tag meets itself. Photos above
-    ``split_above`` distinct tags are spread over tasks by their first tag; ``None`` skips
-    that branch where the lists are known to be short.
+    multiplicities, or n(n-1)/2 on the ``diagonal``, where a tag meets itself. Every list is cut
+    into chunks of ``HEADS`` first tags, which are spread by photo and chunk, so that many tasks
+    make the pairs of a long list.
     """
-    first = 1 if diagonal else 2
-    bags = _named(bags)
-
-    def heads(rows):
-        return rows.select("*", F.posexplode("bag").alias("i", "a"))
-
-    def tails(rows):
-        rest = F.slice("bag", F.col("i") + first, F.size("bag"))
-        return rows.select(*PHOTO_COLUMNS, "a", F.explode(rest).alias("b"))
-
-    if split_above is None:
-        pairs = tails(heads(bags))
-    else:
-        short, long = F.size("bag") <= split_above, F.size("bag") > split_above
-        spread = heads(bags.where(long)).repartition("id", "i")
-        pairs = tails(heads(bags.where(short))).unionByName(tails(spread))
+    first = 0 if diagonal else 1
+    last = F.ceil(F.size("bag") / HEADS) - 1
+    chunks = F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last))
+    rows = _named(bags).withColumn("chunk", F.explode(chunks)).repartition("id", "chunk")
+    start = (F.col("chunk") * HEADS + 1).cast("int")
+    heads = rows.select(
+        *PHOTO_COLUMNS,
+        "bag",
+        start.alias("start"),
+        F.posexplode(F.slice("bag", start, HEADS)).alias("i", "a"),
+    )
+    rest = F.slice("bag", F.col("start") + F.col("i") + first, F.size("bag"))
+    pairs = heads.select(*PHOTO_COLUMNS, "a", F.explode(rest).alias("b"))
     n = F.col("a.n")
     weight = n * F.col("b.n")
     if diagonal:
@@ -74,15 +68,11 @@ def tag_pairs(
     )
 
 
-def pair_statistics(
-    bags: DataFrame, min_count: int = 2, split_above: int | None = SPLIT_ABOVE
-) -> DataFrame:
-    """Statistics per pair of tags that share a photo, the diagonal (t, t) included.
+def pair_statistics(bags: DataFrame, min_count: int = 2) -> DataFrame:
+    """Statistics per pair of tags that share a photo.
 
-    Totals and means are over position pairs, hence the weights. The diagonal counts the
-    photos on which a tag is paired with any other, so one pass over the photos serves both
-    the pairs and their rates. The distinct days make Spark aggregate by (pair, day) first,
-    which also splits a pair that is on most photos.
+    Totals and means are over position pairs, hence the weights. The distinct days make Spark
+    aggregate by (pair, day) first, which also splits a pair that is on most photos.
     """
     weight = F.sum("weight")
 
@@ -90,7 +80,7 @@ def pair_statistics(
         return F.sum(F.col("weight") * F.col(name))
 
     return (
-        tag_pairs(bags.where(F.size(_tagged()) >= 2), True, split_above)
+        tag_pairs(bags)
         .groupBy("tag1", "tag2")
         .agg(
             F.count("*").alias("cooccurrence_count"),
@@ -112,24 +102,28 @@ def tag_cooccurrence(
     bags: DataFrame, as_of: dt.date | str, min_count: int = 2
 ) -> DataFrame:
     """Per pair: distinct photos and days, totals, means, first and last date."""
-    pairs = pair_statistics(bags, min_count).where("tag1 < tag2")
+    pairs = pair_statistics(bags, min_count)
     return pairs.withColumn("analysis_date", X.day(as_of))
 
 
-def tag_pair_rate(bags: DataFrame, as_of: dt.date | str, min_count: int = 2) -> DataFrame:
-    """The pairs with the share of tag1's paired photos that also carry tag2, in percent.
-
-    The statistics are checkpointed because pairs and diagonal are two readers of them. A
-    pair's diagonal is at least as frequent as the pair, so ``min_count`` never drops it.
-    """
-    statistics = checkpointed(pair_statistics(bags, min_count))
-    paired = statistics.where("tag1 = tag2").select(
-        "tag1", F.col("cooccurrence_count").alias("_paired")
+def paired_photos(bags: DataFrame) -> DataFrame:
+    """Per tag: the photos on which it stands beside another tag. One row for each tag of a
+    photo, combined before the shuffle."""
+    return (
+        bags.select(_tagged().alias("bag"))
+        .where(F.size("bag") >= 2)
+        .select(F.explode("bag.tag").alias("tag"))
+        .groupBy("tag")
+        .agg(F.count("*").alias("_paired"))
     )
+
+
+def tag_pair_rate(bags: DataFrame, as_of: dt.date | str, min_count: int = 2) -> DataFrame:
+    """The pairs with the share of tag1's paired photos that also carry tag2, in percent."""
     rate = F.round(F.col("cooccurrence_count").cast("double") / F.col("_paired") * 100, 2)
     return (
-        statistics.where("tag1 < tag2")
-        .join(paired, "tag1")
+        pair_statistics(bags, min_count)
+        .join(paired_photos(bags).withColumnRenamed("tag", "tag1"), "tag1")
         .withColumn("tag1_cooccurrence_rate", rate)
         .drop("_paired")
         .withColumn("analysis_date", X.day(as_of))
@@ -137,22 +131,14 @@ def tag_pair_rate(bags: DataFrame, as_of: dt.date | str, min_count: int = 2) ->
 
 
 def mart_tag_cooccurrence(
-    bags: DataFrame,
-    as_of: dt.date | str,
-    min_count: int = 2,
-    single_task_rows: int = ranking.SINGLE_TASK_ROWS,
+    bags: DataFrame, as_of: dt.date | str, min_count: int = 2
 ) -> DataFrame:
-    """Pairs with rates and the two global ranks, most frequent first.
-
-    The pairs are counted first; only a small result is ranked in one task.
-    """
+    """Pairs with rates and the two global ranks, most frequent first; ranked by ranges."""
     pairs = tag_pair_rate(bags, as_of, min_count)
-    small = pairs.count() <= single_task_rows
-    rank = ranking.rank_in_one_task if small else ranking.rank_by_ranges
     by_count = [F.desc("cooccurrence_count"), F.asc("tag1"), F.asc("tag2")]
     by_likes = [F.desc("avg_likes"), F.asc("tag1"), F.asc("tag2")]
-    ranked = rank(rank(pairs, by_likes, "engagement_rank"), by_count, "popularity_rank")
-    return ranked.orderBy("popularity_rank")
+    liked = ranking.rank_by_ranges(pairs, by_likes, "engagement_rank")
+    return ranking.rank_by_ranges(liked, by_count, "popularity_rank").orderBy("popularity_rank")
 
 
 def tag_pairs_positional(

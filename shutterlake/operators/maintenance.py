@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shutterlake.operators.upsert import latest
@@ -12,53 +12,72 @@ from shutterlake.operators.upsert import latest
 # Operation name and text of the cleanup log.
 OPERATION = "duplicate_user_cleanup"
 DETAILS = "Cleaned up duplicate users for email %s. Kept ID: %s, Removed IDs: %s"
-# Removed ids listed in one log row; a key with more gets several rows.
-IDS_PER_ROW = 10_000
 
 
 def dedup_latest(users: DataFrame, key: str = "email") -> DataFrame:
-    """The newest row of each key by updated_at."""
-    return latest(users, [key], [F.desc("updated_at"), F.asc("id")])
+    """The newest row of each key by updated_at. Rows without a key all stay."""
+    keyed = users.where(F.col(key).isNotNull())
+    newest = latest(keyed, [key], [F.desc("updated_at"), F.asc("id")])
+    return newest.unionByName(users.where(F.col(key).isNull()))
 
 
-def dedup_log(users: DataFrame, key: str = "email", ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """What ``dedup_latest`` removed: one row per duplicated key with kept and removed ids.
-
-    A key with more than ``ids_per_row`` removed rows is logged in several rows of about that
-    many ids each, which together name them all.
-    """
-    newest = F.struct(-F.unix_micros(F.col("updated_at").cast("timestamp")), "id")
-    rows = users.select(key, "id", newest.alias("_newest"))
-    per_key = (
-        rows.groupBy(key)
-        .agg(F.min("_newest").alias("_kept"), F.count("*").alias("_copies"))
-        .where("_copies > 1")
+def dedup_counts(users: DataFrame, key: str = "email") -> DataFrame:
+    """Per key of which ``dedup_latest`` removes rows: the id kept and the number removed."""
+    kept = F.min_by("id", _newest_first())
+    return (
+        users.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(kept.alias("kept_id"), (F.count("*") - 1).alias("affected_records"))
+        .where("affected_records > 0")
+        .select(F.lit(OPERATION).alias("operation"), key, "kept_id", "affected_records")
     )
-    parts = F.ceil((F.col("_copies") - 1) / ids_per_row)
-    removed = (
-        rows.join(per_key, key)
-        .where("_newest > _kept")
-        .withColumn("_part", F.pmod(F.xxhash64("id"), parts))
+
+
+def dedup_removed(users: DataFrame, key: str = "email") -> DataFrame:
+    """What ``dedup_latest`` removes, one row for each removed row: (operation, key, kept_id,
+    removed_id). The newest comes first in each key; of rows alike in time and id all but one
+    are removed."""
+    order = Window.partitionBy(key).orderBy(_newest_first())
+    rows = users.where(F.col(key).isNotNull()).select(
+        key, F.col("id").alias("removed_id"), F.row_number().over(order).alias("_rn")
     )
-    ids = F.transform(
-        F.sort_array(F.collect_list("_newest")), lambda entry: entry["id"].cast("string")
+    kept = dedup_counts(users, key).select(F.col(key).alias("_key"), "kept_id", "operation")
+    return (
+        rows.where("_rn > 1")
+        .join(kept, F.col(key) == F.col("_key"))
+        .select("operation", key, "kept_id", "removed_id")
     )
+
+
+def dedup_log(users: DataFrame, key: str = "email") -> DataFrame:
+    """The cleanup log as text: one row for each key with removed rows, which names their ids.
+
+    One key's ids form one row; ``dedup_removed`` has them one by one.
+    """
+    entries = F.sort_array(F.collect_list(F.struct(_newest_first().alias("_order"), "id")))
+    ids = F.transform(entries, lambda entry: entry["id"].cast("string"))
     return (
-        removed.groupBy(key, F.col("_kept.id").alias("_kept_id"), "_part")
+        users.where(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(ids.alias("_ids"))
+        .where(F.size("_ids") > 1)
         .select(
             F.lit(OPERATION).alias("operation"),
             F.format_string(
                 DETAILS,
                 F.col(key).cast("string"),
-                F.col("_kept_id").cast("string"),
-                F.array_join("_ids", ", "),
+                F.get("_ids", 0),
+                F.array_join(F.slice("_ids", 2, F.size("_ids")), ", "),
             ).alias("details"),
-            F.size("_ids").cast("bigint").alias("affected_records"),
+            (F.size("_ids") - 1).cast("bigint").alias("affected_records"),
         )
     )
 
 
+def _newest_first() -> Column:
+    return F.struct(-F.unix_micros(F.col("updated_at").cast("timestamp")), "id")
+
+
 def cleanup_summary(logs: DataFrame) -> DataFrame:
     """Per operation: runs, affected records, first and last run."""
     return logs.groupBy("operation").agg(

@@ -9,18 +9,11 @@ from pyspark.sql import functions as F
 
 from shutterlake.session import checkpointed
 
-# Up to this many rows one task numbers or pages them; more are numbered by ranges.
-SINGLE_TASK_ROWS = 100_000
 INDEX_BITS = 33  # width of the row index inside monotonically_increasing_id
 
 
-def rank_in_one_task(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """``row_number`` over everything; only for frames of a checked, small size."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
-
 def rank_by_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """The same numbers for a frame of any size.
+    """``df`` with ``name``, each row's number in ``order``, from 1.
 
     Rows are split into sorted ranges of the full order, numbered inside their range, and
     shifted by the number of rows in the ranges before. The ranged frame is checkpointed
@@ -50,14 +43,15 @@ def rank_by_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFra
     )
 
 
-def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the given total order.
+def top_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of the given order, as a top-k: every task keeps
+    ``offset + limit`` rows. For pages near the beginning."""
+    return df.orderBy(*order).offset(offset).limit(limit)
 
-    A shallow page is a top-k; a deep one numbers the rows by ranges, so that the rows before
-    the page never meet in one task.
-    """
-    if offset + limit <= SINGLE_TASK_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
+
+def deep_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -> DataFrame:
+    """The same page where ``offset`` may be anywhere: rows are numbered by ranges, and those
+    before the page never meet in one task. ``order`` must be a total order."""
     ranked = rank_by_ranges(df, order, "_rank")
     wanted = (F.col("_rank") > offset) & (F.col("_rank") <= offset + limit)
     return ranked.where(wanted).orderBy("_rank").drop("_rank")

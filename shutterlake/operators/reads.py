@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shutterlake.functions import columns as X
-from shutterlake.operators.ranking import page
+from shutterlake.operators.ranking import deep_page, top_page
 from shutterlake.operators.snapshots import DELTAS, latest_snapshots
 
 # Columns a caller may sort by.
@@ -19,6 +19,7 @@ PHOTOGRAPHER_ORDERS = (
     "total_photos",
     "avg_likes_per_photo",
 )
+# Fields of a listed and of a found photo, and the fields a search looks at.
 LISTED = (
     "id",
     "description",
@@ -76,12 +77,23 @@ def pagination(photos: DataFrame, limit: int, offset: int = 0) -> DataFrame:
 def list_photos(
     photos: DataFrame, order_by: str = "created_at", limit: int = 20, offset: int = 0
 ) -> DataFrame:
-    """One page of photos; ``pagination`` gives its totals."""
+    """One page of photos near the beginning; ``pagination`` gives its totals."""
+    return top_page(*_listed(photos, order_by, limit, offset))
+
+
+def list_photos_deep(
+    photos: DataFrame, order_by: str = "created_at", limit: int = 20, offset: int = 0
+) -> DataFrame:
+    """The same page for an offset anywhere in the table."""
+    return deep_page(*_listed(photos, order_by, limit, offset))
+
+
+def _listed(photos, order_by, limit, offset):
     _check_choice("order_by", order_by, PHOTO_ORDERS)
     _check_range("limit", limit, 1, 100)
     _check_range("offset", offset, 0)
     rows = _only(_with_user(photos), LISTED)
-    return page(rows, [F.desc(order_by), F.asc("id")], limit, offset)
+    return rows, [F.desc(order_by), F.asc("id")], limit, offset
 
 
 def photo_detail(
@@ -155,18 +167,18 @@ def top_tag_pairs(
 def overview(photos: DataFrame, jobs: DataFrame, as_of: dt.date | str) -> DataFrame:
     """One row: photo and photographer counts, last week's photos, top photo, latest job."""
     week = F.to_date("created_at") >= F.date_sub(X.day(as_of), 7)
-    top = photos.orderBy(F.desc(X.or_zero("likes")), "id").limit(1)
     job = jobs.orderBy(F.desc("started_at"), "job_name").limit(1)
     top_fields = [c for c in ("id", "description", "likes", "downloads", "user_username")
                   if c in photos.columns]
     job_fields = ["job_name", "status", "started_at", "completed_at", "records_processed"]
+    first = F.struct((-X.or_zero("likes")).alias("_order"), F.col("id").alias("_id"))
     return photos.agg(
         F.count("id").alias("total_photos"),
         F.countDistinct("user_id").alias("total_photographers"),
         F.count_if(week).alias("recent_photos_7_days"),
+        F.min_by(F.struct(*top_fields), first).alias("top_photo"),
     ).select(
         "*",
-        top.select(F.struct(*top_fields)).scalar().alias("top_photo"),
         job.select(F.struct(*job_fields)).scalar().alias("latest_etl_job"),
     )
 
@@ -183,4 +195,4 @@ def search_photos(photos: DataFrame, q: str, limit: int = 20, offset: int = 0) -
     _check_range("limit", limit, 1, 100)
     _check_range("offset", offset, 0)
     rows = _only(_with_user(search_matches(photos, q)), FOUND)
-    return page(rows, [F.desc("likes"), F.asc("id")], limit, offset)
+    return top_page(rows, [F.desc("likes"), F.asc("id")], limit, offset)

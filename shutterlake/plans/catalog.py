@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def _harness_folder(spark: SparkSession) -> None:
+    """A scratch folder for local sessions that name none: tests, benches and the driver's."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+
+
 def query(function: Query) -> Query:
     """Registers a query under its function name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", SETTINGS["spark.sql.session.timeZone"])
+        _harness_folder(spark)
         return function(spark, folder)
 
     QUERIES[function.__name__] = run
@@ -38,12 +48,15 @@ def query(function: Query) -> Query:
 
 
 def _stg(spark, folder):
-    photos = star.photos(spark, folder)
-    return staging.stg_photos(photos, AS_OF, "first_tag").drop("first_tag")
+    return staging.stg_photos(star.photos(spark, folder), AS_OF)
 
 
 def _stg_bags(spark, folder):
-    return star.bags(spark, folder)
+    return tags.photo_bags(star.photos(spark, folder))
+
+
+def _with_first_tag(spark, folder):
+    return star.photos(spark, folder).withColumn("first_tag", X.first_tag()).drop("tags")
 
 
 def _ntz(df: DataFrame, *names: str) -> DataFrame:
@@ -289,7 +302,7 @@ def upsert_analysis(spark, folder):
 
 @query
 def stg_photos(spark, folder):
-    return _stg(spark, folder)
+    return _stg(spark, folder).drop("tags")
 
 
 @query
@@ -372,10 +385,8 @@ def cooccurrence_ranks(spark, folder):
 
 @query
 def cooccurrence_ranks_by_ranges(spark, folder):
-    """The same mart ranked by sorted ranges, as a result of any size would be."""
-    return cooccurrence.mart_tag_cooccurrence(
-        _stg_bags(spark, folder), AS_OF, single_task_rows=0
-    )
+    """The same mart; every size is ranked by sorted ranges."""
+    return cooccurrence.mart_tag_cooccurrence(_stg_bags(spark, folder), AS_OF)
 
 
 @query
@@ -421,6 +432,13 @@ def list_photos(spark, folder):
     return _page(flat, reads.pagination(photos, 20, 40))
 
 
+@query
+def list_photos_deep_page(spark, folder):
+    """A page far behind the first, by rank."""
+    rows = reads.list_photos_deep(_normalized(spark, folder), "views", limit=50, offset=700)
+    return rows.select("id", "views", "likes", F.col("user.username").alias("username"))
+
+
 @query
 def photo_detail(spark, folder):
     """Every photo with its latest statistics."""
@@ -496,12 +514,18 @@ def search_photos(spark, folder):
 
 @query
 def histogram(spark, folder):
-    return charts.histogram(_stg(spark, folder), "likes", top_n=None)
+    return charts.histogram(_stg(spark, folder), "likes")
+
+
+@query
+def histogram_of_page(spark, folder):
+    """The histogram of the fifty most liked photos, which a dashboard shows."""
+    return charts.histogram(_stg(spark, folder), "likes", top_n=50)
 
 
 @query
 def color_counts(spark, folder):
-    return charts.color_counts(star.photos(spark, folder), top_n=None)
+    return charts.color_counts(star.photos(spark, folder))
 
 
 @query
@@ -512,7 +536,7 @@ def top_photos_table(spark, folder):
 @query
 def nlargest_tags(spark, folder):
     analysis = tags.tag_analysis(_stg_bags(spark, folder), AS_OF)
-    return charts.nlargest_tags(analysis, "avg_downloads", top=10)
+    return charts.nlargest_tags(analysis, "avg_downloads", top=10, top_n=20)
 
 
 @query
@@ -523,7 +547,7 @@ def tag_pair_labels(spark, folder):
 
 @query
 def daily_search_activity(spark, folder):
-    return charts.daily_search_activity(_trends(spark, folder), top_n=None)
+    return charts.daily_search_activity(_trends(spark, folder))
 
 
 @query
@@ -540,7 +564,7 @@ def data_freshness(spark, folder):
 
 @query
 def data_completeness(spark, folder):
-    return charts.data_completeness(star.photos(spark, folder))
+    return charts.data_completeness(_with_first_tag(spark, folder))
 
 
 # -- maintenance and quality ---------------------------------------------------------------
@@ -556,6 +580,16 @@ def dedup_log(spark, folder):
     return maintenance.dedup_log(star.users(spark, folder))
 
 
+@query
+def dedup_removed(spark, folder):
+    return maintenance.dedup_removed(star.users(spark, folder))
+
+
+@query
+def dedup_counts(spark, folder):
+    return maintenance.dedup_counts(star.users(spark, folder))
+
+
 @query
 def cleanup_summary(spark, folder):
     return maintenance.cleanup_summary(star.cleanup_logs(spark, folder))
@@ -576,7 +610,7 @@ def check_unique(spark, folder):
 
 @query
 def check_not_null(spark, folder):
-    photos = star.photos(spark, folder)
+    photos = _with_first_tag(spark, folder)
     return quality.check_not_null(photos, photos.columns)
 
 
@@ -589,6 +623,13 @@ def check_foreign_key(spark, folder):
     )
 
 
+@query
+def check_foreign_key_statistics(spark, folder):
+    """Photos that statistics rows refer to and that are not among those ever viewed."""
+    viewed = star.photos(spark, folder).where("views > 0")
+    return quality.check_foreign_key(star.statistics(spark, folder), "photo_id", viewed, "id")
+
+
 @query
 def store_failures(spark, folder):
     """The failing rows of two checks, written and read back."""

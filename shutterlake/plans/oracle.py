@@ -411,6 +411,10 @@ select id, description, width, height, color, likes, downloads, views, parsed as
  cast(c_custkey as varchar) as user_id, c_name as username, c_mktsegment as name, tags,
  (select count(*) from good) as total, (select count(*) > 60 from good) as has_next
 from good order by views desc, id limit 20 offset 40""",
+    "list_photos_deep_page": f"""
+with {RAW}
+select id, views, likes, c_name as username from raw where width is not null
+order by views desc, id limit 50 offset 700""",
     "photo_detail": f"""
 with {PHOTOS}, {STATISTICS},
 last as (select *, row_number() over (partition by photo_id order by recorded_at desc, id desc) as rn
@@ -463,6 +467,15 @@ bounds as (select min(x) as low, max(x) as high from x),
 counts as (select cast(case when high > low then least(floor((x - low) / ((high - low) / 20)), 19)
                        else 0 end as bigint) as bin, count(*) as n from x, bounds group by 1)
 select range as bin, low + range * ((high - low) / 20) as bin_start, coalesce(n, 0) as photos
+from range(20), bounds left join counts on bin = range""",
+    "histogram_of_page": f"""
+with {PHOTOS}, page as (select coalesce(likes, 0) as likes, id from photos
+ order by 1 desc, id limit 50),
+x as (select cast(likes as double) as x from page),
+bounds as (select min(x) as low, max(x) as high from x),
+counts as (select cast(case when high > low then least(floor((x - low) / ((high - low) / 20)), 19)
+                       else 0 end as bigint) as bin, count(*) as n from x, bounds group by 1)
+select range as bin, low + range * ((high - low) / 20) as bin_start, coalesce(n, 0) as photos
 from range(20), bounds left join counts on bin = range""",
     "color_counts": f"""
 with {PHOTOS} select color, count(*) as photos from photos where color is not null
@@ -502,6 +515,15 @@ select 'duplicate_user_cleanup' as operation,
  len(ids) - 1 as affected_records
 from (select user_id, list(event_id order by ts desc, event_id) as ids from events group by user_id)
 where len(ids) > 1""",
+    "dedup_removed": """
+select 'duplicate_user_cleanup' as operation, email, kept_id, event_id as removed_id from (
+ select cast(user_id as varchar) as email, event_id,
+  first_value(event_id) over w as kept_id, row_number() over w as rn
+ from events window w as (partition by user_id order by ts desc, event_id)) where rn > 1""",
+    "dedup_counts": """
+select 'duplicate_user_cleanup' as operation, cast(user_id as varchar) as email,
+ arg_min(event_id, (-epoch_us(ts), event_id)) as kept_id, count(*) - 1 as affected_records
+from events group by user_id having count(*) > 1""",
     "cleanup_summary": """
 select event_type as operation, count(*) as total_runs,
  cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as total_records_affected,
@@ -519,6 +541,10 @@ with {WITH_FIRST_TAG} select column_name, n as "rows" from nulls where n > 0""",
 with {PHOTOS}
 select id, count(*) as "rows" from photos
 where id not in (select cast(user_id as varchar) from events) group by id""",
+    "check_foreign_key_statistics": f"""
+with {PHOTOS}
+select cast(user_id as varchar) as photo_id, count(*) as "rows" from events
+where cast(user_id as varchar) not in (select id from photos where views > 0) group by 1""",
     "store_failures": """
 select 'unique_lines' as check_name, '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' ||
  l_linenumber || ',"rows":' || count(*) || '}' as failing

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,15 +25,12 @@ def get_session(app: str = "shutterlake", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder; a cluster without it
-    is an error, because a machine-local folder would be lost with its executor.
+    Without one there is no place for data that several tasks read, so that is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder

@@ -25,30 +25,10 @@ LINE_ORDER = (
 )
 
 
-# A source of fewer splits is at most about a gigabyte.
-SMALL_SOURCE_SPLITS = 8
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def by_key(df: DataFrame, key: str) -> DataFrame:
-    """A small source shuffled by ``key`` once, before the per-row work.
-
-    It would otherwise be read by one or two tasks; after this all cores share it, and
-    aggregates and joins on the key need no further shuffle. A larger source stays as it is
-    and gets Spark's map-side combine, which a hot key needs there.
-    """
-    if df.rdd.getNumPartitions() >= SMALL_SOURCE_SPLITS:
-        return df
-    spark = df.sparkSession
-    tasks = min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
-    return df.repartition(tasks, key)
-
-
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with two tags each: the part type and the second word of the part name."""
     parts = table(spark, folder, "part").select(
@@ -57,11 +37,21 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
         F.lower("p_type").alias("type_tag"),
         F.lower(F.split_part("p_name", F.lit(" "), F.lit(2))).alias("name_tag"),
     )
-    lines = by_key(table(spark, folder, "lineitem"), "l_orderkey")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return table(spark, folder, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
 
-def _as_photos(spark: SparkSession, folder: str, per_order: DataFrame, *extra: str) -> DataFrame:
+def photos(spark: SparkSession, folder: str) -> DataFrame:
+    """Photos with their ordered tags, two for each line item; orders without any have NULL.
+
+    A photo's tags are one value of its row, as in the photos table, so they are collected.
+    """
+    per_order = _lines(spark, folder).groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.count("*").alias("n"),
+        F.min("p_brand").alias("color"),
+        F.sort_array(F.collect_list(F.struct(*LINE_ORDER, "type_tag", "name_tag"))).alias("lines"),
+    )
+    pairs = F.transform("lines", lambda line: F.array(line["type_tag"], line["name_tag"]))
     key = F.col("o_orderkey")
     width = 1000 + key * 37 % 3000
     height = F.when(key % 11 == 0, width).otherwise(1000 + key * 53 % 3000)
@@ -83,45 +73,12 @@ def _as_photos(spark: SparkSession, folder: str, per_order: DataFrame, *extra: s
             F.when(key % 101 != 0, F.col("o_custkey").cast("string")).alias("user_id"),
             F.col("c_name").alias("user_username"),
             F.col("c_mktsegment").alias("user_name"),
-            *extra,
+            "color",
+            F.flatten(pairs).alias("tags"),
         )
     )
 
 
-def photos(spark: SparkSession, folder: str) -> DataFrame:
-    """Photos without tags; ``first_tag`` stands for the first element of the tag list."""
-    per_order = _lines(spark, folder).groupBy("l_orderkey").agg(
-        F.sum("l_quantity").alias("quantity"),
-        F.count("*").alias("n"),
-        F.min("p_brand").alias("color"),
-        F.min_by("type_tag", F.struct(*LINE_ORDER)).alias("first_tag"),
-    )
-    return _as_photos(spark, folder, per_order, "color", "first_tag")
-
-
-def bags(spark: SparkSession, folder: str) -> DataFrame:
-    """Photos with the bag of their tags.
-
-    Tag rows are counted per (order, tag) before they are brought together per order, so that
-    an order with very many line items contributes one entry per distinct tag.
-    """
-    first = F.when(F.col("pos") == 0, F.col("l_quantity"))
-    per_tag = (
-        _lines(spark, folder)
-        .select("l_orderkey", "l_quantity", F.posexplode(F.array("type_tag", "name_tag")))
-        .groupBy("l_orderkey", F.col("col").alias("tag"))
-        .agg(
-            F.count("*").alias("n"), F.count(first).alias("lines"), F.sum(first).alias("quantity")
-        )
-    )
-    per_order = per_tag.groupBy("l_orderkey").agg(
-        F.sum("lines").alias("n"),
-        F.sum("quantity").alias("quantity"),
-        F.sort_array(F.collect_list(F.struct("tag", "n"))).alias("bag"),
-    )
-    return _as_photos(spark, folder, per_order, "bag")
-
-
 def statistics(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics snapshots of photos; ``id`` breaks ties in time."""
     return table(spark, folder, "events").select(

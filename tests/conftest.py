@@ -9,7 +9,7 @@ from shutterlake.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tests",
         **{
@@ -18,6 +18,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -126,15 +126,26 @@ def test_dedup(users):
     assert log == [("Cleaned up duplicate users for email a. Kept ID: u2, Removed IDs: u1, u3", 2)]
 
 
-def test_large_groups_are_logged_in_parts(spark):
+def test_removed_rows_equal_logged_rows(spark):
     many = spark.range(500).select(
-        F.col("id"), F.lit("hot").alias("email"),
-        F.timestamp_seconds(F.col("id")).alias("updated_at"))
-    log = maintenance.dedup_log(many, ids_per_row=100).collect()
-    assert len(log) == 5 and sum(r["affected_records"] for r in log) == 499
-    removed = [x for r in log for x in r["details"].split("Removed IDs: ")[1].split(", ")]
-    assert sorted(map(int, removed)) == list(range(499))
-    assert all("Kept ID: 499," in r["details"] for r in log)
+        F.col("id"),
+        F.when(F.col("id") % 5 == 0, None).when(F.col("id") < 400, "hot").otherwise("cold")
+        .alias("email"),
+        F.timestamp_seconds(F.col("id") % 100).alias("updated_at"),
+    )
+    many = many.unionByName(many.where("id in (7, 8)"))  # rows alike
+    kept = maintenance.dedup_latest(many)
+    assert kept.where("email is null").count() == 100
+    removed = maintenance.dedup_removed(many)
+    assert kept.count() + removed.count() == many.count()
+    counts = rows(maintenance.dedup_counts(many), "email", "kept_id", "affected_records")
+    assert counts == rows(removed.groupBy("email", "kept_id").count(), "email", "kept_id", "count")
+    named = [
+        int(x)
+        for r in maintenance.dedup_log(many).collect()
+        for x in r["details"].split("Removed IDs: ")[1].split(", ")
+    ]
+    assert sorted(named) == sorted(r["removed_id"] for r in removed.collect())
 
 
 def test_cleanup_summary_and_filter(spark, users):

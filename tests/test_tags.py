@@ -100,10 +100,10 @@ def test_positional_brute_force(photos, bags):
 
 
 @pytest.mark.parametrize("diagonal", [False, True])
-def test_split_photos_give_the_same_pairs(bags, diagonal):
+def test_chunks_of_heads_give_the_same_pairs(bags, diagonal, monkeypatch):
     names = ("id", "tag1", "tag2", "weight")
-    whole = rows(co.tag_pairs(bags, diagonal, split_above=None), *names)
-    assert rows(co.tag_pairs(bags, diagonal, split_above=3), *names) == whole
+    whole = rows(co.tag_pairs(bags, diagonal), *names)
+    monkeypatch.setattr(co, "HEADS", 2)
     assert rows(co.tag_pairs(bags, diagonal), *names) == whole
 
 
@@ -115,22 +115,27 @@ def test_short_lists_and_null_tags(make_photos):
     assert rows(tags.tag_analysis(bags, DAY), "tag_name", "photo_count") == [("a", 2), (None, 1)]
 
 
-def test_ranks_by_ranges_equal_the_window(bags):
-    names = ("tag1", "tag2", "popularity_rank", "engagement_rank")
-    one = co.mart_tag_cooccurrence(bags, DAY)
-    many = co.mart_tag_cooccurrence(bags, DAY, single_task_rows=0)
-    assert rows(many, *names) == rows(one, *names)
-    ranks = [r["popularity_rank"] for r in many.collect()]
-    assert ranks == list(range(1, len(ranks) + 1))
+def test_ranks_follow_the_orders(bags):
+    found = [r.asDict() for r in co.mart_tag_cooccurrence(bags, DAY).collect()]
+    for rank, value in (("popularity_rank", "cooccurrence_count"), ("engagement_rank", "avg_likes")):
+        found.sort(key=lambda r: (-r[value], r["tag1"], r["tag2"]))
+        assert [r[rank] for r in found] == list(range(1, len(found) + 1))
 
 
-def test_deep_page_equals_shallow_page(spark, monkeypatch):
+def test_rates_start_no_job(spark, bags):
+    tracker, group = spark.sparkContext.statusTracker(), "rates"
+    spark.sparkContext.setJobGroup(group, group)
+    co.tag_pair_rate(bags, DAY)
+    assert len(tracker.getJobIdsForGroup(group)) == 0
+    spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_deep_page_equals_top_page(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 101).alias("v"), "id").repartition(7)
     order = [F.desc("v"), F.asc("id")]
-    shallow = [tuple(r) for r in ranking.page(df, order, 20, 500).collect()]
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 10)
-    assert [tuple(r) for r in ranking.page(df, order, 20, 500).collect()] == shallow
-    assert ranking.page(df, order, 20, 5000).count() == 0
+    top = [tuple(r) for r in ranking.top_page(df, order, 20, 500).collect()]
+    assert [tuple(r) for r in ranking.deep_page(df, order, 20, 500).collect()] == top
+    assert ranking.deep_page(df, order, 20, 5000).count() == 0
 
 
 def test_partners_and_favourites(make_photos):

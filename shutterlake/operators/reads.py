@@ -194,5 +194,5 @@ def search_photos(photos: DataFrame, q: str, limit: int = 20, offset: int = 0) -
     """One page of the matching photos, most liked first."""
     _check_range("limit", limit, 1, 100)
     _check_range("offset", offset, 0)
-    rows = _only(_with_user(search_matches(photos, q)), FOUND)
+    rows = _only(_with_user(search_matches(photos, q).drop("user_id")), FOUND)
     return top_page(rows, [F.desc("likes"), F.asc("id")], limit, offset)

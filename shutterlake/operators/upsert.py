@@ -29,11 +29,14 @@ def upsert(
 
     Every column is replaced, NULLs included, except those in ``keep``, which an existing row
     retains. ``touch`` gives values that only replaced rows get. Keys must be unique in
-    ``batch``. A column of ``current`` that ``batch`` lacks counts as kept. Rows of
+    ``batch``. A column of ``current`` that ``batch`` lacks counts as kept; one that only
+    ``batch`` has is NULL in the rows that stay. Rows of
     ``current`` without a partner pass through an anti join, which needs no shuffle of
     ``current`` while the batch is small enough for Spark to broadcast its keys.
     """
     keys = list(keys)
+    new_columns = [f for f in batch.schema.fields if f.name not in current.columns]
+    current = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new_columns})
     kept = [c for c in current.columns if c in keep or c not in batch.columns]
     touched = touch or {}
     batch_keys = batch.select(*keys)

@@ -97,16 +97,20 @@ def ingest_search_results(spark, folder):
         raw.groupBy(F.floor(F.col("id").cast("bigint") / 20).alias("page"))
         .agg(F.collect_list(F.struct(*raw.columns)).alias("results"))  # 20 records a page
         .select(
+            "page",
             "results",
             total.alias("total"),
             F.ceil(total / 20).cast("bigint").alias("total_pages"),
         )
     )
+    line = F.to_json(F.struct("results", "total", "total_pages"))
+    line = F.when(F.col("page") % 7 == 3, F.substring(line, 1, 18)).otherwise(line)
     path = scratch(spark, "landing-search")
-    pages.write.json(path)
+    pages.select(line.alias("value")).write.text(path)
     found = landing.read_search(spark, path)
     return found.select(
-        "total", "total_pages", "id", "width", "color", F.col("user.id").alias("user_id")
+        "total", "total_pages", "id", "width", "color", F.col("user.id").alias("user_id"),
+        F.col(normalize.CORRUPT).alias("corrupt"),
     )
 
 
@@ -234,10 +238,11 @@ def _early(df):
 
 @query
 def upsert_photos(spark, folder):
-    """The table of photos before 1999, upserted with both versions of every photo."""
+    """The table of photos before 1999, upserted with both versions of nine photos in ten."""
     early, late = _order_versions(spark, folder)
     order = [F.desc("updated_at"), F.asc("description")]
     batch = upsert.latest(early.unionByName(late), ["id"], order)
+    batch = batch.where(F.col("id").cast("bigint") % 10 != 3)
     return upsert.upsert(_early(early), batch, ["id"], keep=["extracted_at"])
 
 
@@ -245,6 +250,7 @@ def upsert_photos(spark, folder):
 def touch_updated_at(spark, folder):
     early, late = _order_versions(spark, folder)
     now = F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz")
+    late = late.where(F.col("id").cast("bigint") % 10 != 3)
     return upsert.upsert(_early(early), late, ["id"], touch={"updated_at": now})
 
 
@@ -268,11 +274,17 @@ def stat_deltas(spark, folder):
 
 @query
 def stat_deltas_incremental(spark, folder):
-    """Snapshots since 15 January against the ones before."""
+    """Snapshots loaded in three parts, one of them twice, through the stored tables."""
+    root = scratch(spark, "statistics")
     rows = star.statistics(spark, folder)
-    cut = F.lit("2024-01-15").cast("timestamp_ntz")
-    new, old = rows.where(F.col("recorded_at") >= cut), rows.where(F.col("recorded_at") < cut)
-    return snapshots.new_stat_deltas(new, old, tie="id")
+    rows = rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    days = ["2024-01-01", "2024-01-10", "2024-01-20", "2025-01-01"]
+    for n in (0, 1, 1, 2):
+        low, high = (F.lit(d).cast("timestamp") for d in days[n : n + 2])
+        part = rows.where((F.col("recorded_at") >= low) & (F.col("recorded_at") < high))
+        elt.load_statistics(part.drop("id"), root, F.lit(RECORDED + dt.timedelta(days=n)))
+    stored = tables.read_table(spark, root, "photo_statistics").drop("recorded_on")
+    return _ntz(stored, "recorded_at")
 
 
 @query
@@ -674,11 +686,69 @@ def _landing(spark, folder):
 def elt_run(spark, folder):
     """The whole job on raw files of every order and event: one summary row per step."""
     root = scratch(spark, "warehouse")
-    return elt.run_elt(
-        spark, _landing(spark, folder), root, AS_OF, recorded_at=RECORDED, buckets=8
+    return elt.run_elt(spark, _landing(spark, folder), root, AS_OF, recorded_at=RECORDED)
+
+
+@query
+def tag_analysis_table(spark, folder):
+    """The analysis of raw files of every order as the job stores it, undeclared values NULL."""
+    root = scratch(spark, "warehouse")
+    elt.run_elt(
+        spark, _landing(spark, folder), root, AS_OF, recorded_at=RECORDED, buckets=8, compact=True
+    ).collect()
+    return tables.read_table(spark, root, "tag_analysis").select(
+        "tag_name", "photo_count", "total_likes", "avg_likes", "analysis_date",
+        F.col("updated_at").isNotNull().alias("updated"), "trend_score",
+        _csv("co_occurring_tags").alias("co_occurring_tags"),
+    )
+
+
+@query
+def photos_after_two_loads(spark, folder):
+    """Two overlapping loads, the first one folded: raw records of all orders, then every second
+    order again with another like."""
+    root = scratch(spark, "loads")
+    raw = star.raw_photos(spark, folder)
+    elt.load_photos(raw, root, RECORDED)
+    elt.fold_tables(spark, root, 8)
+    again = raw.where(F.col("id").cast("bigint") % 2 == 0)
+    again = again.withColumn("likes", F.col("likes") + 1)
+    elt.load_photos(again, root, RECORDED + dt.timedelta(days=1))
+    photos = elt.read_photos(spark, root)
+    return _ntz(photos, "created_at", "extracted_at").select(
+        "id", "created_at", "width", "likes", "extracted_at", _csv("tags").alias("tags")
     )
 
 
+@query
+def quarantine(spark, folder):
+    """What two loads of the same cut files and log lines leave in quarantine."""
+    root, files = scratch(spark, "quarantine"), _landing(spark, folder)
+    raw = landing.read_photos(spark, f"{files}/photos")
+    lines = star.table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 50 == 0, F.concat(F.lit('{"cut": '), "event_id"))
+        .when(F.col("event_id") % 51 == 0, F.to_json(F.struct("ts", "event_id")))
+        .otherwise('{"search_term": "x", "searched_at": "2024-01-01T00:00:00Z"}')
+        .alias("value")
+    )
+    lines.write.text(f"{files}/log")
+    for _ in range(2):
+        elt.load_photos(raw, root, RECORDED)
+        elt.load_search_trends(elt.read_search_log(spark, f"{files}/log"), root, RECORDED)
+    kept = tables.read_table(spark, root, "quarantine")
+    return kept.groupBy("feed", "reason", "recorded_on").agg(
+        F.count("id").alias("ids"), F.countDistinct(normalize.CORRUPT).alias("texts"),
+        F.sum("lines").alias("lines"),
+    )
+
+
+@query
+def ingest_photo_batch(spark, folder):
+    """The hundred newest loadable records of a feed with several offsets, and all others."""
+    raw = landing.read_photos(spark, _landed_photos(spark, folder))
+    return landing.photo_batch(raw, 100).select("id", normalize.CORRUPT, "reason")
+
+
 @query
 def job_log(spark, folder):
     """The run log that loading every raw record leaves."""
@@ -686,8 +756,8 @@ def job_log(spark, folder):
     log = elt.read_search_log(spark, f"{files}/searches")
     raw = landing.read_photos(spark, f"{files}/photos")
     load = {
-        "load_photos": lambda: elt.load_photos(raw, root, RECORDED, buckets=8),
-        "load_trending_data": lambda: elt.load_search_trends(log, root),
+        "load_photos": lambda: elt.load_photos(raw, root, RECORDED),
+        "load_trending_data": lambda: elt.load_search_trends(log, root, RECORDED),
     }
     for name, step in load.items():
         elt.run_step(spark, root, name, "load", step)
@@ -703,8 +773,8 @@ def stream_upsert_photos(spark, folder):
     root = scratch(spark, "stream")
     path = _landed_photos(spark, folder)
     for name in ("first", "again"):
-        stream_photos(spark, path, root, f"{root}/_{name}", RECORDED, buckets=8).awaitTermination()
-    photos = tables.read_table(spark, root, "photos")
+        stream_photos(spark, path, root, f"{root}/_{name}", RECORDED).awaitTermination()
+    photos = elt.read_photos(spark, root)
     return _ntz(photos, "created_at").select(
         "id", "created_at", "width", "height", "color", "likes", "views", "user_id",
         _csv("tags").alias("tags"),

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,6 +26,18 @@ from shutterlake.sources import landing as L
 from shutterlake.sources import tables
 
 BUCKETS = 64  # hash buckets of the photos table; a layout choice made once per table
+LAST = "photo_last_statistics"
+PARTITIONS = {
+    "photos": tables.BUCKET,
+    LAST: tables.BUCKET,
+    "photo_statistics": "recorded_on",
+    "quarantine": "recorded_on",
+    "search_trends": "trend_date",
+    "tag_analysis": "analysis_date",
+    "tag_cooccurrence": "analysis_date",
+    "photographer_analysis": "analysis_date",
+    "daily_trends": "trend_date",
+}
 
 
 def job_log(
@@ -70,10 +82,58 @@ def run_step(
     return records
 
 
-def load_photos(
-    raw: DataFrame, root: str, recorded_at: dt.datetime, buckets: int = BUCKETS
-) -> int:
-    """Upserts good records into photos, appends their snapshots, quarantines the rest.
+def conform(df: DataFrame, ddl: str) -> DataFrame:
+    """``df`` with the declared columns in their order; those it lacks are NULL."""
+    return df.to(StructType.fromDDL(ddl))
+
+
+def quarantine(bad: DataFrame, feed: str, root: str, recorded_at: dt.datetime) -> None:
+    """Keeps records that cannot be loaded, once for each day, whatever repeats."""
+    fields = [c for c in bad.columns if c not in (normalize.CORRUPT, "reason")]
+    record = F.coalesce(normalize.CORRUPT, F.to_json(F.struct(*fields)))
+    name = F.col("id") if "id" in bad.columns else F.lit(None)
+    rows = (
+        bad.select(
+            F.lit(feed).alias("feed"),
+            name.cast("string").alias("id"),
+            normalize.CORRUPT,
+            "reason",
+            F.xxhash64(record).alias("fingerprint"),
+            F.to_date(F.lit(recorded_at).cast("timestamp")).alias("recorded_on"),
+        )
+        .groupBy("feed", "fingerprint", "recorded_on")
+        .agg(
+            *[F.min(c).alias(c) for c in ("id", normalize.CORRUPT, "reason")],
+            F.count("*").alias("lines"),
+        )
+    )
+    rows = checkpointed(conform(rows, schemas.QUARANTINE))
+    keys = ["feed", "fingerprint", "recorded_on"]
+    tables.merge(rows, root, "quarantine", keys, "recorded_on")
+
+
+PHOTO_ORDER, PHOTO_KEPT = ["updated_at"], ["extracted_at"]
+
+
+def read_photos(spark: SparkSession, root: str) -> DataFrame | None:
+    """The photos table with all loads applied."""
+    return tables.read_keyed(spark, root, "photos", ["id"], PHOTO_ORDER, PHOTO_KEPT)
+
+
+def fold_tables(spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
+    """Folds the loads since the last time into the bucketed tables."""
+    tables.fold(spark, root, "photos", ["id"], buckets, PHOTO_ORDER, PHOTO_KEPT)
+    tables.fold(spark, root, LAST, ["photo_id"], buckets)
+
+
+def recover_tables(spark: SparkSession, root: str) -> None:
+    """Finishes merges that an earlier run left half done."""
+    for name, partition in PARTITIONS.items():
+        tables.recover(spark, root, name, partition)
+
+
+def load_photos(raw: DataFrame, root: str, recorded_at: dt.datetime) -> int:
+    """Appends good records to photos, merges their snapshots, quarantines the rest.
 
     Records that are not judged yet are parsed and staged once, for both kinds of reader.
     """
@@ -81,45 +141,80 @@ def load_photos(
     if "reason" not in raw.columns:
         raw = checkpointed(normalize.judge(raw))
     good, bad = normalize.split_bad(raw)
-    tables.append(bad.select("id", normalize.CORRUPT, "reason"), root, "quarantine")
+    quarantine(bad, "photos", root, recorded_at)
     stamp = F.lit(recorded_at).cast("timestamp")
     good = good.withColumn("_fingerprint", F.xxhash64(F.to_json(F.struct(*good.columns))))
     newest = [F.desc(X.parse_ts("updated_at")), F.asc("_fingerprint")]
     batch = checkpointed(latest(good, ["id"], newest).drop("_fingerprint"))
-    photos = tables.with_bucket(normalize.normalize_photos(batch, stamp), "id", buckets)
-    tables.merge(photos, root, "photos", ["id"], tables.BUCKET, keep=["extracted_at"])
-    new = snapshots.photo_statistics(batch, stamp)
-    history = tables.read_table_or_none(spark, root, "photo_statistics")
-    if history is None:
-        deltas = snapshots.stat_deltas(new)
-    else:
-        earlier = history.where(F.col("recorded_at") < stamp)
-        deltas = snapshots.new_stat_deltas(new, earlier)
-    tables.merge(
-        deltas.withColumn("recorded_on", F.to_date("recorded_at")),
-        root,
-        "photo_statistics",
-        ["photo_id", "recorded_at"],
-        "recorded_on",
-    )
+    photos = conform(normalize.normalize_photos(batch, stamp), schemas.PHOTOS)
+    tables.add_changes(photos, root, "photos", stamp)
+    load_statistics(snapshots.photo_statistics(batch, stamp), root, stamp)
     return batch.count()
 
 
-def load_search_trends(log: DataFrame, root: str) -> int:
-    trends = checkpointed(search.search_trends(log, "search_term", "searched_at"))
+def load_statistics(new: DataFrame, root: str, loaded_at: Column) -> None:
+    """Merges snapshots with their deltas and remembers each photo's newest one.
+
+    Deltas are taken against the remembered snapshots only, of which there is one a photo, so
+    the history is not read. The one before it is remembered too: a repeated load finds its
+    own snapshot there and takes the delta against the earlier. A snapshot older than both
+    counts from zero, and is not remembered.
+    """
+    spark = new.sparkSession
+    totals = ["recorded_at", *snapshots.DELTAS]
+    new = checkpointed(new)
+    last = tables.read_keyed(spark, root, LAST, ["photo_id"])
+    if last is None:
+        last = spark.createDataFrame([], StructType.fromDDL(schemas.PHOTO_LAST_STATISTICS))
+    first = new.groupBy("photo_id").agg(F.min("recorded_at").alias("_first"))
+    known = last.join(first, "photo_id").select(
+        "photo_id", "_first", F.col("recorded_at").alias("_last"),
+        F.explode(F.array(F.struct(*totals), "before")).alias("s"),
+    )
+    known = checkpointed(
+        known.groupBy("photo_id")
+        .agg(
+            F.max("_last").alias("_last"),
+            F.max_by("s", F.when(F.col("s.recorded_at") < F.col("_first"), F.col("s.recorded_at")))
+            .alias("s"),
+        )
+    )
+    earlier = known.where("s is not null").select("photo_id", "s.*")
+    deltas = snapshots.new_stat_deltas(new, earlier)
+    deltas = conform(deltas, schemas.PHOTO_STATISTICS)
+    deltas = deltas.withColumn("recorded_on", F.to_date("recorded_at"))
+    keys = schemas.KEYS["photo_statistics"]
+    tables.merge(checkpointed(deltas), root, "photo_statistics", keys, "recorded_on")
+    newest = snapshots.latest_snapshots(new).join(known, "photo_id", "left")
+    newest = newest.where("_last is null or recorded_at >= _last")
+    newest = conform(newest.withColumnRenamed("s", "before"), schemas.PHOTO_LAST_STATISTICS)
+    tables.add_changes(newest, root, LAST, loaded_at)
+
+
+def load_search_trends(log: DataFrame, root: str, recorded_at: dt.datetime) -> int:
+    """Counts searches per term and day; lines that are no search are quarantined."""
+    log = log if "reason" in log.columns else L.judge_log(log)
+    good, bad = normalize.split_bad(checkpointed(log))
+    quarantine(bad, "searches", root, recorded_at)
+    trends = search.search_trends(good, "search_term", "searched_at")
+    trends = trends.withColumn("extracted_at", F.lit(recorded_at).cast("timestamp"))
+    trends = checkpointed(conform(trends, schemas.SEARCH_TRENDS))
     tables.merge(trends, root, "search_trends", schemas.KEYS["search_trends"], "trend_date")
     return trends.count()
 
 
 def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]:
     """The three analyses of a day and the marts. A failing part does not stop the others."""
-    photos = tables.read_table(spark, root, "photos")
+    photos = read_photos(spark, root)
+    if photos is None:
+        raise FileNotFoundError(f"there are no photos below {root}")
+    photos = checkpointed(photos)
     bags = tags.photo_bags(photos)
     stamp = F.current_timestamp()
     declared = dict(schemas.KEYS)
 
     def merged(df, name, partition, keep=()):
-        df = checkpointed(df)
+        df = checkpointed(conform(df, getattr(schemas, name.upper())))
         tables.merge(df, root, name, declared[name], partition, keep=keep)
         return df.count()
 
@@ -139,7 +234,8 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
         )
 
     def generate_daily_trends():
-        return merged(daily.daily_trends(photos, bags, day), "daily_trends", "trend_date")
+        trends = daily.daily_trends(photos, bags, day).withColumn("created_at", stamp)
+        return merged(trends, "daily_trends", "trend_date", ["created_at"])
 
     def build_marts():
         stg = staging.stg_photos(photos, day)
@@ -157,7 +253,7 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
     def test_tables():
         checks = {}
         for name, keys in declared.items():
-            df = tables.read_table_or_none(spark, root, name)
+            df = photos if name == "photos" else tables.read_table_or_none(spark, root, name)
             if df is not None:
                 required = schemas.REQUIRED.get(name, keys)
                 checks[f"unique_{name}"] = quality.check_unique(df, keys)
@@ -212,13 +308,16 @@ def run_elt(
     transform_only: bool = False,
     recorded_at: dt.datetime | None = None,
     buckets: int = BUCKETS,
+    compact: bool = False,
 ) -> DataFrame:
     """Extract, load and transform; one summary row per step.
 
     ``landing`` holds the folder photos/ and, optionally, details/ and statistics/, which
     complete the photo records, and searches/, a search log. Load needs a successful
-    extract, transform a successful load; a failure keeps what earlier phases wrote.
+    extract, transform a successful load; a failure keeps what earlier phases wrote. With
+    ``compact`` the loads are folded into the tables' ``buckets`` before the transform.
     """
+    recover_tables(spark, root)
     recorded_at = recorded_at or dt.datetime.now(dt.timezone.utc)
     results: list[tuple] = []
 
@@ -236,21 +335,24 @@ def run_elt(
         staged = {}
 
         def extract():
-            raw = L.photo_batch(read_records(spark, landing), batch_size)
-            staged["photos"] = checkpointed(normalize.judge(raw))
+            judged = checkpointed(normalize.judge(read_records(spark, landing)))
+            staged["photos"] = checkpointed(L.photo_batch(judged, batch_size))
             return staged["photos"].count()
 
         def load():
-            return load_photos(staged["photos"], root, recorded_at, buckets)
+            return load_photos(staged["photos"], root, recorded_at)
 
         if not phase("extract", "extract_photos", extract) or extract_only:
             return summary()
         loaded = phase("load", "load_photos", load)
         log = read_search_log(spark, f"{landing}/searches")
         if log is not None:
-            loaded &= phase("load", "load_trending_data", lambda: load_search_trends(log, root))
+            load_log = lambda: load_search_trends(log, root, recorded_at)
+            loaded &= phase("load", "load_trending_data", load_log)
         if not loaded:
             return summary()
+    if compact:
+        fold_tables(spark, root, buckets)
     results.extend(transform(spark, root, analysis_date))
     return summary()
 
@@ -269,7 +371,8 @@ def read_records(spark: SparkSession, landing: str) -> DataFrame:
         stats = found.unionByName(basic.where("statistics is not null").select("id", "statistics.*"))
     else:
         stats = _valid(stats)
-    newest = [F.desc("updated_at"), F.asc(F.xxhash64(F.to_json(F.struct(*details.columns))))]
+    text = F.xxhash64(F.to_json(F.struct(*details.columns)))
+    newest = [F.desc(X.parse_ts("updated_at")), F.asc(text)]
     details = latest(_valid(details, keep=True), ["id"], newest)
     totals = [F.desc(f"{c}.total") for c in snapshots.DELTAS]  # totals only grow
     return normalize.enrich(basic, details, latest(stats, ["id"], totals))
@@ -286,14 +389,13 @@ def or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
 def read_search_log(spark: SparkSession, path: str) -> DataFrame | None:
-    schema = "search_term string, searched_at timestamp"
-    return or_none(lambda: spark.read.schema(schema).json(path))
+    return or_none(lambda: L.read_search_log(spark, path))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -302,6 +404,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True)
     parser.add_argument("--analysis-date", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--batch-size", type=int)
+    parser.add_argument("--compact", action="store_true")
     parser.add_argument("--log-level", choices=["DEBUG", "INFO", "WARN", "ERROR"], default="WARN")
     only = parser.add_mutually_exclusive_group()
     only.add_argument("--extract-only", action="store_true")
@@ -317,6 +420,7 @@ def main(argv: list[str] | None = None) -> int:
         args.batch_size,
         args.extract_only,
         args.transform_only,
+        compact=args.compact,
     )
     rows = summary.collect()  # one row per step
     for row in rows:

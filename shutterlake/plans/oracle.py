@@ -241,6 +241,12 @@ counted as (select l_orderkey, cast(sum(l_quantity) as bigint) as likes
             from lineitem group by l_orderkey)
 """
 
+# stored rows that a batch of nine photos in ten leaves as they are
+UNTOUCHED = """
+select cast(o_orderkey as varchar), o_orderdate, 0, o_orderstatus, o_orderdate
+from orders where o_orderkey % 10 = 3 and o_orderdate < timestamp '1999-01-01'
+"""
+
 TEXT_PHOTOS = """
 text_photos as (
  select cast(doc_id as varchar) as id, text as description, lang as user_name,
@@ -278,7 +284,11 @@ select null, null, null, null, null, null, null, null, null, null, line from cut
 with {RAW}
 select (select count(*) from raw) as total,
  (select cast(ceil(count(*) / 20) as bigint) from raw) as total_pages,
- id, width, color, cast(c_custkey as varchar) as user_id from raw""",
+ id, width, color, cast(c_custkey as varchar) as user_id, null as corrupt
+from raw where (k // 20) % 7 <> 3
+union all
+select null, null, null, null, null, null, '{{"results":[{{"id":' from (
+ select distinct k // 20 as page from raw) where page % 7 = 3""",
     "ingest_collections": """
 select p_brand as id, cast(null as varchar) as title, min(p_name) as description,
  count(*) as total_photos from part group by p_brand""",
@@ -314,14 +324,16 @@ select cast(o_orderkey as varchar) as id, o_orderdate + interval 1 day as update
  o_orderpriority as description,
  case when o_orderdate < timestamp '1999-01-01' then o_orderdate
       else timestamp '2024-01-01' end as extracted_at
-from orders left join counted on l_orderkey = o_orderkey""",
+from orders left join counted on l_orderkey = o_orderkey where o_orderkey % 10 <> 3
+union all {UNTOUCHED}""",
     "touch_updated_at": f"""
 with {COUNTED}
 select cast(o_orderkey as varchar) as id,
  case when o_orderdate < timestamp '1999-01-01' then timestamp '2024-01-02'
       else o_orderdate + interval 1 day end as updated_at, likes,
  o_orderpriority as description, timestamp '2024-01-01' as extracted_at
-from orders left join counted on l_orderkey = o_orderkey""",
+from orders left join counted on l_orderkey = o_orderkey where o_orderkey % 10 <> 3
+union all {UNTOUCHED}""",
     "upsert_search_trends": f"""
 with {TRENDS},
 first as (select event_type as search_term, cast(ts as date) as trend_date,
@@ -329,8 +341,7 @@ first as (select event_type as search_term, cast(ts as date) as trend_date,
 select * from trends where trend_date >= date '2024-01-15'
 union all select * from first where trend_date < date '2024-01-15'""",
     "stat_deltas": f"with {DELTAS} select * from deltas",
-    "stat_deltas_incremental": f"""
-with {DELTAS} select * from deltas where recorded_at >= timestamp '2024-01-15'""",
+    "stat_deltas_incremental": f"with {DELTAS} select * exclude (id) from deltas",
     "upsert_analysis": f"""
 with {STG}, {TAG_ANALYSIS},
 words as (select p_size as likes, cast(floor(p_retailprice) as bigint) as downloads,
@@ -573,6 +584,33 @@ union all select 'transform', 'generate_daily_trends', true,
  least(count(*), 1), null from good where cast(parsed as date) = date '2001-08-01'
 union all select 'transform', 'build_marts', true, 5, null
 union all select 'transform', 'test_tables', true, 0, null""",
+    "tag_analysis_table": f"""
+with {RAW}, good as (select * from raw where width is not null and not cut and n_tags > 0)
+select tag as tag_name, count(*) as photo_count, {big("sum(coalesce(likes, 0))")} as total_likes,
+ {mean_decimal("sum(coalesce(likes, 0))", "count(*)")} as avg_likes,
+ date '2001-08-01' as analysis_date, true as updated, cast(null as double) as trend_score,
+ cast(null as varchar) as co_occurring_tags
+from (select likes, unnest(string_split(tags, ',')) as tag from good) group by tag""",
+    "photos_after_two_loads": f"""
+with {RAW}
+select id, parsed as created_at, width, case when k % 2 = 0 then likes + 1 else likes end as likes,
+ timestamp '2024-01-31' as extracted_at, tags from raw where width is not null""",
+    "quarantine": f"""
+with {RAW}, bad as (select id, cut, case when cut then line end as line
+ from raw left join (select id, line from cut_lines) using (id) where cut or width is null)
+select 'photos' as feed, case when cut then 'malformed' else 'width' end as reason,
+ date '2024-01-31' as recorded_on, count(case when not cut then id end) as ids,
+ count(distinct line) as texts, count(*) as lines from bad group by cut
+union all
+select 'searches', case when event_id % 50 = 0 then 'malformed' else 'search_term,searched_at' end,
+ date '2024-01-31', 0, count(distinct case when event_id % 50 = 0 then event_id end),
+ count(*) from events where event_id % 50 = 0 or event_id % 51 = 0 group by 2""",
+    "ingest_photo_batch": f"""
+with {RAW}
+select id, null as _corrupt, null as reason from (
+ select * from raw where width is not null and not cut order by parsed desc, id limit 100)
+union all select id, null, 'width' from raw where width is null and not cut
+union all select null, line, 'malformed' from cut_lines""",
     "job_log": f"""
 with {RAW},
 done as (

@@ -41,6 +41,18 @@ PHOTO_STATISTICS = """
     download_delta bigint, likes_delta bigint, views_delta bigint
 """
 
+# The newest snapshot of each photo and the one before it.
+PHOTO_LAST_STATISTICS = """
+    photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint,
+    before struct<recorded_at:timestamp,downloads:bigint,likes:bigint,views:bigint>
+"""
+
+# Records of any feed that could not be loaded.
+QUARANTINE = """
+    feed string, id string, _corrupt string, reason string, fingerprint bigint,
+    recorded_on date, lines bigint
+"""
+
 SEARCH_TRENDS = """
     search_term string, search_count bigint, trend_date date, category string,
     extracted_at timestamp
@@ -83,11 +95,13 @@ CLEANUP_LOGS = """
 # Key columns of each table, used by upserts and by the uniqueness check.
 KEYS = {
     "photos": ["id"],
+    "photo_statistics": ["photo_id", "recorded_at"],
     "search_trends": ["search_term", "trend_date"],
     "tag_analysis": ["tag_name", "analysis_date"],
     "tag_cooccurrence": ["tag1", "tag2", "analysis_date"],
     "photographer_analysis": ["user_id", "analysis_date"],
     "daily_trends": ["trend_date"],
+    "users": ["email"],
 }
 
 # Columns that must not be null.

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shutterlake.operators.upsert import upsert
-from shutterlake.session import scratch
+from shutterlake.session import checkpointed
 
 BUCKET = "bucket"
+LOADED = ("loaded_at", "loaded_on")  # what a change has beside the table's columns
 
 
 def read_table(
@@ -22,9 +23,11 @@ def read_table(
     return reader.parquet(f"{root.rstrip('/')}/{name}")
 
 
-def read_table_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+def read_table_or_none(
+    spark: SparkSession, root: str, name: str, merge_schema: bool = False
+) -> DataFrame | None:
     try:
-        return read_table(spark, root, name)
+        return read_table(spark, root, name, merge_schema)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -81,37 +84,163 @@ def merge(
 ) -> DataFrame:
     """Upserts ``batch`` into a table partitioned by ``partition``, a function of the keys.
 
-    Only the partitions the batch touches are read and rewritten, and nothing else of the
-    table moves. The new partitions are staged in the shared folder first, because a path
-    cannot be read and overwritten in one job; a failed run can simply be repeated. Keys that
-    the batch lacks stay in the table. The batch is read several times: pass a checkpointed
-    frame unless it is cheap to recompute.
+    Only the partitions the batch touches are read and rewritten. Keys that the batch lacks stay
+    in the table, and columns that are new in the batch are added. The new partitions are
+    staged below ``root`` first, because a path cannot be read and overwritten in one job. A
+    stage that is complete is the only whole copy while partitions are exchanged; the next
+    merge, or ``recover``, finishes an exchange that broke off. One job at a time may write a
+    table. The batch is read several times: pass a checkpointed frame unless it is cheap.
     """
     spark = batch.sparkSession
     target = f"{root.rstrip('/')}/{name}"
-    current = read_table_or_none(spark, root, name)
+    recover(spark, root, name, partition)
+    current = read_table_or_none(spark, root, name, merge_schema=True)
     if current is None:
         # append, because an earlier merge of an empty batch left the folder without data
         first = _by_partition(batch, partition).write.mode("append")
         first.partitionBy(partition).parquet(target)
         return spark.read.schema(batch.schema).parquet(target)
-    # one value per partition of the table: bounded by the table's layout, not its rows
-    touched = [row[0] for row in batch.select(partition).distinct().collect()]
-    old = current.where(F.col(partition).isin(touched)) if touched else current.limit(0)
+    old = current.join(batch.select(partition).distinct(), partition, "left_semi")
     columns = [*keys, *([] if partition in keys else [partition])]
-    new = _by_partition(upsert(old, batch, columns, keep, touch), partition)
-    staged = scratch(spark, f"stage-{name}")
-    new.write.partitionBy(partition).parquet(staged)
-    (
-        _by_partition(spark.read.schema(new.schema).parquet(staged), partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(target)
-    )
+    new = upsert(old.select(*current.columns), batch, columns, keep, touch)
+    new.write.mode("overwrite").parquet(_stage(root, name))
+    recover(spark, root, name, partition)
     return spark.read.schema(new.schema).parquet(target)
 
 
+def recover(spark: SparkSession, root: str, name: str, partition: str) -> bool:
+    """Puts a completely staged merge in place; an incomplete one is dropped. Repeatable."""
+    stage = _stage(root, name)
+    files, path = _files(spark, stage)
+    if not files.exists(path):
+        return False
+    complete = files.exists(_files(spark, f"{stage}/_SUCCESS")[1])
+    if complete:
+        (
+            _by_partition(spark.read.parquet(stage), partition)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(f"{root.rstrip('/')}/{name}")
+        )
+    files.delete(path, True)
+    return complete
+
+
+def _stage(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/_staged/{name}"
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+# -- tables that are loaded by appending changes --------------------------------------------
+
+
+def add_changes(batch: DataFrame, root: str, name: str, loaded_at: Column) -> None:
+    """Appends new versions of rows; nothing of the table is read or rewritten.
+
+    A repeated load appends the same versions again, which changes nothing for readers.
+    """
+    stamp = loaded_at.cast("timestamp")
+    changes = batch.withColumns(dict(zip(LOADED, (stamp, F.to_date(stamp)), strict=True)))
+    changes.write.mode("append").partitionBy(LOADED[1]).parquet(_changes(root, name))
+
+
+def _changes(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}_changes"
+
+
+def newest_changes(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame | None:
+    """The newest version of each changed key, by load time, then ``order``; columns in ``keep``
+    come from its first version. Versions are combined before the shuffle."""
+    changes = read_table_or_none(spark, root, f"{name}_changes", merge_schema=True)
+    if changes is None:
+        return None
+    columns = [c for c in changes.columns if c not in LOADED]
+    rest = [c for c in columns if c not in keys]
+    text = F.xxhash64(F.to_json(F.struct(*rest)))
+    newest = F.max_by(F.struct(*rest), F.struct(LOADED[0], *order, text)).alias("_new")
+    first = [F.min_by(c, LOADED[0]).alias(f"_first_{c}") for c in keep]
+    found = changes.groupBy(*keys).agg(newest, *first)
+    return found.select(
+        *[
+            F.col(c) if c in keys else F.col(f"_first_{c}" if c in keep else f"_new.{c}").alias(c)
+            for c in columns
+        ]
+    )
+
+
+def read_keyed(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame | None:
+    """A table with its changes applied, None if there is neither.
+
+    Folded rows without a change pass an anti join, which needs no shuffle of them while the
+    changed keys are few enough for Spark to broadcast; ``fold`` keeps them few.
+    """
+    base = read_table_or_none(spark, root, name, merge_schema=True)
+    newest = newest_changes(spark, root, name, keys, order, keep)
+    if base is None:
+        return newest
+    base = base.drop(BUCKET)
+    return base if newest is None else upsert(base, newest, keys, keep)
+
+
+def fold(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    keys: Sequence[str],
+    buckets: int,
+    order: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> None:
+    """Moves the changes of a table into its buckets, by hash of the first key.
+
+    ``buckets`` is a layout choice made once: it is stored beside the table, and another number
+    is refused, as it would give a row two places. A fold that broke off can be repeated.
+    """
+    stored = layout(spark, root, name)
+    if stored not in (None, buckets):
+        raise ValueError(f"{name} has {stored} buckets, not {buckets}")
+    newest = newest_changes(spark, root, name, keys, order, keep)
+    if newest is None:
+        return
+    if stored is None:
+        spark.range(1).coalesce(1).select(F.lit(buckets).alias("buckets")).write.mode(
+            "overwrite"
+        ).json(f"{root.rstrip('/')}/_layout/{name}")
+    batch = checkpointed(with_bucket(newest, keys[0], buckets))
+    merge(batch, root, name, keys, BUCKET, keep)
+    files, path = _files(spark, _changes(root, name))
+    files.delete(path, True)
+
+
+def layout(spark: SparkSession, root: str, name: str) -> int | None:
+    """The number of buckets a table was folded into, None before that."""
+    path = f"{root.rstrip('/')}/_layout/{name}"
+    if not _files(spark, path)[0].exists(_files(spark, path)[1]):
+        return None
+    row = spark.read.schema("buckets int").json(path).first()
+    return row and row["buckets"]
+
+
 def _by_partition(df: DataFrame, partition: str) -> DataFrame:
     """Rows of a partition brought together for few files; Spark splits the large ones."""
     return df.hint("rebalance", partition)

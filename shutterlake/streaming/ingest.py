@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shutterlake import schemas
 from shutterlake.operators.normalize import CORRUPT
-from shutterlake.plans.elt import BUCKETS, load_photos
+from shutterlake.plans.elt import load_photos
 
 
 def stream_photos(
@@ -19,16 +19,15 @@ def stream_photos(
     checkpoint: str,
     recorded_at: dt.datetime | None = None,
     files_per_batch: int = 1000,
-    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Loads every new file below ``landing`` and stops when none is left.
 
-    A batch may be delivered again after a failure; the load is an upsert keyed by photo and
-    by (photo, snapshot time), so a repeat with the same ``recorded_at`` changes nothing.
+    A batch may be delivered again after a failure; photos are read by key, and snapshots and
+    quarantine are merged by key, so a repeat with the same ``recorded_at`` changes nothing.
     """
 
     def load(batch, _):
-        load_photos(batch, root, recorded_at or dt.datetime.now(dt.timezone.utc), buckets)
+        load_photos(batch, root, recorded_at or dt.datetime.now(dt.timezone.utc))
 
     return (
         spark.readStream.schema(f"{schemas.RAW_PHOTO}, {CORRUPT} string")

@@ -4,6 +4,8 @@ import json
 import pytest
 
 from conftest import rows
+from pyspark.sql.types import StructType
+from shutterlake import schemas
 from shutterlake.plans import elt
 from shutterlake.session import shared_folder
 from shutterlake.sources import tables
@@ -44,35 +46,41 @@ def landing(tmp_path):
 
 def test_job_twice(spark, landing, tmp_path):
     root = str(tmp_path / "tables")
-    first = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(20), buckets=2)
+    first = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(20), buckets=2, compact=True)
     steps = {r["step"]: (r["success"], r["records"]) for r in first.collect()}
     assert steps == {
         "extract_photos": (True, 5), "load_photos": (True, 2), "load_trending_data": (True, 1),
         "analyze_tags": (True, 2), "analyze_photographers": (True, 1),
         "generate_daily_trends": (True, 1), "build_marts": (True, 5), "test_tables": (True, 0)}
-    photos = tables.read_table(spark, root, "photos")
+    photos = elt.read_photos(spark, root)
     assert rows(photos, "id", "likes", "tags") == [("p1", 5, ["a", "b"]), ("p2", 7, ["a", "b"])]
-    assert rows(tables.read_table(spark, root, "quarantine"), "reason") == [
-        ("malformed",), ("width",)]
+    bad = tables.read_table(spark, root, "quarantine")
+    assert rows(bad, "feed", "reason", "id", "lines") == [
+        ("photos", "malformed", None, 1), ("photos", "width", "p3", 1)]
+    assert "bucket" not in photos.columns and "bucket" not in spark.table("stg_photos").columns
     seen = rows(photos, "id", "extracted_at")
 
     drop(landing, "2.json", record(2, 9, color=None), record(4, 1, tags=[{"title": "z"}]))
     (landing / "photos" / "1.json").unlink()
-    second = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(21), buckets=2)
+    second = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(21))
     assert all(r["success"] for r in second.collect())
-    photos = tables.read_table(spark, root, "photos")
+    photos = elt.read_photos(spark, root)
     assert rows(photos, "id", "likes", "color") == [
         ("p1", 5, "#aaaaaa"), ("p2", 9, None), ("p4", 1, "#aaaaaa")]
     assert rows(photos.where("id <> 'p4'"), "id", "extracted_at") == seen
     stats = tables.read_table(spark, root, "photo_statistics")
     assert rows(stats, "photo_id", "likes", "likes_delta") == [
         ("p1", 5, 5), ("p2", 7, 7), ("p2", 9, 2), ("p4", 1, 1)]
+    for name in ("photo_statistics", "search_trends", "tag_analysis", "tag_cooccurrence",
+                 "photographer_analysis", "daily_trends"):
+        declared = StructType.fromDDL(getattr(schemas, name.upper())).fieldNames()
+        assert set(declared) <= set(tables.read_table(spark, root, name).columns)
     analysis = tables.read_table(spark, root, "tag_analysis")
     assert rows(analysis, "tag_name", "photo_count") == [("a", 2), ("b", 2), ("z", 1)]
     log = tables.read_table(spark, root, "etl_jobs")
     assert rows(log.groupBy("status").count()) == [("completed", 16), ("running", 16)]
 
-    repeat = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(21), buckets=2)
+    repeat = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(21))
     assert all(r["success"] for r in repeat.collect())
     assert rows(tables.read_table(spark, root, "photo_statistics"), "photo_id", "likes_delta") == [
         ("p1", 5), ("p2", 2), ("p2", 7), ("p4", 1)]
@@ -98,7 +106,7 @@ def test_failed_extract_stops_and_is_logged(spark, tmp_path):
 
 def test_failing_check_is_kept_and_reported(spark, landing, tmp_path):
     root = str(tmp_path / "tables")
-    elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(20), buckets=2)
+    elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(20))
     stats = tables.read_table(spark, root, "photo_statistics").limit(1)
     lost = stats.drop("recorded_on").selectExpr("* except (photo_id)", "'gone' photo_id")
     lost.write.mode("append").parquet(f"{root}/photo_statistics/recorded_on=2024-12-20")
@@ -122,8 +130,8 @@ def test_details_and_statistics_feeds(spark, tmp_path):
             "\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines))
     records = elt.normalize.judge(elt.read_records(spark, str(landing)))
     assert records.where("reason = 'malformed'").count() == 1
-    assert elt.load_photos(records, root, at(20), 2) == 2
-    photos = tables.read_table(spark, root, "photos")
+    assert elt.load_photos(records, root, at(20)) == 2
+    photos = elt.read_photos(spark, root)
     assert rows(photos, "id", "likes", "color") == [("p1", 5, "#aaaaaa"), ("p2", 9, "#bbbbbb")]
     stats = tables.read_table(spark, root, "photo_statistics")
     assert rows(stats, "photo_id", "likes") == [("p1", 50)]
@@ -132,16 +140,58 @@ def test_details_and_statistics_feeds(spark, tmp_path):
 def test_stream_equals_batch(spark, landing, tmp_path):
     batch, stream = str(tmp_path / "batch"), str(tmp_path / "stream")
     drop(landing, "2.json", record(2, 9), record(5, 3))
-    elt.load_photos(elt.L.read_photos(spark, f"{landing}/photos"), batch, at(20), 2)
+    elt.load_photos(elt.L.read_photos(spark, f"{landing}/photos"), batch, at(20))
     for run in ("a", "b"):
-        stream_photos(spark, f"{landing}/photos", stream, f"{stream}/_{run}", at(20),
-                      buckets=2).awaitTermination()
-    for name, columns in (("photos", ("id", "likes")),
+        query = stream_photos(spark, f"{landing}/photos", stream, f"{stream}/_{run}", at(20))
+        query.awaitTermination()
+    assert rows(elt.read_photos(spark, stream), "id", "likes") == rows(
+        elt.read_photos(spark, batch), "id", "likes")
+    for name, columns in (("quarantine", ("fingerprint", "lines")),
                           ("photo_statistics", ("photo_id", "likes", "likes_delta"))):
         assert rows(tables.read_table(spark, stream, name), *columns) == rows(
             tables.read_table(spark, batch, name), *columns)
 
 
+def test_newest_is_compared_as_an_instant(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    older, newer = "2024-12-20T01:00:00+05:00", "2024-12-19T23:00:00Z"
+    drop(landing, "1.json", record(1, 5))
+    (landing / "details").mkdir()
+    details = [record(1, 6, updated_at=older), record(1, 7, updated_at=newer)]
+    (landing / "details" / "f.json").write_text("\n".join(map(json.dumps, details)))
+    elt.load_photos(elt.read_records(spark, str(landing)), root, at(20))
+    assert rows(elt.read_photos(spark, root), "likes") == [(7,)]
+    drop(landing, "1.json", record(1, 5, created_at=older), record(2, 6, created_at=newer))
+    page = elt.L.photo_batch(elt.L.read_photos(spark, f"{landing}/photos"), 1)
+    assert rows(page, "id") == [("p2",)]
+
+
+def test_lines_that_are_no_search(spark, tmp_path):
+    root, path = str(tmp_path / "tables"), tmp_path / "log"
+    path.mkdir()
+    lines = ['{"search_term": "sun", "searched_at": "2024-12-20T01:00:00Z"}', '{"cut',
+             '{"search_term": "sea"}', '{"searched_at": "soon"}']
+    (path / "s.json").write_text("\n".join(lines))
+    for _ in range(2):
+        assert elt.load_search_trends(elt.read_search_log(spark, str(path)), root, at(20)) == 1
+    assert rows(tables.read_table(spark, root, "search_trends"), "search_term") == [("sun",)]
+    bad = tables.read_table(spark, root, "quarantine")
+    assert sorted(r["reason"] for r in bad.collect()) == ["malformed", "malformed", "searched_at"]
+    assert elt.read_search_log(spark, str(tmp_path / "nowhere")) is None
+
+
+def test_statistics_out_of_order_and_twice(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    schema = "photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint"
+    loads = [("p", at(3), 0, 30, 0)], [("p", at(5), 0, 50, 0), ("q", at(5), 0, 7, 0)]
+    for data in (*loads, loads[1], [("p", at(4), 0, 40, 0)], [("p", at(6), 0, 61, 0)]):
+        elt.load_statistics(spark.createDataFrame(data, schema), root, elt.F.lit(at(9)))
+        elt.fold_tables(spark, root, 2)
+    stored = tables.read_table(spark, root, "photo_statistics")
+    assert rows(stored, "photo_id", "likes", "likes_delta") == [
+        ("p", 30, 30), ("p", 40, 10), ("p", 50, 20), ("p", 61, 11), ("q", 7, 7)]
+
+
 class Session:
     """Stands for a session on a cluster with the given settings."""
 

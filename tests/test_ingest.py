@@ -75,6 +75,9 @@ def test_search_and_feeds(spark, tmp_path):
     page = {"results": [RECORD, changed(id="p9")], "total": 12, "total_pages": 6}
     path = write(tmp_path, page, {"results": [], "total": 0, "total_pages": 0})
     assert rows(landing.read_search(spark, path), "id", "total") == [("p1", 12), ("p9", 12)]
+    cut = write(tmp_path, page, '{"results": [{"id"')
+    assert rows(landing.read_search(spark, cut), "id", normalize.CORRUPT) == [
+        ("p1", None), ("p9", None), (None, '{"results": [{"id"')]
     with pytest.raises(ValueError):
         landing.read_feed(spark, path, "unknown")
 
@@ -84,8 +87,12 @@ def test_batches(spark, tmp_path):
                for i in range(1, 31)]
     raw = landing.read_photos(spark, write(tmp_path, *records))
     assert landing.photo_batch(raw).count() == 30
-    latest = landing.photo_batch(raw, batch_size=50)
-    assert latest.count() == 20 and latest.first()["id"] == "30"
+    assert landing.photo_batch(raw, batch_size=50).count() == 30
+    assert rows(landing.photo_batch(raw, 2), "id") == [("29",), ("30",)]
+    with_bad = landing.read_photos(spark, write(tmp_path, *records, '{"cut'))
+    assert rows(landing.photo_batch(with_bad, 1), "id", "reason") == [
+        ("30", None), (None, "malformed")]
+    raw = landing.read_photos(spark, write(tmp_path, *records))
     assert rows(landing.photo_batch(raw, 2, order_by="popular"), "id") == [("1",), ("2",)]
     with pytest.raises(ValueError):
         landing.photo_batch(raw, 2, order_by="random")

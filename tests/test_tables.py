@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import random
+import shutil
 
 import pytest
 
@@ -74,6 +75,81 @@ def test_merge_by_bucket_keeps_first_seen(spark, tmp_path):
     assert rows(got, "id", "v", "seen") == sorted(expected, key=repr)
 
 
+def test_merge_adds_new_columns(spark, tmp_path):
+    root = str(tmp_path)
+    first = tables.with_bucket(frame(spark, ("1", 1, "a"), ("2", 2, "a")), "id", 4)
+    tables.merge(first, root, "t", ["id"], tables.BUCKET)
+    more = tables.with_bucket(frame(spark, ("2", 3, "b")), "id", 4).withColumn("extra", F.lit(7))
+    got = tables.merge(more, root, "t", ["id"], tables.BUCKET)
+    assert rows(got, "id", "v", "extra") == [("1", 1, None), ("2", 3, 7)]
+
+
+def test_an_interrupted_exchange_is_finished(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    batch = tables.with_bucket(frame(spark, *[(str(i), i, "a") for i in range(20)]), "id", 4)
+    tables.merge(batch, root, "t", ["id"], tables.BUCKET)
+    recover = tables.recover
+    calls = []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 2:  # after staging: partitions are gone, the new ones not there yet
+            for part in os.listdir(tmp_path / "t"):
+                if part.startswith("bucket="):
+                    shutil.rmtree(tmp_path / "t" / part)
+            raise OSError("lost")
+        return recover(*args)
+
+    monkeypatch.setattr(tables, "recover", broken)
+    change = tables.with_bucket(frame(spark, ("3", -3, "b")), "id", 4)
+    with pytest.raises(OSError):
+        tables.merge(change, root, "t", ["id"], tables.BUCKET)
+    monkeypatch.setattr(tables, "recover", recover)
+    assert tables.recover(spark, root, "t", tables.BUCKET)
+    assert not tables.recover(spark, root, "t", tables.BUCKET)
+    touched = rows(change, "bucket")[0][0]
+    want = sorted((str(i), -3 if i == 3 else i) for i, b in
+                  ((int(r["id"]), r["bucket"]) for r in batch.collect()) if b == touched)
+    assert rows(tables.read_table(spark, root, "t"), "id", "v") == want
+    assert os.listdir(tmp_path / "_staged") == []
+
+
+def test_an_incomplete_stage_is_dropped(spark, tmp_path):
+    root = str(tmp_path)
+    batch = tables.with_bucket(frame(spark, ("1", 1, "a")), "id", 4)
+    tables.merge(batch, root, "t", ["id"], tables.BUCKET)
+    (tmp_path / "_staged" / "t").mkdir(parents=True)
+    assert not tables.recover(spark, root, "t", tables.BUCKET)
+    assert rows(tables.read_table(spark, root, "t"), "id") == [("1",)]
+
+
+def test_changes_are_read_and_folded(spark, tmp_path):
+    root, day = str(tmp_path), dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+
+    def load(n, *data):
+        tables.add_changes(frame(spark, *data), root, "p", F.lit(day + dt.timedelta(days=n)))
+
+    def read():
+        return rows(tables.read_keyed(spark, root, "p", ["id"], keep=["seen"]))
+
+    assert tables.read_keyed(spark, root, "p", ["id"]) is None
+    load(0, ("1", 1, "a"), ("2", 2, "a"))
+    load(1, ("2", 20, "b"), ("3", 30, "b"))
+    want = [("1", 1, "a"), ("2", 20, "a"), ("3", 30, "b")]
+    assert read() == want
+    load(1, ("2", 20, "b"), ("3", 30, "b"))  # delivered again
+    assert read() == want
+    tables.fold(spark, root, "p", ["id"], 4, keep=["seen"])
+    assert read() == want
+    load(2, ("1", None, "c"))
+    assert read() == [("1", None, "a"), *want[1:]]
+    with pytest.raises(ValueError):
+        tables.fold(spark, root, "p", ["id"], 8, keep=["seen"])
+    for _ in range(2):
+        tables.fold(spark, root, "p", ["id"], 4, keep=["seen"])
+        assert read() == [("1", None, "a"), *want[1:]]
+
+
 def test_publish(spark, tmp_path):
     df = frame(spark, ("1", 1, "a"))
     tables.publish(df, "a_view", "view")

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from shutterlake.llm.common import materialized
 
-UNIT_BYTES = 24 << 20  # text of a unit
-BUCKET_TOKENS = 1 << 22  # tokens of the input for each bucket of hashes
+UNIT_BYTES = 8 << 20  # text of a unit
+BUCKET_TOKENS = 1 << 21  # tokens of the input for each bucket of hashes
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 SCORED, COUNTED, HELD = 0, 1, 2  # only scored; counted; counted, and weights learned on it
 BINS_A_BIT = 16  # resolution of likelihood ratios while weights are learned

@@ -1,8 +1,8 @@
 """Toxicity grades by cumulative-link ordinal regression.
 
 A document has grade 0 (clean), 1 (toxic) or 2 (toxic, with more words that mark toxic documents
-than the median of those). One
-weight for each feature is shared by all grades; only the thresholds differ:
+than the median of those). One weight for each feature is shared by all grades; only the
+thresholds differ:
 P(grade > k) = s(weights . features - threshold k), s the logistic function, thresholds rising.
 The expected severity is the sum of these probabilities.
 """

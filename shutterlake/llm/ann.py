@@ -49,14 +49,15 @@ def nearest(
     axes: int = 8,
     bits: int = 7,
     share: float = 0.06,
+    least: int = 500,
     seed: int = 5,
 ) -> DataFrame:
     """``(query_id, rank, id, score)``: the nearest ``k`` found for every row with ``is_query``.
 
     Each of ``curves`` orders projects all vectors on ``axes`` random directions, shifts and
     scales them to a grid of ``2**bits`` cells an axis and sorts them along the Hilbert curve,
-    range-partitioned by Spark. A query meets the rows within ``share`` of all rows before
-    and behind its place in every order. The windows are merged, and candidates are ranked by
+    range-partitioned by Spark. A query meets the rows within ``least`` rows and ``share`` of
+    all rows before and behind its place in every order. The windows are merged, and candidates are ranked by
     Euclidean distance in double precision on the original vectors, ties by smaller id. The
     query's own row is no candidate.
 
@@ -89,7 +90,7 @@ def nearest(
         directions = rng.normal(size=(max(width, 1), curves * axes))
     shifts = rng.random(curves * axes)
     low, high = _bounds(groups, width, directions)
-    reach = int(np.ceil(share * total)) + k
+    reach = int(np.ceil(share * total)) + least
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         span = np.where(high > low, high - low, 1.0)

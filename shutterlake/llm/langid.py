@@ -16,10 +16,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shutterlake.llm.common import annotate, checkpointed, crc_remainder
+from shutterlake.llm.common import (
+    annotate,
+    checkpointed,
+    crc_remainder,
+    least_hashed,
+    materialized,
+)
 
 SLICE = 1 << 19  # byte positions scored at once
 UNDETERMINED = "und"
@@ -95,14 +101,8 @@ def learn(
         F.xxhash64(F.col(id_column).cast("string")).alias("key"),
         F.col(text).alias("text"),
     )
-    smallest = Window.partitionBy("lang").orderBy("key")
-    edge = (
-        known.select("lang", "key")
-        .withColumn("place", F.row_number().over(smallest))
-        .where(F.col("place") <= docs_per_language)
-        .groupBy("lang")
-        .agg(F.max("key").alias("edge"))
-    )
+    least = least_hashed(known.select("lang", "key"), "lang", "key", docs_per_language)
+    edge = materialized(least.groupBy("lang").agg(F.max("key").alias("edge")), "language-edges")
     sample = known.join(edge, "lang").where("key <= edge").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -136,4 +136,37 @@ QUERIES: dict[str, Query] = {
         op10_warc,
     )
 }
-ORACLE: dict[str, str] = {}
+# What SQL can express: the links of all pairs, the distances to all rows, the first of equal
+# payloads. Fingerprints, models, tokens and samples are tested against brute force instead.
+ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": """
+with recursive v as (
+ select vec_id, cast(embedding as double[]) as e from embeddings),
+links as (
+ select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+ where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach as (
+ select vec_id as start, vec_id as node from v
+ union select r.start, l.b from reach r join links l on l.a = r.node)
+select vec_id, (select count(*) from links where a = vec_id) as n_links,
+ (select min(node) from reach where start = vec_id) as component_id,
+ vec_id = (select min(node) from reach where start = vec_id) as kept
+from v""",
+    "op8_nearest": """
+with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+d as (select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score
+ from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id)
+select query_id, cast(row_number() over w as int) as rank, vec_id, score from d
+window w as (partition by query_id order by score, vec_id) qualify row_number() over w <= 10""",
+    "op10_warc": """
+with p as (
+ select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages),
+f as (select *, min(page_id) over (partition by payload) as original from p)
+select page_id, strlen(payload) as payload_bytes,
+ array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + ((cast('0x' || substr(hex, 1 + 5 * (j // 4), 5) as bigint) >> (5 * (3 - j % 4))) & 31), 1)),
+  '') as payload_digest,
+ case when page_id = original then 'response' else 'revisit' end as record_type,
+ case when page_id <> original then original end as refers_to
+from f""",
+}

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shutterlake.llm.common import annotate, checkpointed
+from shutterlake.llm.common import annotate, checkpointed, least_hashed
 
 GRADES = 3
 TOXIC = 0.5  # probability from which a document counts as toxic
@@ -98,13 +98,10 @@ def learn(
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_other"))
         .where("toxic = _other")
     )
-    smallest = Window.partitionBy("toxic").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    chosen = (
-        given.join(docs.select(F.col(id_column).alias("id")).distinct(), "id", "left_semi")
-        .withColumn("_place", F.row_number().over(smallest))
-        .where(F.col("_place") <= docs_per_class)
-        .select("id", "toxic")
+    present = given.join(docs.select(F.col(id_column).alias("id")), "id", "left_semi").select(
+        "id", "toxic", F.xxhash64(F.col("id").cast("string")).alias("key")
     )
+    chosen = least_hashed(present, "toxic", "key", docs_per_class).select("id", "toxic")
     # at most 2 * docs_per_class ids of 12 bytes
     texts = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").groupBy(F.xxhash64("text")).agg(

@@ -32,7 +32,7 @@ def plain(value):
     return None if value is None else str(value)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)

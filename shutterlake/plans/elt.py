@@ -208,7 +208,8 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
     photos = read_photos(spark, root)
     if photos is None:
         raise FileNotFoundError(f"there are no photos below {root}")
-    photos = checkpointed(photos)
+    if tables.has_changes(spark, root, "photos"):  # read by all steps, applied once
+        photos = checkpointed(photos)
     bags = tags.photo_bags(photos)
     stamp = F.current_timestamp()
     declared = dict(schemas.KEYS)

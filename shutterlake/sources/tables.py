@@ -154,6 +154,11 @@ def _changes(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}_changes"
 
 
+def has_changes(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a table has loads that are not folded yet."""
+    return read_table_or_none(spark, root, f"{name}_changes") is not None
+
+
 def newest_changes(
     spark: SparkSession,
     root: str,

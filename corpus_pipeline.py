@@ -14,8 +14,9 @@ from shutterlake.llm import bpe, langid, mixing, simhash, toxicity
 from shutterlake.llm.common import ensure_shared, shared_path
 from shutterlake.llm.queries import TOKENIZER
 
-#: Bits a byte under the best language above which a text is no text of any language learned.
-STRANGE = 6.5
+#: A text that costs more bits a byte than this under the best language is no text of any language
+#: learned: it would be shorter as plain bytes.
+STRANGE = 8.0
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

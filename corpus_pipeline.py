@@ -19,21 +19,31 @@ from shutterlake.llm.queries import TOKENIZER
 STRANGE = 8.0
 
 
+def _apart(docs: DataFrame, added: tuple[str, ...]) -> DataFrame:
+    """``docs`` with columns renamed that an operator would replace."""
+    return docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in added})
+
+
+def _as_before(found: DataFrame, docs: DataFrame, added: tuple[str, ...]) -> DataFrame:
+    """The columns of ``docs``, under their names."""
+    return found.select(*[F.col(f"_own_{c}" if c in added else c).alias(c) for c in docs.columns])
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or bytes that no language fits."""
     ensure_shared(spark)
     model = langid.learn(langid.training_rows(docs))
-    found = langid.predict(docs, model)
+    found = langid.predict(_apart(docs, langid.ADDED), model)
     known = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("lang_bits") <= STRANGE)
-    return found.where(known).select(*docs.columns)
+    return _as_before(found.where(known), docs, langid.ADDED)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the ordinal model grades as toxic."""
     ensure_shared(spark)
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    found = toxicity.predict(docs, model)
-    return found.where(F.col("toxic_score") < toxicity.TOXIC).select(*docs.columns)
+    found = toxicity.predict(_apart(docs, toxicity.ADDED), model)
+    return _as_before(found.where(F.col("toxic_score") < toxicity.TOXIC), docs, toxicity.ADDED)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +65,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_shared(spark)
     mixed = mixing.mix(docs, "doc_id", "text", "source")
     copies = mixed.where("copies > 0").select(
-        F.col("id").alias("_id"), F.col("key").alias("_mixed"), "number", "copies"
+        F.col("id").alias("_id"),
+        F.col("key").alias("_mixed"),
+        F.col("number").alias("_mixed_number"),
+        F.col("copies").alias("_copies"),
     )
     # repeated rows are numbered alike on both sides
     alike = Window.partitionBy("doc_id", "_key").orderBy(F.lit(0))
@@ -64,9 +77,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         copies,
         F.col("doc_id").eqNullSafe(F.col("_id"))
         & (F.col("_key") == F.col("_mixed"))
-        & (F.col("_number") == F.col("number")),
+        & (F.col("_number") == F.col("_mixed_number")),
     )
-    return taken.withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).select(*docs.columns)
+    return taken.withColumn("_copy", F.explode(F.expr("sequence(1, _copies)"))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,9 +83,11 @@ def annotate(
     """
     new = StructType.fromDDL(added)
     kept = [c for c in df.columns if c not in new.fieldNames()]
-    value = "_annotated_value"
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias(value))
-    schema = StructType([f for f in source.schema.fields if f.name != value] + new.fields)
+    value = column if column in kept else "_annotated_value"
+    source = df.select(*[F.col(f"`{c}`") for c in kept])
+    if column not in kept:
+        source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias(value))
+    schema = StructType([f for f in source.schema.fields if f.name in kept] + new.fields)
     arrow = arrow_types(new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,7 @@ from shutterlake.llm.common import (
 
 SLICE = 1 << 19  # byte positions scored at once
 UNDETERMINED = "und"
+ADDED = ("lang_pred", "lang_score", "lang_bits")
 LETTER = regex.compile(r"\p{L}")
 
 

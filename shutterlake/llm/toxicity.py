@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shutterlake.llm.common import annotate, checkpointed, least_hashed
 
 GRADES = 3
+ADDED = ("severity", "toxic_score", "grade")
 TOXIC = 0.5  # probability from which a document counts as toxic
 STEMS = (4, 5, 6)  # bytes of the word beginnings that are features beside whole words
 # A-Z to lower case, every other ASCII byte but digits and lower case to a space

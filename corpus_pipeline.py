@@ -85,8 +85,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     ensure_shared(spark)
-    rows = bpe.encode(docs.select("doc_id", "source", "text"), TOKENIZER)
-    rows = bpe.decode(rows, TOKENIZER)
+    rows = bpe.round_trip(docs.select("doc_id", "source", "text"), TOKENIZER)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return rows.select("doc_id", "source", "ids", F.size("ids").alias("n_tokens"), same.alias("exact"))
 

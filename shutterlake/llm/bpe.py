@@ -8,7 +8,9 @@ alone, so all borders of all new words are tested together, and the answers are
 
 from __future__ import annotations
 
+import functools
 import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shutterlake.llm.common import annotate
 
-KEPT_WORDS = 1 << 19  # words, or pieces between spaces, whose tokens a worker remembers
+KEPT_WORDS = 1 << 18  # words, or pieces between spaces, whose tokens a worker remembers
 # Fixed value: how the tokenizer's byte-level step cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 40
@@ -32,6 +34,40 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Memory(dict):
+    """Remembers at most ``KEPT_WORDS`` answers: when half are new, older ones not used since go."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def lacking(self, needed: set) -> set:
+        """What must be learned; the rest of ``needed`` can now be looked up."""
+        if len(self) + len(needed) > KEPT_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        lost = {key for key in needed if key not in self}
+        for key in [k for k in lost if k in self.older]:
+            self[key] = self.older[key]
+            lost.discard(key)
+        return lost
+
+
+def token_bytes(path: str) -> np.ndarray:
+    """The bytes of every token of a tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    byte_of = byte_alphabet()
+    special = {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
+    plain = {i: t for t, i in spec["model"]["vocab"].items() if i not in special}
+    table = np.full(max([*plain, *special]) + 1, b"", object)
+    for number, token in plain.items():
+        table[number] = bytes(byte_of[c] for c in token)
+    for number, content in special.items():
+        table[number] = content
+    return table
+
+
 class Tokenizer:
     """Encodes and decodes with the vocabulary and merges of a tokenizer file."""
 
@@ -41,14 +77,8 @@ class Tokenizer:
         model = spec["model"]
         byte_of = byte_alphabet()
         self.id_of = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items()}
-        size = max(model["vocab"].values()) + 1
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.bytes_of = [b""] * max([size, *(i + 1 for i in self.special.values())])
-        for token, number in self.id_of.items():
-            self.bytes_of[number] = token
-        for text, number in self.special.items():
-            self.bytes_of[number] = text.encode()
-        self.table = np.array([*self.bytes_of, None], object)[:-1]
+        self.table = token_bytes(path)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         plain = [[bytes(byte_of[c] for c in part) for part in merge] for merge in merges]
         left = np.array([self.id_of[a] for a, _ in plain], np.int64)
@@ -57,7 +87,7 @@ class Tokenizer:
         rank = np.arange(len(plain))
         self.made = made
         # how each token was made: its halves, and the rank of that merge (-1: a single byte)
-        self.born = np.full(len(self.bytes_of), -1, np.int64)
+        self.born = np.full(len(self.table), -1, np.int64)
         self.left_half, self.right_half = self.born.copy(), self.born.copy()
         self.born[made], self.left_half[made], self.right_half[made] = rank, left, right
         order = np.argsort(left << 32 | right)
@@ -69,14 +99,14 @@ class Tokenizer:
         self.proposable = {t: self.id_of[t] for t in own}
         lengths: dict[bytes, set[int]] = {}
         for token in own:
-            if len(token) >= 3:
-                lengths.setdefault(token[:3], set()).add(len(token))
-        self.lengths = {start: (*sorted(n, reverse=True), 2) for start, n in lengths.items()}
+            if len(token) >= 4:
+                lengths.setdefault(token[:4], set()).add(len(token))
+        self.lengths = {start: (*sorted(n, reverse=True), 3, 2) for start, n in lengths.items()}
         self.words = regex.compile(WORDS)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, names))) if names else None
-        self.kept: dict[str, bytes] = {}  # tokens of words, as 32-bit numbers
-        self.pieces: dict[str, bytes | None] = {}  # of what follows a space
+        self.kept = Memory()  # tokens of words, as 32-bit numbers
+        self.pieces = Memory()  # of what follows a space; None if that depends on more
         self.border: dict[tuple[int, int], bool] = {}
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
@@ -126,10 +156,14 @@ class Tokenizer:
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match from the left."""
+        get, lengths = self.proposable.get, self.lengths.get
+        number = get(word)
+        if number is not None:
+            return [number]
         found, at, size = [], 0, len(word)
         while at < size:
-            for length in self.lengths.get(word[at : at + 3], (2,)):
-                number = self.proposable.get(word[at : at + length])
+            for length in lengths(word[at : at + 4], (3, 2)):
+                number = get(word[at : at + length])
                 if number is not None and length <= size - at:
                     break
             else:
@@ -167,29 +201,29 @@ class Tokenizer:
         """Finds the tokens of new words: all are proposed, then all borders are checked."""
         plain = [w.encode("utf-8", "surrogatepass") for w in words]
         proposed = [self.propose(w) for w in plain]
-        borders = {p for t in proposed for p in zip(t, t[1:], strict=False)}
+        if len(self.border) > KEPT_WORDS:
+            self.border.clear()
+        borders = {p for t in proposed if len(t) > 1 for p in zip(t, t[1:], strict=False)}
         new = [p for p in borders if p not in self.border]
         if new:
             pairs = np.array(new, np.int64)
             verdicts = self.compatible(pairs[:, 0], pairs[:, 1]).tolist()
             self.border.update(zip(new, verdicts, strict=True))
         border = self.border.__getitem__
-        good = [all(map(border, zip(t, t[1:], strict=False))) for t in proposed]
-        wrong = [i for i, ok in enumerate(good) if not ok]
+        wrong = [
+            i for i, t in enumerate(proposed)
+            if len(t) > 1 and not all(map(border, zip(t, t[1:], strict=False)))
+        ]
         if wrong:
             for i, tokens in zip(wrong, self.merge([plain[i] for i in wrong]), strict=True):
-                proposed[i] = tokens
+                proposed[i] = tokens.tolist()
         for word, tokens in zip(words, proposed, strict=True):
-            self.kept[word] = np.array(tokens, np.int32).tobytes()
+            self.kept[word] = array("i", tokens).tobytes()
 
     def tokens(self, texts: list[str]) -> list[bytes]:
         """Tokens of texts without special tokens, cut into words as the tokenizer does."""
         cut = [self.words.findall(t) for t in texts]
-        needed = {w for words in cut for w in words}
-        if len(self.kept) + len(needed) > KEPT_WORDS:
-            self.kept.clear()
-            self.border.clear()
-        new = needed.difference(self.kept)
+        new = self.kept.lacking({w for words in cut for w in words})
         if new:
             self.learn(list(new))
         kept = self.kept.__getitem__
@@ -202,10 +236,7 @@ class Tokenizer:
         same tokens wherever it stands. Pieces that are empty or begin or end with white
         space depend on their neighbours and are marked with None.
         """
-        needed = {p for t in texts for p in t.split(" ")[1:]}
-        if len(self.pieces) + len(needed) > KEPT_WORDS:
-            self.pieces.clear()
-        new = list(needed.difference(self.pieces))
+        new = list(self.pieces.lacking({p for t in texts for p in t.split(" ")[1:]}))
         self.pieces.update(zip(new, self.tokens([" " + p for p in new]), strict=True))
         for piece in new:
             if not piece or piece != piece.strip() or piece[0].isspace() or piece[-1].isspace():
@@ -214,7 +245,9 @@ class Tokenizer:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of every text; null counts as empty."""
         plain = [list(self.parts(t or "")) for t in texts]
-        self.learn_pieces([part for parts in plain for part, special in parts if special is None])
+        ordinary = [part for parts in plain for part, special in parts if special is None]
+        self.learn_pieces(ordinary)
+        firsts = iter(self.tokens([part.split(" ", 1)[0] for part in ordinary]))
         out = []
         for parts in plain:
             ids = []
@@ -224,10 +257,10 @@ class Tokenizer:
                     continue
                 first, *rest = part.split(" ")
                 pieces = list(map(self.pieces.__getitem__, rest))
+                ids.append(next(firsts))
                 if None in pieces or first != first.rstrip() or not first and rest:
-                    ids += self.tokens([part])
+                    ids[-1:] = self.tokens([part])
                 else:
-                    ids += self.tokens([first])
                     ids += pieces
             out.append(np.frombuffer(b"".join(ids), np.int32))
         return out
@@ -246,17 +279,23 @@ class Tokenizer:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; bytes that are no UTF-8 become replacement characters."""
-        return b"".join(self.table[ids]).decode("utf-8", "replace")
-
-
-_LOADED: dict[str, Tokenizer] = {}
+        return to_text(self.table, ids)
 
 
+@functools.cache
 def tokenizer(path: str) -> Tokenizer:
     """The tokenizer of a file, loaded once in a worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Tokenizer(path)
-    return _LOADED[path]
+    return Tokenizer(path)
+
+
+@functools.cache
+def decoder(path: str) -> np.ndarray:
+    return token_bytes(path)
+
+
+def to_text(table: np.ndarray, ids: np.ndarray) -> str:
+    """The text of the ids; bytes that are no UTF-8 become replacement characters."""
+    return b"".join(table[ids]).decode("utf-8", "replace")
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -267,16 +306,8 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     Nothing is truncated or padded. A column named like ``ids`` is replaced.
     """
 
-
     def run(texts: pa.Array) -> list:
-        found, coder, values = [], tokenizer(path), texts.to_pylist()
-        for at in range(0, len(values), GROUP):
-            found += coder.encode(values[at : at + GROUP])
-        offsets = np.cumsum([0, *map(len, found)])
-        if offsets[-1] >= 1 << 31:
-            return [found]
-        flat = pa.array(np.concatenate([np.array([], np.int32), *found]))
-        return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)]
+        return [as_lists(encoded(texts, path))]
 
     return annotate(df, text, f"`{ids}` array<int>", run)
 
@@ -285,17 +316,43 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     """``df`` with the text of an id column; null decodes to the empty text."""
 
     def run(rows: pa.Array) -> list:
-        coder, empty = tokenizer(path), np.array([], np.int32)
+        table, empty = decoder(path), np.array([], np.int32)
         found = (rows[i].values for i in range(len(rows)))
-        return [[coder.decode(empty if v is None else v.to_numpy()) for v in found]]
+        return [[to_text(table, empty if v is None else v.to_numpy()) for v in found]]
 
     return annotate(df, ids, f"`{text}` string", run)
 
 
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` of the ids in one pass, so that a task needs one worker."""
+
+    def run(texts: pa.Array) -> list:
+        found, table = encoded(texts, path), tokenizer(path).table
+        return [as_lists(found), [to_text(table, one) for one in found]]
+
+    return annotate(df, text, f"`{ids}` array<int>, `{decoded}` string", run)
+
+
+def encoded(texts: pa.Array, path: str) -> list[np.ndarray]:
+    found, coder, values = [], tokenizer(path), texts.to_pylist()
+    for at in range(0, len(values), GROUP):
+        found += coder.encode(values[at : at + GROUP])
+    return found
+
+
+def as_lists(found: list[np.ndarray]) -> pa.Array | list:
+    offsets = np.cumsum([0, *map(len, found)])
+    if offsets[-1] >= 1 << 31:
+        return found
+    flat = pa.array(np.concatenate([np.array([], np.int32), *found]))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+
+
 def digests(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_tokens, ids_sha256, decoded_sha256)`` of encoding and decoding every row."""
-    rows = encode(df.select(id_column, text), path, text, "ids").select(id_column, "ids")
-    rows = decode(rows, path, "ids", "decoded")
+    rows = round_trip(df.select(id_column, text), path, text, "ids", "decoded")
     return rows.select(
         id_column,
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -66,3 +66,13 @@ def test_digests(spark, library):
         ))
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
     assert bpe.digests(documents(spark, rows).limit(0), PATH).count() == 0
+
+
+def test_encoding_then_decoding_equals_the_round_trip(spark):
+    docs = documents(spark, odd_rows())
+    one = bpe.round_trip(docs, PATH)
+    two = bpe.decode(bpe.encode(docs, PATH), PATH)
+    assert one.columns == two.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    none = bpe.decode(docs.selectExpr("cast(null as array<int>) as ids"), PATH).collect()
+    assert {r["decoded"] for r in none} == {""}

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+PIECE_BYTES = 4 << 20
+
+
 def ensure_shared(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
@@ -91,9 +94,7 @@ def annotate(
     arrow = arrow_types(new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in pieces(batches):
             results = function(batch.column(batch.schema.get_field_index(value)))
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             for result, (_, kind) in zip(results, arrow, strict=True):
@@ -103,6 +104,15 @@ def annotate(
     return source.mapInArrow(run, schema)
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches a few megabytes at a time, so that long texts do not fill a worker."""
+    for batch in batches:
+        if batch.num_rows:
+            rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+
+
 def arrow_types(schema: StructType) -> list[tuple[str, pa.DataType]]:
     from pyspark.sql.pandas.types import to_arrow_type
 

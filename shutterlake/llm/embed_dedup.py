@@ -32,10 +32,11 @@ def near_duplicates(
     Vectors are ordered ``passes`` times, each time lexicographically by ``bits`` concatenated
     random hashes (the side of a random plane). A vector is compared with its ``window``
     successors in every order; pairs with a cosine of ``threshold`` or more, in double
-    precision, are links, and the union of all passes gives the components; a task passes on only
-    as many of its links as connect what they connect. The members of a component then count their links among each other exactly, so a group larger than any
-    window loses none: a component is dealt in chunks and every two chunks meet in one task,
-    which returns counts and no pairs.
+    precision, are links, and the union of all passes gives the components. A task passes on
+    only as many of its links as connect what they connect. The members of a component then
+    count their links among each other exactly, so a group larger than any window loses none:
+    a component is dealt in chunks and every two chunks meet in one task, which returns counts
+    and no pairs.
 
     Equal vectors are one class: they are compared once and counted with their number. The
     chance that a pair at the threshold is found rises with ``passes`` and ``window``.

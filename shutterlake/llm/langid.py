@@ -68,7 +68,7 @@ class Model:
             node = np.zeros(end - first, np.int64)
             best = node
             for back in range(1, self.order + 1):
-                node = longer[node * width + column[first - back : end - back]]
+                node = longer[node.astype(np.int64) * width + column[first - back : end - back]]
                 best = np.where(node == none, best, node)
             bits = self.bits[best * width + column[first:end]]
             # texts that have bytes in this slice
@@ -159,7 +159,7 @@ def _tables(counts: pa.Table, order: int) -> Model:
     languages = tuple(sorted(set(lang.tolist())))
     last = gram & 255
     seen = np.unique(np.append(last, ord("\n")))  # contexts begin with line ends
-    symbol = np.full(256, len(seen), np.int64)  # the last column: bytes never seen
+    symbol = np.full(256, len(seen), np.uint16)  # the last column: bytes never seen
     symbol[seen] = np.arange(len(seen))
     width = len(seen) + 1
     # nodes by depth, then context; the root is node 0

@@ -24,9 +24,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shutterlake.llm.common import materialized
+from shutterlake.llm.common import materialized, pieces
 
-UNIT_BYTES = 8 << 20  # text of a unit
+UNIT_BYTES = 4 << 20  # text of a unit
 BUCKET_TOKENS = 1 << 21  # tokens of the input for each bucket of hashes
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 SCORED, COUNTED, HELD = 0, 1, 2  # only scored; counted; counted, and weights learned on it
@@ -167,7 +167,7 @@ def _units(df: DataFrame, id_column: str, text: str, part) -> DataFrame:
                 names=["unit", "part", "lengths", "words", "tokens", "n_tokens", "ids"],
             )
 
-        for batch in batches:
+        for batch in pieces(batches):
             parts = batch.column(1).to_pylist()
             for i, one in enumerate(batch.column(2).to_pylist()):
                 part = parts[i]

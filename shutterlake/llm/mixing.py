@@ -75,11 +75,12 @@ def mix(df: DataFrame, id_column: str, text: str, source: str) -> DataFrame:
     ``size`` is the number of words and ``copies`` (0, 1 or 2) how often the mix takes the
     row. The flight keeps a source's expected words and documents; the landing rounds the
     last dozen documents to the sum nearest to the target. What remains is less than the
-    largest document, and usually less than the smallest. Rows are told apart
-    by ``key`` (of id and text) and rows alike by their ``number``, so reruns agree. Null sources
-    are one source; null and empty texts have size 0 and get the whole part of the copies alone.
-    A source without words has target 0 and no copies. Ids may be null. Other columns are not
-    read.
+    largest document, and usually less than the smallest.
+
+    Rows are told apart by ``key`` (of id and text) and rows alike by their ``number``, so
+    reruns agree. Null sources are one source; null and empty texts have size 0 and get the
+    whole part of the copies alone. A source without words has target 0 and no copies. Ids may
+    be null. Other columns are not read.
     """
     rows = df.select(
         F.col(id_column).alias("id"),

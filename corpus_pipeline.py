@@ -14,10 +14,6 @@ from shutterlake.llm import bpe, langid, mixing, simhash, toxicity
 from shutterlake.llm.common import ensure_shared, shared_path
 from shutterlake.llm.queries import TOKENIZER
 
-#: A text that costs more bits a byte than this under the best language is no text of any language
-#: learned: it would be shorter as plain bytes.
-STRANGE = 8.0
-
 
 def _apart(docs: DataFrame, added: tuple[str, ...]) -> DataFrame:
     """``docs`` with columns renamed that an operator would replace."""
@@ -30,12 +26,12 @@ def _as_before(found: DataFrame, docs: DataFrame, added: tuple[str, ...]) -> Dat
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, no letter, or bytes that no language fits."""
+    """Drops documents without a language: no text, or no letter in it."""
     ensure_shared(spark)
     model = langid.learn(langid.training_rows(docs))
     found = langid.predict(_apart(docs, langid.ADDED), model)
-    known = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("lang_bits") <= STRANGE)
-    return _as_before(found.where(known), docs, langid.ADDED)
+    known = found.where(F.col("lang_pred") != langid.UNDETERMINED)
+    return _as_before(known, docs, langid.ADDED)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

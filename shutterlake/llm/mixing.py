@@ -4,9 +4,10 @@ A source's target divided by its size is a document's expected number of copies.
 is certain. The fraction is an inclusion probability, the same for all documents of a source,
 and is rounded by the cube method: the vector of probabilities walks inside the unit cube along
 the null space of two constraints, the number of tokens and the number of documents, until
-(nearly) every coordinate is 0 or 1. The walk takes place in blocks of a source; what stays
-fractional in a block, two documents at most, meets that of other blocks in the next round,
-until one small landing problem a source remains.
+(nearly) every coordinate is 0 or 1. The walk takes place in blocks of a source. Of each block a
+few documents of all sizes stay behind; with what the walk leaves fractional, two at most, they
+meet those of the source's other blocks in the next round, until the source is one block and
+lands, whatever the size of other sources.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ WEIGHTS = (3, 1, 2)  # repeating over the sources in order of code points, null
 SHARE = 1.5  # words the mix takes, as a share of all words
 LIMIT = 2.0  # largest share of a source, and of a document
 BLOCK = 2000  # fractional documents of a source that one task rounds together
-LANDING = 10  # documents of a source that the landing rounds beside those left fractional
+LANDING = 10  # documents of a block that do not fly, for the landing of their source
 EPSILON = 1e-9
 
 
@@ -110,10 +111,12 @@ def mix(df: DataFrame, id_column: str, text: str, source: str) -> DataFrame:
         "id", "source", "size", "key", "source_size", "target",
         F.floor("share").cast("int").alias("whole"),
         (F.col("share") - F.floor("share")).alias("chance"),
-        F.pmod(F.xxhash64("key", F.lit(1)), "blocks").alias("block"),
+        F.pmod(F.xxhash64("key", F.lit(1)), "blocks").alias("block"), "blocks",
     )
     dealt = checkpointed(dealt)
-    chances = dealt.where("chance > 0 and size > 0").select("source", "block", "size", "key", "chance")
+    chances = dealt.where("chance > 0 and size > 0").select(
+        "source", "block", "blocks", "size", "key", "chance"
+    )
     rounded = _rounds(chances, goals)
     # rows that are alike in all of these are copies of one text: they are counted, then numbered
     alike = Window.partitionBy("source", "key", "size").orderBy(F.lit(0))
@@ -178,7 +181,7 @@ def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray) -> np.ndar
 def land(sizes: np.ndarray, chances: np.ndarray, goal: float) -> np.ndarray:
     """Rounds the last few units of a source so that the sizes taken come nearest to ``goal``.
 
-    All ways are tried: two units at most are left by the flight, and ``LANDING`` stay behind. If
+    All ways are tried: two units at most are left by the flight, and ``LANDING`` did not fly. If
     they can not make up for a unit much larger than they are, single units change sides, each
     time the one that brings the sum nearest.
     """
@@ -207,36 +210,36 @@ def _rounds(chances: DataFrame, goals: DataFrame) -> DataFrame:
     blocks = goals.agg(F.max("blocks")).first()[0] or 1
     current = chances.withColumn("number", F.row_number().over(number))
     schema = (
-        "source string, block bigint, size bigint, key bigint, chance double, number int"
+        "source string, block bigint, blocks bigint, size bigint, key bigint, chance double, "
+        "number int"
     )
+    # so many of a block are left at most: so many blocks fill one of the next round
+    joined = max(2, BLOCK // (LANDING + 2))
     settled = None
 
-    def fly(last: bool):
-        def run(part: pd.DataFrame) -> pd.DataFrame:
-            part = part.sort_values(["size", "key", "number"], ignore_index=True)
-            sizes, p = part["size"].to_numpy(np.float64), part["chance"].to_numpy(copy=True)
-            keys = part["key"].to_numpy(np.int64).view(np.uint64)
-            draws = np.random.default_rng(int(np.bitwise_xor.reduce(keys))).random(len(p))
-            flying = np.ones(len(p), bool)
-            if last:  # some of all sizes stay behind, so that the landing can meet the target
-                flying[np.linspace(0, len(p) - 1, LANDING).astype(int)] = False
-            goal = float(sizes @ p)
-            p[flying] = flight(sizes[flying], p[flying], draws)
-            return part.assign(chance=land(sizes, p, goal) if last else p)
-
-        return run
+    def fly(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["size", "key", "number"], ignore_index=True)
+        sizes, p = part["size"].to_numpy(np.float64), part["chance"].to_numpy(copy=True)
+        keys = part["key"].to_numpy(np.int64).view(np.uint64)
+        draws = np.random.default_rng(int(np.bitwise_xor.reduce(keys))).random(len(p))
+        flying = np.ones(len(p), bool)
+        # some of all sizes stay behind, so that the landing can meet the target
+        flying[np.linspace(0, len(p) - 1, LANDING).astype(int)] = False
+        goal = float(sizes @ p)
+        p[flying] = flight(sizes[flying], p[flying], draws)
+        last = part["blocks"].iloc[0] <= 1  # the source's own last block
+        return part.assign(chance=land(sizes, p, goal) if last else p)
 
     while True:
-        last = blocks <= 1
-        current = current.select("source", "block", "size", "key", "chance", "number")
-        done = checkpointed(current.groupBy("source", "block").applyInPandas(fly(last), schema))
+        current = current.select("source", "block", "blocks", "size", "key", "chance", "number")
+        done = checkpointed(current.groupBy("source", "block").applyInPandas(fly, schema))
         whole = done.where(f"chance >= 1 - {EPSILON}")
         settled = whole if settled is None else settled.unionByName(whole)
-        if last:
+        if blocks <= 1:
             break
-        # at most two of a block are left: so many blocks fill one of the next round
-        blocks = math.ceil(blocks / (BLOCK // 2))
-        current = done.where(f"chance > {EPSILON} and chance < 1 - {EPSILON}").withColumn(
-            "block", F.floor(F.col("block") / (BLOCK // 2))
-        )
+        blocks = math.ceil(blocks / joined)
+        current = done.where(f"chance > {EPSILON} and chance < 1 - {EPSILON}").withColumns({
+            "block": F.floor(F.col("block") / joined),
+            "blocks": F.ceil(F.col("blocks") / joined),
+        })
     return settled.select("source", "key", "size", "number", F.lit(1).alias("extra"))

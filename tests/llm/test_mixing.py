@@ -78,6 +78,20 @@ def test_many_blocks(spark, monkeypatch):
     check(spark)
 
 
+def test_small_sources_beside_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 100)
+    given = [(i, prose(i, 20 + i * 37 % 300), "en", "a") for i in range(300)]
+    given += [(1000 + i, prose(i, 20 + i * 53 % 301), "en", "bcdef"[i % 5]) for i in range(450)]
+    found = mixing.mix(documents(spark, given), "doc_id", "text", "source").collect()
+    target, taken = {r["source"]: r["target"] for r in found}, Counter()
+    part = {r["source"] for r in found if r["target"] % r["source_size"]}
+    assert part == set("abe")  # the others are taken twice
+    for r in found:
+        taken[r["source"]] += r["copies"] * r["size"]
+    for source in "abcdef":
+        assert abs(taken[source] - target[source]) <= 2
+
+
 def test_flight_keeps_sums_and_expectations():
     rng = np.random.default_rng(0)
     sizes, chances = rng.integers(1, 500, 80).astype(float), rng.random(80)

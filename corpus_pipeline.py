@@ -26,9 +26,15 @@ def _as_before(found: DataFrame, docs: DataFrame, added: tuple[str, ...]) -> Dat
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or no letter in it."""
+    """Drops documents without a language: no text, or no letter in it.
+
+    A corpus from which no language can be learned loses the same documents and no others.
+    """
     ensure_shared(spark)
     model = langid.learn(langid.training_rows(docs))
+    if not model.languages:
+        found = langid.lettered(_apart(docs, ("has_letter",)))
+        return _as_before(found.where("has_letter"), docs, ("has_letter",))
     found = langid.predict(_apart(docs, langid.ADDED), model)
     known = found.where(F.col("lang_pred") != langid.UNDETERMINED)
     return _as_before(known, docs, langid.ADDED)

@@ -93,18 +93,21 @@ def learn(
     """Learns from the rows whose language and text are not null.
 
     The sample is bounded: of every language ``docs_per_language`` documents, those whose id
-    has the smallest hash (ties by the id; a repeated id counts as one). The tree keeps the
+    and text have the smallest hash together, so null and repeated ids spread; rows alike in
+    both count as one. The tree keeps the
     ``contexts`` most frequent contexts of all languages together. Both bounds are parameters
     of the classifier; counting is done by tasks, and only the kept counts reach the driver.
     """
     known = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"),
-        F.xxhash64(F.col(id_column).cast("string")).alias("key"),
+        F.xxhash64(F.col(id_column).cast("string"), F.col(text)).alias("key"),
         F.col(text).alias("text"),
     )
-    least = least_hashed(known.select("lang", "key"), "lang", "key", docs_per_language)
+    keys = checkpointed(known.select("lang", "key").distinct())
+    least = least_hashed(keys, "lang", "key", docs_per_language)
     edge = materialized(least.groupBy("lang").agg(F.max("key").alias("edge")), "language-edges")
-    sample = known.join(edge, "lang").where("key <= edge").select("lang", "text")
+    near = known.join(edge, "lang").where("key <= edge")
+    sample = near.groupBy("lang", "key").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,6 +254,15 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return annotate(df, text, "lang_pred string, lang_score double, lang_bits double", run)
 
 
+def lettered(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with ``has_letter``: whether ``predict`` would give the text a language."""
+
+    def run(values: pa.Array) -> list:
+        return [[bool(t) and LETTER.search(t) is not None for t in values.to_pylist()]]
+
+    return annotate(df, text, "has_letter boolean", run)
+
+
 def training_rows(df: DataFrame, id_column: str = "doc_id", modulus: int = 3) -> DataFrame:
     """The rows to learn from: all but the held-out fold, remainder 1."""
     return df.where(crc_remainder(id_column, modulus) != 1)

@@ -100,3 +100,11 @@ def test_odd_rows_and_empty_tables(spark, model):
     assert langid.predict(empty, model).count() == 0
     nothing = langid.learn(empty)
     assert {r["lang_pred"] for r in langid.predict(documents(spark, odd_rows()), nothing).collect()} == {"und"}
+
+
+def test_copies_count_once_in_the_sample(spark):
+    given = [(None, text("aa", 0), "aa", "s")] * 1500 + [(5, text("bb", i), "bb", "s") for i in range(1200)]
+    model = langid.learn(documents(spark, given))
+    assert model.languages == ("aa", "bb")
+    found = langid.predict(documents(spark, [(1, text(x, 9000), x, "s") for x in ("aa", "bb")]), model)
+    assert all(r["lang_pred"] == r["lang"] for r in found.collect())

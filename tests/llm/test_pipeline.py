@@ -2,10 +2,11 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
-from shutterlake.llm import simhash
+from shutterlake.llm import langid, simhash
 from tests.llm.support import components, prose
 
 SCHEMA = (
@@ -112,3 +113,20 @@ def test_an_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{path}/documents.parquet")
     spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(f"{path}/labels.parquet")
     assert pipeline.run(spark, path).count() == 0
+
+
+def test_a_corpus_without_labels_keeps_its_texts(spark):
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), *EXTRA) for r in rows()], SCHEMA)
+    docs = docs.withColumn("lang", F.lit(None).cast("string")).withColumn("has_letter", F.lit(7))
+    found = pipeline.languages(spark, docs, "")
+    assert found.columns == docs.columns
+    assert all(r["has_letter"] == 7 for r in found.collect())
+    want = [r for r in rows() if r[1] and any(c.isalpha() for c in r[1])]
+    assert table(found.collect()) == table(want)
+
+
+def test_a_corpus_without_ids_keeps_its_texts(spark):
+    data = [(None, prose(i, 5), "en", "a", 1, *EXTRA) for i in range(1200)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    assert langid.learn(langid.training_rows(docs)).languages == ("en",)
+    assert table(pipeline.languages(spark, docs, "").collect()) == table(data)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +27,12 @@ def near_duplicates(
     bits: int = 48,
     window: int = 64,
     seed: int = 11,
+    miss: float = 1e-3,
 ) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row of ``df``.
 
-    Vectors are ordered ``passes`` times, each time lexicographically by ``bits`` concatenated
+    Vectors are ordered ``passes`` times, or as often as ``passes_for`` derives from the number
+    of classes if that is more, each time lexicographically by ``bits`` concatenated
     random hashes (the side of a random plane). A vector is compared with its ``window``
     successors in every order; pairs with a cosine of ``threshold`` or more, in double
     precision, are links, and the union of all passes gives the components. A task passes on
@@ -38,8 +41,10 @@ def near_duplicates(
     a component is dealt in chunks and every two chunks meet in one task, which returns counts
     and no pairs.
 
-    Equal vectors are one class: they are compared once and counted with their number. The
-    chance that a pair at the threshold is found rises with ``passes`` and ``window``.
+    Equal vectors are one class: they are compared once and counted with their number. A pair
+    at the threshold that no third vector connects is lost with a chance of ``miss`` at most,
+    at every size, if the planes deal the vectors evenly; where vectors crowd in a few
+    directions, the chance is that of a larger table.
 
     Rows whose vector is null, empty, zero or has a null or non-finite component, and rows
     without an id, link with nothing: no links, their own component. Vectors of unequal
@@ -49,6 +54,7 @@ def near_duplicates(
     rows = vectors.members(df, id_column, vector)
     groups = vectors.classes(rows, "vector-classes")
     width = vectors.dimension(groups)
+    passes = max(passes, passes_for(groups.count(), threshold, window, miss))
     links = _window_links(groups, width, threshold, passes, bits, window, seed)
     roots = connected_components(links)
     linked = checkpointed(
@@ -79,21 +85,28 @@ def near_duplicates(
     )
 
 
+def passes_for(classes: int, threshold: float, window: int, miss: float) -> int:
+    """Orders after which a pair at the threshold is lost with a chance of ``miss`` at most.
+
+    Both ends are on the same side of a plane with the chance p = 1 - angle / pi. They are
+    neighbours in an order if they share so many of its first bits that ``window`` classes at
+    most do, which are log2(classes / window) bits, rounded up.
+    """
+    shared = max(0, math.ceil(math.log2(max(classes, 1) / window)))
+    found = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** shared
+    return 1 if found >= 1 else math.ceil(math.log(miss) / math.log1p(-found))
+
+
 def _window_links(groups, width, threshold, passes, bits, window, seed) -> DataFrame:
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes = np.random.default_rng(seed).normal(size=(max(width, 1), passes * bits))
         weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             if len(batch):
-                sides = vectors.stack(batch["vector"], width) @ planes > 0
-                key = sides.reshape(len(batch) * passes, bits) @ weights
-                yield pd.DataFrame(
-                    {
-                        "pass": np.tile(np.arange(passes), len(batch)),
-                        "key": key,
-                        "rep": np.repeat(batch["rep"].to_numpy(), passes),
-                    }
-                )
+                points = vectors.stack(batch["vector"], width)
+                for turn in range(passes):
+                    sides = points @ planes[:, turn * bits : (turn + 1) * bits] > 0
+                    yield pd.DataFrame({"pass": turn, "key": sides @ weights, "rep": batch["rep"]})
 
     hashed = groups.select("rep", "vector").mapInPandas(keys, "pass int, key bigint, rep bigint")
     placed = vectors.numbered(hashed, ["pass", "key", "rep"], "place")

@@ -66,6 +66,27 @@ def test_embedding_dedup_splits_a_large_group(spark, monkeypatch):
     test_embedding_dedup_equals_brute_force(spark)
 
 
+def test_links_are_found_whatever_the_number_of_classes(spark):
+    """Pairs at the threshold among many more vectors than a window holds."""
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(rng.normal(size=(2000, 64)))
+    side = rng.normal(size=(400, 64))
+    side = unit(side - (side * base[:400]).sum(axis=1, keepdims=True) * base[:400])
+    x = np.concatenate([base, 0.91 * base[:400] + np.sqrt(1 - 0.91**2) * side])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x.astype(np.float32))]
+    # a window of 2 meets as few of these rows as one of 64 of 77,000
+    found = embed_dedup.near_duplicates(frame(spark, rows), window=2).collect()
+    assert sum(r["n_links"] == 1 for r in found) >= 798
+
+
+def test_passes_keep_the_miss_below_its_bound():
+    same = 1 - np.arccos(0.9) / np.pi
+    for n in (1, 64, 10_000, 100_000, 600_000, 10_000_000):
+        bits = max(0, int(np.ceil(np.log2(n / 64))))
+        assert (1 - same**bits) ** embed_dedup.passes_for(n, 0.9, 64, 1e-3) <= 1e-3
+
+
 def test_repeated_vectors_and_empty_table(spark):
     rows = [(3, [1.0, 0.0]), (3, [1.0, 0.0]), (1, [2.0, 0.0]), (8, [0.0, 1.0])]
     found = sorted(map(tuple, embed_dedup.near_duplicates(frame(spark, rows)).collect()))

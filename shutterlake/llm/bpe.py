@@ -9,9 +9,11 @@ alone, so all borders of all new words are tested together, and the answers are
 from __future__ import annotations
 
 import functools
+import heapq
 import json
-from array import array
+from collections.abc import Iterable
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -20,11 +22,14 @@ from pyspark.sql import functions as F
 
 from shutterlake.llm.common import annotate
 
-KEPT_WORDS = 1 << 18  # words, or pieces between spaces, whose tokens a worker remembers
+KEPT_WORDS = 1 << 18  # pieces between spaces whose tokens a worker remembers
+KEPT_BORDERS = 1 << 21  # pairs of neighbouring tokens whose verdict a worker remembers
 # Fixed value: how the tokenizer's byte-level step cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 40
-GROUP = 512  # texts whose new words are learned together
+GROUP = 2048  # texts whose new pieces are learned together
+LONG = 128  # bytes of a word from which it is merged by itself, with a heap
+BETWEEN = "\u0100"  # stands between words; no byte's character
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -93,39 +98,40 @@ class Tokenizer:
         order = np.argsort(left << 32 | right)
         self.pair_keys, self.pair_ranks = (left << 32 | right)[order], rank[order]
         self.single = np.array([self.id_of[bytes([b])] for b in range(256)], np.int64)
+        self.rank_of = dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
         # only tokens that encode to themselves may be proposed
+        self.finder = ahocorasick.Automaton()
         every = list(self.id_of)
-        own = [t for t, m in zip(every, self.merge(every), strict=True) if len(m) == 1]
-        self.proposable = {t: self.id_of[t] for t in own}
-        lengths: dict[bytes, set[int]] = {}
-        for token in own:
-            if len(token) >= 4:
-                lengths.setdefault(token[:4], set()).add(len(token))
-        self.lengths = {start: (*sorted(n, reverse=True), 3, 2) for start, n in lengths.items()}
+        merged = np.bincount(self.merge(every)[1], minlength=len(every))
+        for at in np.flatnonzero(merged == 1).tolist():
+            self.finder.add_word(every[at].decode("latin-1"), self.id_of[every[at]])
+        self.finder.make_automaton()
+        self.sizes = np.array([len(t) for t in self.table], np.int64)
         self.words = regex.compile(WORDS)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, names))) if names else None
-        self.kept = Memory()  # tokens of words, as 32-bit numbers
-        self.pieces = Memory()  # of what follows a space; None if that depends on more
-        self.border: dict[tuple[int, int], bool] = {}
+        self.pieces = Memory()  # tokens of what follows a space; None if that depends on more
+        self.border_keys = np.array([], np.int64)
+        self.border_good = np.array([], bool)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Exact merging of many words: in each the lowest rank first, the leftmost of equals.
 
         All words lie behind each other in one array; every step does one merge in each word
-        that has one, and looks up only the two pairs that it changes.
+        that has one, and looks up only the two pairs that it changes. Returns the tokens and
+        the word of each.
         """
         sizes = np.array([len(w) for w in words], np.int64)
         token = self.single[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
-        done_token, done_word = [], []
+        done_token, done_word = [token[:0]], [word[:0]]
         rank = self.ranks(token[:-1], token[1:])
         rank[word[:-1] != word[1:]] = NEVER
         rank = np.append(rank, NEVER)[: len(token)]
         while len(token):
-            start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            start = first_of(word)
             least = np.minimum.reduceat(rank, start)
-            count = np.diff(np.r_[start, len(token)])
+            count = np.diff(start, append=len(token))
             open_ = np.repeat(least < NEVER, count)
             done_token.append(token[~open_])
             done_word.append(word[~open_])
@@ -133,7 +139,7 @@ class Tokenizer:
             if not len(token):
                 break
             lowest = np.flatnonzero(rank == np.repeat(least[least < NEVER], count[least < NEVER]))
-            at = lowest[np.r_[True, word[lowest[1:]] != word[lowest[:-1]]]]
+            at = lowest[first_of(word[lowest])]
             token[at] = self.made[rank[at]]
             kept = np.ones(len(token), bool)
             kept[at + 1] = False
@@ -146,7 +152,37 @@ class Tokenizer:
             rank[-1] = NEVER
         token, word = np.concatenate(done_token), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
-        return np.split(token[order], np.cumsum(np.bincount(word, minlength=len(words)))[:-1])
+        return token[order], word[order]
+
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """``merge`` for one long word: a heap of pairs over linked tokens, O(n log n)."""
+        size = len(word)
+        token = self.single[np.frombuffer(word, np.uint8)]
+        rank = np.append(self.ranks(token[:-1], token[1:]), NEVER)
+        heap = (rank * size + np.arange(size))[rank < NEVER].tolist()
+        heapq.heapify(heap)
+        token, rank = token.tolist(), rank.tolist()
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        rank_of, made = self.rank_of.get, self.made
+        while heap:
+            lowest, at = divmod(heapq.heappop(heap), size)
+            if rank[at] != lowest:  # one of the two has been merged with another since
+                continue
+            gone = after[at]
+            token[at], token[gone], rank[gone] = int(made[lowest]), -1, NEVER
+            right = after[at] = after[gone]
+            if right < size:
+                before[right] = at
+            for left, other in ((before[at], at), (at, right)):
+                if left < 0 or other >= size:
+                    fresh = NEVER
+                else:
+                    fresh = rank_of(token[left] << 32 | token[other], NEVER)
+                if left >= 0:
+                    rank[left] = fresh
+                if fresh < NEVER:
+                    heapq.heappush(heap, fresh * size + left)
+        return np.array([t for t in token if t >= 0], np.int64)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair, ``NEVER`` for none."""
@@ -154,23 +190,13 @@ class Tokenizer:
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
 
-    def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match from the left."""
-        get, lengths = self.proposable.get, self.lengths.get
-        number = get(word)
-        if number is not None:
-            return [number]
-        found, at, size = [], 0, len(word)
-        while at < size:
-            for length in lengths(word[at : at + 4], (3, 2)):
-                number = get(word[at : at + length])
-                if number is not None and length <= size - at:
-                    break
-            else:
-                number, length = self.id_of[word[at : at + 1]], 1
-            found.append(number)
-            at += length
-        return found
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest matches of all words behind each other, and the word of each."""
+        joined = BETWEEN.join([w.decode("latin-1") for w in words])
+        token = np.fromiter((t for _, t in self.finder.iter_long(joined)), np.int64)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        starts = np.cumsum(self.sizes[token]) - self.sizes[token]
+        return token, np.searchsorted(ends, starts, "right")
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each pair of tokens: does no earlier merge cross their border?
@@ -197,71 +223,120 @@ class Tokenizer:
             open_ = open_[back_x | back_y]
         return good
 
-    def learn(self, words: list[str]) -> None:
-        """Finds the tokens of new words: all are proposed, then all borders are checked."""
-        plain = [w.encode("utf-8", "surrogatepass") for w in words]
-        proposed = [self.propose(w) for w in plain]
-        if len(self.border) > KEPT_WORDS:
-            self.border.clear()
-        borders = {p for t in proposed if len(t) > 1 for p in zip(t, t[1:], strict=False)}
-        new = [p for p in borders if p not in self.border]
-        if new:
-            pairs = np.array(new, np.int64)
-            verdicts = self.compatible(pairs[:, 0], pairs[:, 1]).tolist()
-            self.border.update(zip(new, verdicts, strict=True))
-        border = self.border.__getitem__
-        wrong = [
-            i for i, t in enumerate(proposed)
-            if len(t) > 1 and not all(map(border, zip(t, t[1:], strict=False)))
-        ]
-        if wrong:
-            for i, tokens in zip(wrong, self.merge([plain[i] for i in wrong]), strict=True):
-                proposed[i] = tokens.tolist()
-        for word, tokens in zip(words, proposed, strict=True):
-            self.kept[word] = array("i", tokens).tobytes()
+    def good_borders(self, keys: np.ndarray) -> np.ndarray:
+        """``compatible`` for packed pairs of tokens; answers are kept."""
+        unique, which = np.unique(keys, return_inverse=True)
+        if len(self.border_keys) + len(unique) > KEPT_BORDERS:
+            self.border_keys, self.border_good = self.border_keys[:0], self.border_good[:0]
+        new = np.setdiff1d(unique, self.border_keys, assume_unique=True)
+        if len(new):
+            at = np.searchsorted(self.border_keys, new)
+            good = self.compatible(new >> 32, new & 0xFFFFFFFF)
+            self.border_keys = np.insert(self.border_keys, at, new)
+            self.border_good = np.insert(self.border_good, at, good)
+        return self.border_good[np.searchsorted(self.border_keys, unique)][which]
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words, behind each other, and the number of tokens of each word.
+
+        All are proposed, all borders are checked, and the words with a wrong one are merged.
+        """
+        token, word = self.propose(words)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        good = self.good_borders(token[inner] << 32 | token[inner + 1])
+        wrong = np.unique(word[inner[~good]])
+        if len(wrong):
+            sizes = np.fromiter(map(len, words), np.int64, len(words))[wrong]
+            short = wrong[sizes <= LONG]
+            merged, owner = self.merge([words[i] for i in short])
+            right = ~np.isin(word, wrong)
+            parts, owners = [token[right], merged], [word[right], short[owner]]
+            for i in wrong[sizes > LONG].tolist():
+                parts.append(self.merge_long(words[i]))
+                owners.append(np.full(len(parts[-1]), i))
+            token, word = np.concatenate(parts), np.concatenate(owners)
+            order = np.argsort(word, kind="stable")
+            token, word = token[order], word[order]
+        return token, np.bincount(word, minlength=len(words))
 
     def tokens(self, texts: list[str]) -> list[bytes]:
-        """Tokens of texts without special tokens, cut into words as the tokenizer does."""
+        """Tokens, as 32-bit numbers, of texts whose special tokens count as plain text."""
+        number: dict[str, int] = {}
         cut = [self.words.findall(t) for t in texts]
-        new = self.kept.lacking({w for words in cut for w in words})
-        if new:
-            self.learn(list(new))
-        kept = self.kept.__getitem__
-        return [b"".join(map(kept, words)) for words in cut]
-
-    def learn_pieces(self, texts: list[str]) -> None:
+        which = [number.setdefault(w, len(number)) for words in cut for w in words]
+        if not which:
+            return [b""] * len(texts)
+        token, count = self.learn([w.encode("utf-8", "surrogatepass") for w in number])
+        words = np.array(which)
+        flat = token.astype(np.int32)[spans(np.cumsum(count)[words] - count[words], count[words])]
+        in_word = np.r_[0, np.cumsum(count[words])]
+        ends = 4 * in_word[np.cumsum(list(map(len, cut)))]
+        data, ends = flat.tobytes(), ends.tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def remember(self, pieces: Iterable[str]) -> None:
         """Finds the tokens of all pieces that follow a single space in the texts.
 
         A space between two other characters always begins a word, so such a piece has the
         same tokens wherever it stands. Pieces that are empty or begin or end with white
         space depend on their neighbours and are marked with None.
         """
-        new = list(self.pieces.lacking({p for t in texts for p in t.split(" ")[1:]}))
-        self.pieces.update(zip(new, self.tokens([" " + p for p in new]), strict=True))
-        for piece in new:
-            if not piece or piece != piece.strip() or piece[0].isspace() or piece[-1].isspace():
-                self.pieces[piece] = None
+        new = list(self.pieces.lacking(set(pieces)))
+        plain = [p for p in new if p and p == p.strip()]
+        self.pieces.update(dict.fromkeys(new))
+        self.pieces.update(zip(plain, self.tokens([" " + p for p in plain]), strict=True))
+
+    def ordinary(self, texts: list[str]) -> list[bytes]:
+        """``tokens``, by the memory of pieces."""
+        cut = [t.split(" ") for t in texts]
+        self.remember(p for pieces in cut for p in pieces[1:])
+        out, lacking = [], []
+        for pieces in cut:
+            found: list = [None]
+            found += map(self.pieces.__getitem__, pieces[1:])
+            if None in found[1:] or pieces[0] != pieces[0].rstrip() or not pieces[0]:
+                found = self.chunks(pieces, found, lacking)
+            else:
+                found[0] = len(lacking)
+                lacking.append(pieces[0])
+            out.append(found)
+        learned = self.tokens(lacking)
+        return [b"".join([learned[f] if type(f) is int else f for f in found]) for found in out]
+
+    def chunks(self, pieces: list[str], found: list, lacking: list[str]) -> list:
+        """Joins pieces that depend on their neighbours with what follows, up to a plain piece.
+
+        Each such chunk begins the text or begins with a space behind another character, so it
+        has its own tokens; it goes to ``lacking``, and its number there into the result.
+        """
+        out, at = [], 0
+        while at < len(pieces):
+            if at and found[at] is not None:
+                out.append(found[at])
+                at += 1
+                continue
+            end = at + 1
+            open_ = bool(at) or pieces[0] != pieces[0].rstrip() or not pieces[0]
+            while open_ and end < len(pieces):
+                open_ = found[end] is None
+                end += 1
+            out.append(len(lacking))
+            lacking.append((" " if at else "") + " ".join(pieces[at:end]))
+            at = end
+        return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of every text; null counts as empty."""
         plain = [list(self.parts(t or "")) for t in texts]
-        ordinary = [part for parts in plain for part, special in parts if special is None]
-        self.learn_pieces(ordinary)
-        firsts = iter(self.tokens([part.split(" ", 1)[0] for part in ordinary]))
+        ordinary = iter(
+            self.ordinary([part for parts in plain for part, special in parts if special is None])
+        )
         out = []
         for parts in plain:
-            ids = []
-            for part, special in parts:
-                if special is not None:
-                    ids.append(np.int32(special).tobytes())
-                    continue
-                first, *rest = part.split(" ")
-                pieces = list(map(self.pieces.__getitem__, rest))
-                ids.append(next(firsts))
-                if None in pieces or first != first.rstrip() or not first and rest:
-                    ids[-1:] = self.tokens([part])
-                else:
-                    ids += pieces
+            ids = [
+                next(ordinary) if special is None else np.int32(special).tobytes()
+                for _, special in parts
+            ]
             out.append(np.frombuffer(b"".join(ids), np.int32))
         return out
 
@@ -282,6 +357,17 @@ class Tokenizer:
         return to_text(self.table, ids)
 
 
+def first_of(runs: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.diff(runs, prepend=-1))
+
+
+def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its count, behind each other."""
+    before = np.cumsum(count) - count
+    return np.arange(count.sum()) + np.repeat(start - before, count)
+
+
 @functools.cache
 def tokenizer(path: str) -> Tokenizer:
     """The tokenizer of a file, loaded once in a worker."""

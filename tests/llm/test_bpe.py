@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -20,6 +21,7 @@ def texts():
     rng = random.Random(4)
     odd = [" a", "a ", "a \nb", "a\n b", "a  b", " ", "a\x1cb", "a\x85 b", "　a 　", "a" * 500]
     odd += ["<|endoftext|>", "x<|endoftext|><|endoftext|> y", "I'LL it's 're", "́e", "a\x00b"]
+    odd += ["  x  y\n\n z ", " \n", "a  \n  b c", "\n", "a b  ", "a b\n c d"]
     odd += ["".join(rng.choice("abcdetnrsionhl ") for _ in range(300)) for _ in range(60)]
     odd += ["".join(chr(rng.randrange(32, 0x3000)) for _ in range(60)) for _ in range(40)]
     odd += ["".join(rng.choice(["aa", "  ", "--", "==="]) for _ in range(40)) for _ in range(40)]
@@ -43,16 +45,29 @@ def test_forgetting_changes_nothing(library, monkeypatch):
 def test_verification_finds_exactly_the_wrong_proposals():
     coder = bpe.Tokenizer(PATH)
     words = [w.encode() for w in {w for t in texts() for w in coder.words.findall(t)}]
-    wrong = 0
-    for word, merged in zip(words, coder.merge(words), strict=True):
-        tokens = coder.propose(word)
-        pairs = bpe.np.array(list(zip(tokens, tokens[1:], strict=False)), bpe.np.int64).reshape(-1, 2)
-        good = coder.compatible(pairs[:, 0], pairs[:, 1]).all()
-        assert good == (tokens == merged.tolist())
+    exact, wrong = split(*coder.merge(words), len(words)), 0
+    for tokens, merged, word in zip(split(*coder.propose(words), len(words)), exact, words, strict=True):
+        assert b"".join(coder.table[tokens]) == word
+        good = coder.compatible(tokens[:-1], tokens[1:]).all()
+        assert good == (tokens.tolist() == merged.tolist())
         wrong += not good
+        assert coder.merge_long(word).tolist() == merged.tolist()
     assert wrong
 
 
+def split(tokens, words, n):
+    return bpe.np.split(tokens, bpe.np.searchsorted(words, range(1, n)))
+
+
+def test_time_is_linear_in_the_length_of_a_word(library):
+    coder, rng = bpe.Tokenizer(PATH), random.Random(8)
+    word = "".join(rng.choice("abcdetnrsionhl") for _ in range(100_000))
+    before = time.process_time()
+    found = coder.encode([word])[0].tolist()
+    assert time.process_time() - before < 2
+    assert found == library.encode(word, add_special_tokens=False).ids
+
+
 def test_digests(spark, library):
     rows = odd_rows()
     found = bpe.digests(documents(spark, rows), PATH).collect()

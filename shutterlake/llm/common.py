@@ -82,13 +82,15 @@ def annotate(
     """``df`` with the columns ``added`` (DDL), computed by ``function`` from one column.
 
     ``function`` gets the values of a batch and returns one sequence for each added column.
-    Added columns replace columns of the same name.
+    Added columns replace columns whose names Spark takes for the same, whatever their case.
     """
     new = StructType.fromDDL(added)
-    kept = [c for c in df.columns if c not in new.fieldNames()]
-    value = column if column in kept else "_annotated_value"
+    replaced = {c.lower() for c in new.fieldNames()}
+    kept = [c for c in df.columns if c.lower() not in replaced]
+    own = [c for c in kept if c.lower() == column.lower()]
+    value = own[0] if own else "_annotated_value"
     source = df.select(*[F.col(f"`{c}`") for c in kept])
-    if column not in kept:
+    if not own:
         source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias(value))
     schema = StructType([f for f in source.schema.fields if f.name in kept] + new.fields)
     arrow = arrow_types(new)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shutterlake.llm import (
+    align,
     ann,
     bpe,
     embed_dedup,
@@ -24,6 +25,7 @@ from shutterlake.llm.common import crc_remainder, ensure_shared, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -121,6 +123,21 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.resolve(warc.read(spark, path))
 
 
+def grouped(docs: DataFrame) -> DataFrame:
+    """Alignments of documents, with a digest in place of the written groups."""
+    found = align.align(docs.select("doc_id", "text"), TOKENIZER, PIECES)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.withColumn("groups_sha256", digest).drop("text", "groups")
+
+
+def aligned(docs: DataFrame) -> DataFrame:
+    return align.link_counts(grouped(docs))
+
+
+def op13_align(spark: SparkSession, folder: str) -> DataFrame:
+    return aligned(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -134,6 +151,7 @@ QUERIES: dict[str, Query] = {
         op8_nearest,
         op9_licenses,
         op10_warc,
+        op13_align,
     )
 }
 # What SQL can express: the links of all pairs, the distances to all rows, the first of equal

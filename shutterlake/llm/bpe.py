@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import json
+import operator
 from collections.abc import Iterable
 
 import ahocorasick
@@ -29,7 +31,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 NEVER = 1 << 40
 GROUP = 2048  # texts whose new pieces are learned together
 LONG = 128  # bytes of a word from which it is merged by itself, with a heap
-BETWEEN = "\u0100"  # stands between words; no byte's character
+BETWEEN = b"\xff"  # stands between words: no byte of UTF-8, hence in no longer token
+MARKS = frozenset(".,;:!?")  # a word of its own if it ends a piece of letters
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -106,7 +109,7 @@ class Tokenizer:
         for at in np.flatnonzero(merged == 1).tolist():
             self.finder.add_word(every[at].decode("latin-1"), self.id_of[every[at]])
         self.finder.make_automaton()
-        self.sizes = np.array([len(t) for t in self.table], np.int64)
+        self.between = self.id_of[BETWEEN]
         self.words = regex.compile(WORDS)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, names))) if names else None
@@ -190,13 +193,12 @@ class Tokenizer:
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
 
-    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Greedy longest matches of all words behind each other, and the word of each."""
-        joined = BETWEEN.join([w.decode("latin-1") for w in words])
-        token = np.fromiter((t for _, t in self.finder.iter_long(joined)), np.int64)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        starts = np.cumsum(self.sizes[token]) - self.sizes[token]
-        return token, np.searchsorted(ends, starts, "right")
+    def propose(self, words: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest matches of all words, which ``BETWEEN`` parts, and the word of each."""
+        found = self.finder.iter_long(words.decode("latin-1"))
+        token = np.fromiter(map(operator.itemgetter(1), found), np.int64)
+        own = token != self.between
+        return token[own], np.cumsum(~own)[own]
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each pair of tokens: does no earlier merge cross their border?
@@ -236,7 +238,7 @@ class Tokenizer:
             self.border_good = np.insert(self.border_good, at, good)
         return self.border_good[np.searchsorted(self.border_keys, unique)][which]
 
-    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def learn(self, words: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of words, behind each other, and the number of tokens of each word.
 
         All are proposed, all borders are checked, and the words with a wrong one are merged.
@@ -246,18 +248,19 @@ class Tokenizer:
         good = self.good_borders(token[inner] << 32 | token[inner + 1])
         wrong = np.unique(word[inner[~good]])
         if len(wrong):
-            sizes = np.fromiter(map(len, words), np.int64, len(words))[wrong]
-            short = wrong[sizes <= LONG]
-            merged, owner = self.merge([words[i] for i in short])
+            each = words.split(BETWEEN)
+            lost = [each[i] for i in wrong.tolist()]
+            short = np.array([len(w) <= LONG for w in lost])
+            merged, owner = self.merge([w for w in lost if len(w) <= LONG])
             right = ~np.isin(word, wrong)
-            parts, owners = [token[right], merged], [word[right], short[owner]]
-            for i in wrong[sizes > LONG].tolist():
-                parts.append(self.merge_long(words[i]))
+            parts, owners = [token[right], merged], [word[right], wrong[short][owner]]
+            for i in wrong[~short].tolist():
+                parts.append(self.merge_long(each[i]))
                 owners.append(np.full(len(parts[-1]), i))
             token, word = np.concatenate(parts), np.concatenate(owners)
             order = np.argsort(word, kind="stable")
             token, word = token[order], word[order]
-        return token, np.bincount(word, minlength=len(words))
+        return token, np.bincount(word, minlength=size)
 
     def tokens(self, texts: list[str]) -> list[bytes]:
         """Tokens, as 32-bit numbers, of texts whose special tokens count as plain text."""
@@ -266,64 +269,87 @@ class Tokenizer:
         which = [number.setdefault(w, len(number)) for words in cut for w in words]
         if not which:
             return [b""] * len(texts)
-        token, count = self.learn([w.encode("utf-8", "surrogatepass") for w in number])
+        joined = BETWEEN.join([w.encode("utf-8", "surrogatepass") for w in number])
+        token, count = self.learn(joined, len(number))
         words = np.array(which)
         flat = token.astype(np.int32)[spans(np.cumsum(count)[words] - count[words], count[words])]
         in_word = np.r_[0, np.cumsum(count[words])]
-        ends = 4 * in_word[np.cumsum(list(map(len, cut)))]
-        data, ends = flat.tobytes(), ends.tolist()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return sliced(flat, in_word[np.cumsum(list(map(len, cut)))])
+
+    def letters(self, pieces: list[str]) -> list[bytes]:
+        """Tokens of words of letters alone, each behind a space."""
+        if not pieces:
+            return []
+        joined = (" " + "\n ".join(pieces)).encode().replace(b"\n", BETWEEN)
+        token, count = self.learn(joined, len(pieces))
+        return sliced(token.astype(np.int32), np.cumsum(count))
 
     def remember(self, pieces: Iterable[str]) -> None:
         """Finds the tokens of all pieces that follow a single space in the texts.
 
         A space between two other characters always begins a word, so such a piece has the
         same tokens wherever it stands. Pieces that are empty or begin or end with white
-        space depend on their neighbours and are marked with None.
+        space depend on their neighbours and are marked with None. Pieces of letters alone are
+        one word, and two with a punctuation mark behind them; others are cut by the pattern.
         """
-        new = list(self.pieces.lacking(set(pieces)))
+        new = self.pieces.lacking(set(pieces))
+        letters = [p for p in new if p.isalpha()]
+        new.difference_update(letters)
+        marked = [p for p in new if p and p[-1] in MARKS and p[:-1].isalpha()]
+        new.difference_update(marked)
         plain = [p for p in new if p and p == p.strip()]
         self.pieces.update(dict.fromkeys(new))
         self.pieces.update(zip(plain, self.tokens([" " + p for p in plain]), strict=True))
+        found = self.letters(letters + [p[:-1] for p in marked])
+        self.pieces.update(zip(letters, found, strict=False))
+        mark = {m: np.int32(self.id_of[m.encode()]).tobytes() for m in MARKS}
+        ends = zip(marked, found[len(letters) :], strict=True)
+        self.pieces.update({p: word + mark[p[-1]] for p, word in ends})
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """``tokens``, by the memory of pieces."""
         cut = [t.split(" ") for t in texts]
-        self.remember(p for pieces in cut for p in pieces[1:])
-        out, lacking = [], []
+        self.remember(itertools.chain.from_iterable([pieces[1:] for pieces in cut]))
+        known = self.pieces.get
+        out, lacking, numbers = [], [], []
         for pieces in cut:
-            found: list = [None]
-            found += map(self.pieces.__getitem__, pieces[1:])
-            if None in found[1:] or pieces[0] != pieces[0].rstrip() or not pieces[0]:
-                found = self.chunks(pieces, found, lacking)
+            found = list(map(known, pieces))
+            first = pieces[0]
+            if None in found[1:] or not first or first[-1].isspace():
+                found, own = self.chunks(pieces, found, lacking)
             else:
-                found[0] = len(lacking)
-                lacking.append(pieces[0])
+                own = [(0, len(lacking))]
+                lacking.append(first)
             out.append(found)
+            numbers.append(own)
         learned = self.tokens(lacking)
-        return [b"".join([learned[f] if type(f) is int else f for f in found]) for found in out]
+        for found, own in zip(out, numbers, strict=True):
+            for place, number in own:
+                found[place] = learned[number]
+        return list(map(b"".join, out))
 
-    def chunks(self, pieces: list[str], found: list, lacking: list[str]) -> list:
+    def chunks(self, pieces: list[str], found: list, lacking: list[str]) -> tuple[list, list]:
         """Joins pieces that depend on their neighbours with what follows, up to a plain piece.
 
         Each such chunk begins the text or begins with a space behind another character, so it
-        has its own tokens; it goes to ``lacking``, and its number there into the result.
+        has its own tokens; it goes to ``lacking``. Returns the tokens, and for each chunk its
+        place among them and its number in ``lacking``.
         """
-        out, at = [], 0
+        out, own, at = [], [], 0
         while at < len(pieces):
+            end = at + 1
             if at and found[at] is not None:
                 out.append(found[at])
-                at += 1
-                continue
-            end = at + 1
-            open_ = bool(at) or pieces[0] != pieces[0].rstrip() or not pieces[0]
-            while open_ and end < len(pieces):
-                open_ = found[end] is None
-                end += 1
-            out.append(len(lacking))
-            lacking.append((" " if at else "") + " ".join(pieces[at:end]))
+            else:
+                open_ = bool(at) or not pieces[0] or pieces[0][-1].isspace()
+                while open_ and end < len(pieces):
+                    open_ = found[end] is None
+                    end += 1
+                own.append((len(out), len(lacking)))
+                out.append(b"")
+                lacking.append((" " if at else "") + " ".join(pieces[at:end]))
             at = end
-        return out
+        return out, own
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of every text; null counts as empty."""
@@ -357,6 +383,12 @@ class Tokenizer:
         return to_text(self.table, ids)
 
 
+def sliced(flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The bytes of the numbers up to each end."""
+    data, ends = flat.tobytes(), (flat.itemsize * ends).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def first_of(runs: np.ndarray) -> np.ndarray:
     """Where each run of equal numbers begins."""
     return np.flatnonzero(np.diff(runs, prepend=-1))

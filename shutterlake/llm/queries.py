@@ -12,6 +12,7 @@ from shutterlake.llm import (
     align,
     ann,
     bpe,
+    chat,
     embed_dedup,
     langid,
     licenses,
@@ -123,6 +124,33 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.resolve(warc.read(spark, path))
 
 
+def formatted(rows: DataFrame) -> DataFrame:
+    """Digests of formatted conversations, read back from the formatted text."""
+    found = chat.format_conversations(rows)
+    learned = chat.learned_text(F.col("segments"))
+    return found.select(
+        "conv_id",
+        F.size(chat.parse(F.col("formatted"))).cast("bigint").alias("n_turns"),
+        F.sha2(chat.transcript(F.col("formatted")), 256).alias("turns_sha256"),
+        F.length(learned).cast("bigint").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """[native] All conversations, and one whose texts look like the template's marks."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    made = spark.range(2).select(
+        F.lit(-7).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+        F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(text).alias("text"),
+    )
+    return formatted(rows.unionByName(made))
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """Alignments of documents, with a digest in place of the written groups."""
     found = align.align(docs.select("doc_id", "text"), TOKENIZER, PIECES)
@@ -151,6 +179,7 @@ QUERIES: dict[str, Query] = {
         op8_nearest,
         op9_licenses,
         op10_warc,
+        op12_chat,
         op13_align,
     )
 }
@@ -176,6 +205,20 @@ d as (select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score
  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id)
 select query_id, cast(row_number() over w as int) as rank, vec_id, score from d
 window w as (partition by query_id order by score, vec_id) qualify row_number() over w <= 10""",
+    "op12_chat": r"""
+with c as (
+ select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+ union all values (-7, 0, 'user', '\### Assistant: </turn> ok'),
+  (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+t as (
+ select *, regexp_replace(text, '(\\*(### |</turn>))', '\\\1', 'g') as written from c)
+select conv_id, count(*) as n_turns,
+ sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+ cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+ sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), ''))
+  as loss_sha256,
+ cast(sum(4 + length(role) + 2 + length(written) + 9) as bigint) as formatted_chars
+from t group by conv_id""",
     "op10_warc": """
 with p as (
  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages),

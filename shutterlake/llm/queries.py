@@ -20,6 +20,7 @@ from shutterlake.llm import (
     mixing,
     simhash,
     toxicity,
+    variants,
     warc,
 )
 from shutterlake.llm.common import crc_remainder, ensure_shared, shared_path
@@ -124,6 +125,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.resolve(warc.read(spark, path))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling(table(spark, folder, "documents"))
+
+
 def formatted(rows: DataFrame) -> DataFrame:
     """Digests of formatted conversations, read back from the formatted text."""
     found = chat.format_conversations(rows)
@@ -179,6 +184,7 @@ QUERIES: dict[str, Query] = {
         op8_nearest,
         op9_licenses,
         op10_warc,
+        op11_spelling,
         op12_chat,
         op13_align,
     )

@@ -6,6 +6,9 @@ that overlaps it and ends farthest to the right; where two end together the seco
 is the last and points to itself. Successors are then doubled for all tokens of many texts at
 once, ``next = next[next]``, until nothing changes: every token has found its group's last one.
 
+Both tokenizers begin a token at a space behind another character, so what stands between
+spaces is aligned once and remembered.
+
 The links of a group are all its pairs of a token of the one and a token of the other tokenizer.
 How many texts hold a pair is counted over the corpus without a row for each link: texts are
 packed into units, a unit sends each of its distinct pairs once, and gets the totals back.
@@ -14,8 +17,12 @@ packed into units, a unit sends each of its distinct pairs once, and gets the to
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+import itertools
+import operator
+import re
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +32,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from shutterlake.llm.bpe import spans, tokenizer
-from shutterlake.llm.common import annotate, arrow_types, materialized
+from shutterlake.llm.bpe import Memory, first_of, sliced, spans, tokenizer
+from shutterlake.llm.common import annotate, arrow_types, materialized, pieces
 from shutterlake.llm.lm import pack, unpack
 
+BLANKS = re.compile(r"\s\s")
 SLICE_BYTES = 1 << 20  # text aligned at once
 UNIT_PAIRS = 1 << 19  # distinct pairs of documents, summed, of a unit
 WIDE = 1 << 10  # links of a group from which repeated tokens are counted before pairing
+DENSE = 1 << 23  # texts times distinct pairs up to which a table of all is counted
 PAIRS = "pair_ids"
 TIMES = "pair_times"
+COUNTS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string"
 ADDED = ("n_a", "n_b", "n_groups", "n_links", "groups", PAIRS, TIMES)
 
 
 @dataclass
 class Vocabulary:
-    """Bytes and sizes of the tokens of both tokenizers, and their ids as written in groups."""
+    """Bytes and sizes of the tokens of both tokenizers, their ids as written in groups, and the
+    alignments that a worker remembers."""
 
     a_path: str
     b_path: str
@@ -57,19 +68,134 @@ class Vocabulary:
         written = [x + end for ids, end in ((a, ","), (a, "|"), (b, ","), (b, ";")) for x in ids]
         self.written = np.array(written, object)
 
-    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Tokens of both for every text; None where there are none, or bytes were changed."""
-        plain = [t for t in texts if t]
-        first = self.coder.ordinary([" " + t for t in plain])
-        second = self.pieces.encode(plain, num_threads=1) if plain else []
-        found = []
-        for text, one, two in zip(plain, first, second, strict=True):
-            whole = b" " + text.encode("utf-8", "surrogatepass")
-            a, b = np.frombuffer(one, np.int32), np.array(two, np.int64)
-            same = b"".join(self.a_bytes[a]) == whole and b"".join(self.b_bytes[b]) == whole
-            found.append((a.astype(np.int64), b) if same else None)
-        each = iter(found)
-        return [next(each) if t else None for t in texts]
+        names = (self.pieces.id_to_piece(i) for i in pieces)
+        if any("▁" in name.lstrip("▁") for name in names):
+            raise ValueError("the second tokenizer has a token with a space behind other characters")
+        self.known = Memory()
+
+    def encode(self, texts: list[str]) -> Encoded:
+        """Tokens of both for texts with a space before them; none where bytes were changed."""
+        first = self.coder.behind_spaces(texts)
+        first = [first[t] for t in texts]
+        second = self.pieces.encode(texts, num_threads=1) if texts else []
+        a = np.frombuffer(b"".join(first), np.int32).astype(np.int64)
+        b = np.fromiter(itertools.chain.from_iterable(second), np.int64)
+        a_count = np.fromiter(map(len, first), np.int64, len(texts)) // 4
+        b_count = np.fromiter(map(len, second), np.int64, len(texts))
+        whole = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
+        size = np.fromiter(map(len, whole), np.int64, len(texts))
+        joined, same = b"".join(whole), np.ones(len(texts), bool)
+        for ids, count, table, sizes in (
+            (a, a_count, self.a_bytes, self.a_size), (b, b_count, self.b_bytes, self.b_size),
+        ):
+            same &= np.diff(np.r_[0, np.cumsum(sizes[ids])][np.r_[0, np.cumsum(count)]]) == size
+            if not same.all() or b"".join(table[ids].tolist()) != joined:
+                ends = np.cumsum(count)
+                each = (b"".join(table[ids[e - n : e]]) for e, n in zip(ends, count, strict=True))
+                same &= np.fromiter(map(operator.eq, each, whole), bool, len(texts))
+        a, b = a[np.repeat(same, a_count)], b[np.repeat(same, b_count)]
+        return Encoded(a, b, a_count * same, b_count * same, same)
+
+    def learn(self, keys: Iterable[str]) -> None:
+        """Aligns what stands between spaces, for keys that are not remembered."""
+        new = list(self.known.lacking(set(keys)))
+        encoded = self.encode(new)
+        groups = align_tokens(encoded, self)
+        pairs, times, begin = linked_pairs(groups)
+        data = [sliced(x, begin[1:]) for x in (pairs, times)]
+        links = np.r_[0, np.cumsum(groups.a_count * groups.b_count)]
+        links = np.diff(links[np.r_[0, np.cumsum(groups.texts)]])
+        counts = (encoded.a_count, encoded.b_count, groups.texts, links)
+        names = written(groups, self)
+        self.known.update(zip(new, zip(*(c.tolist() for c in counts), names, *data), strict=True))
+        self.known.update((new[i], None) for i in np.flatnonzero(~encoded.same).tolist())
+
+    def keys(self, text: str) -> list[str]:
+        """A text cut at spaces so that each part, with its space, has its own tokens.
+
+        Pieces that are empty or begin or end with white space depend on their neighbours: each
+        is joined with what follows, up to a piece that does not; a single space at the end of
+        the text, with what is before it.
+        """
+        pieces = text.split(" ")
+        if not (BLANKS.search(text) or text[0].isspace() or text[-1].isspace()):
+            return pieces
+        out, at = [], 0
+        while at < len(pieces):
+            end = at + 1
+            while end < len(pieces) and (not (p := pieces[end - 1]) or p != p.strip()):
+                end += 1
+            out.append(" ".join(pieces[at:end]))
+            at = end
+        if out[-1] == "":  # a last space alone
+            out[-2:] = [" ".join(out[-2:])]
+        return out
+
+    def align(self, texts: list[str | None]) -> Alignments:
+        """The alignment of many texts, from that of their parts."""
+        cut = [self.keys(t) if t else [] for t in texts]
+        distinct = set(itertools.chain.from_iterable(cut))
+        self.learn(distinct)
+        lost = {k for k in distinct if self.known[k] is None}
+        if lost:  # a tokenizer changes their bytes
+            cut = [[] if lost.intersection(keys) else keys for keys in cut]
+        number = dict(zip(distinct, itertools.count()))
+        which = list(map(number.__getitem__, itertools.chain.from_iterable(cut)))
+        parts = [self.known[k] or NOTHING for k in distinct]
+        until = np.cumsum([0, *map(len, cut)])
+        at = np.array(which, np.int64)
+        *counts, names, pairs, times = zip(*parts, strict=True) if parts else [()] * 7
+        sums = [np.diff(np.r_[0, np.cumsum(np.array(c, np.int64)[at])][until]) for c in counts]
+        groups = [";".join([names[i] for i in which[a:b]]) for a, b in itertools.pairwise(until.tolist())]
+        return Alignments(*sums, groups, *summed(pairs, times, at, until))
+
+
+NOTHING = (0, 0, 0, 0, "", b"", b"")
+
+
+class Encoded(NamedTuple):
+    """Tokens of texts behind each other, how many each text has, and whether it has any."""
+
+    a: np.ndarray
+    b: np.ndarray
+    a_count: np.ndarray
+    b_count: np.ndarray
+    same: np.ndarray
+
+
+class Alignments(NamedTuple):
+    """Columns of aligned texts; a text's pairs are those between its and the next begin."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups: list[str]
+    pairs: np.ndarray
+    times: np.ndarray
+    begin: np.ndarray
+
+
+def summed(pairs: Sequence[bytes], times: Sequence[bytes], at: np.ndarray, until: np.ndarray):
+    """Distinct pairs of every text with the links of all its parts, and where texts begin."""
+    size = np.fromiter(map(len, pairs), np.int64, len(pairs)) // 8
+    pair = np.frombuffer(b"".join(pairs), np.int64)
+    time = np.frombuffer(b"".join(times), np.int64)
+    distinct, pair = np.unique(pair, return_inverse=True)
+    place = spans((np.cumsum(size) - size)[at], size[at])
+    text = np.repeat(np.repeat(np.arange(len(until) - 1), np.diff(until)), size[at])
+    cell = text * max(1, len(distinct)) + pair[place]
+    cells = (len(until) - 1) * len(distinct)
+    if cells <= DENSE:
+        total = np.bincount(cell, weights=time[place], minlength=cells)
+        found = np.flatnonzero(total)
+        total = total[found].astype(np.int64)
+    else:
+        order = np.argsort(cell, kind="stable")
+        first = first_of(cell[order])
+        found, total = cell[order][first], np.add.reduceat(time[place][order], first)
+    begin = np.searchsorted(found, np.arange(len(until)) * max(1, len(distinct)))
+    return distinct[found % max(1, len(distinct))], total, begin
 
 
 def piece_bytes(pieces: sentencepiece.SentencePieceProcessor, number: int) -> bytes:
@@ -113,21 +239,16 @@ class Aligned:
     b: np.ndarray
     a_count: np.ndarray  # by group
     b_count: np.ndarray
-    documents: np.ndarray  # number of groups by text
+    texts: np.ndarray  # number of groups by text
 
 
-def align_tokens(encoded: list, vocab: Vocabulary) -> Aligned:
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    pairs = [e or none for e in encoded]
-    a = np.concatenate([none[0], *(p[0] for p in pairs)])
-    b = np.concatenate([none[0], *(p[1] for p in pairs)])
-    n = len(a)
+def align_tokens(encoded: Encoded, vocab: Vocabulary) -> Aligned:
+    a, b, n = encoded.a, encoded.b, len(encoded.a)
     last = last_tokens(np.cumsum(vocab.a_size[a]), np.cumsum(vocab.b_size[b]))
     ends = np.flatnonzero(last[n:] == np.arange(n, n + len(b)))
     group = np.searchsorted(ends, last - n)
     count = [np.bincount(g, minlength=len(ends)) for g in (group[:n], group[n:])]
-    tokens = np.cumsum([len(p[1]) for p in pairs])
-    until = np.searchsorted(ends, tokens)  # a text's last token ends a group
+    until = np.searchsorted(ends, np.cumsum(encoded.b_count))  # a text's last token ends a group
     return Aligned(a, b, *count, np.diff(until, prepend=0))
 
 
@@ -143,7 +264,7 @@ def written(groups: Aligned, vocab: Vocabulary) -> list[str]:
     token[np.arange(len(groups.a)) + before] = a_text
     token[np.arange(len(groups.b)) + np.repeat(a_until, groups.b_count)] = b_text
     parts = vocab.written[token].tolist()
-    ends = np.r_[0, a_until + b_until][np.cumsum(groups.documents)].tolist()
+    ends = np.r_[0, a_until + b_until][np.cumsum(groups.texts)].tolist()
     return ["".join(parts[x:y])[:-1] for x, y in zip([0, *ends], ends, strict=False)]
 
 
@@ -156,7 +277,7 @@ def linked_pairs(groups: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     links = groups.a_count * groups.b_count
     a_from = np.cumsum(groups.a_count) - groups.a_count
     b_from = np.cumsum(groups.b_count) - groups.b_count
-    text = np.repeat(np.arange(len(groups.documents)), groups.documents)
+    text = np.repeat(np.arange(len(groups.texts)), groups.texts)
     narrow = np.flatnonzero(links <= WIDE)
     n = links[narrow]
     place = spans(np.zeros(len(n), np.int64), n)
@@ -176,10 +297,21 @@ def linked_pairs(groups: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text, pair, time = text[order], pair[order], time[order]
     first = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(pair, prepend=-1) != 0))
     total = np.add.reduceat(time, first) if len(first) else time
-    begin = np.searchsorted(text[first], np.arange(len(groups.documents) + 1))
+    begin = np.searchsorted(text[first], np.arange(len(groups.texts) + 1))
     return pair[first], total, begin
 
 
+def aligned_slices(texts: list[str | None], a_path: str, b_path: str) -> Iterator[Alignments]:
+    vocab, at = vocabulary(a_path, b_path), 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size < SLICE_BYTES):
+            size += len(texts[end] or "")
+            end += 1
+        yield vocab.align(texts[at:end])
+        at = end
+
+
 def align(df: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
     """``df`` with the groups and links of two tokenizations of a text column.
 
@@ -196,52 +328,32 @@ def align(df: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFr
     """
 
     def run(values: pa.Array) -> list:
-        vocab, found = vocabulary(a_path, b_path), [[] for _ in ADDED]
-        texts, at = values.to_pylist(), 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < SLICE_BYTES):
-                size += len(texts[end] or "")
-                end += 1
-            encoded = vocab.encode(texts[at:end])
-            groups = align_tokens(encoded, vocab)
-            pairs, times, begin = linked_pairs(groups)
-            until = np.cumsum(groups.documents)
-            links = np.r_[0, np.cumsum(groups.a_count * groups.b_count)]
-            columns = (
-                [0 if e is None else len(e[0]) for e in encoded],
-                [0 if e is None else len(e[1]) for e in encoded],
-                groups.documents,
-                np.diff(links[np.r_[0, until]]),
-                written(groups, vocab),
-            )
-            for column, new in zip(found, columns, strict=False):
+        found: list[list] = [[] for _ in ADDED]
+        for own in aligned_slices(values.to_pylist(), a_path, b_path):
+            offsets = pa.array(own.begin, pa.int32())
+            for column, new in zip(found, own[:5], strict=False):
                 column.extend(new)
-            offsets = pa.array(begin, pa.int32())
-            found[5].append(pa.ListArray.from_arrays(offsets, pa.array(pairs, pa.int64())))
-            found[6].append(pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())))
-            at = end
+            found[5].append(pa.ListArray.from_arrays(offsets, pa.array(own.pairs)))
+            found[6].append(pa.ListArray.from_arrays(offsets, pa.array(own.times)))
         return [*found[:5], pa.concat_arrays(found[5]), pa.concat_arrays(found[6])]
 
-    added = (
-        "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
-        f"{PAIRS} array<bigint>, {TIMES} array<bigint>"
-    )
-    return annotate(df, text, added, run)
+    return annotate(df, text, f"{COUNTS}, {PAIRS} array<bigint>, {TIMES} array<bigint>", run)
 
 
-def _units(aligned: DataFrame) -> DataFrame:
-    """Rows packed into units: ``(unit, rows, begin, pairs, documents, at, times)``."""
-    kept = StructType([f for f in aligned.schema.fields if f.name not in (PAIRS, TIMES)])
-    kinds = pa.struct([pa.field(n, k) for n, k in arrow_types(kept)])
-    names = [f.name for f in kept.fields]
+def _units(df: DataFrame, a_path: str, b_path: str, text: str, summary: Callable) -> DataFrame:
+    """Rows packed into units, each with its distinct pairs and what its rows have of them."""
+    replaced = {text.lower(), "groups", "n_best", "count_sum", *ADDED[:4]}
+    kept = [c for c in df.columns if c.lower() not in replaced]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_text"))
+    rows = StructType([*source.schema.fields[:-1], *StructType.fromDDL(COUNTS).fields])
+    kinds = pa.struct([pa.field(n, k) for n, k in arrow_types(rows)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        rows, pairs, times, sizes, held = [], [], [], [], 0
+        packed, pairs, times, sizes, held = [], [], [], [], 0
 
         def unit() -> pa.RecordBatch:
-            own = pa.concat_arrays(rows)
+            own = pa.concat_arrays(packed)
             distinct, at, documents = np.unique(
                 np.concatenate(pairs), return_inverse=True, return_counts=True
             )
@@ -251,48 +363,56 @@ def _units(aligned: DataFrame) -> DataFrame:
             ]
             counted = [np.concatenate(sizes), distinct, documents, at, np.concatenate(times)]
             columns += [pa.array([pack(c.astype(np.int64))], pa.binary()) for c in counted]
-            for each in (rows, pairs, times, sizes):
+            for each in (packed, pairs, times, sizes):
                 each.clear()
             return pa.RecordBatch.from_arrays(
                 columns, names=["unit", "rows", "sizes", "pairs", "documents", "at", "times"]
             )
 
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                some = batch.slice(start, 64)
-                columns = [some.column(some.schema.get_field_index(n)) for n in names]
-                rows.append(pa.StructArray.from_arrays(columns, fields=list(kinds)))
-                own = some.column(some.schema.get_field_index(PAIRS))
-                pairs.append(own.flatten().to_numpy())
-                flat = some.column(some.schema.get_field_index(TIMES))
-                times.append(flat.flatten().to_numpy())
-                sizes.append(own.value_lengths().to_numpy())
-                held += len(pairs[-1])
+        for batch in pieces(batches):
+            columns, start = batch.columns, 0
+            for own in aligned_slices(columns[-1].to_pylist(), a_path, b_path):
+                size = len(own.groups)
+                made = [c.slice(start, size) for c in columns[:-1]]
+                made += [pa.array(c, pa.int64()) for c in own[:4]]
+                made.append(pa.array([summary(g) for g in own.groups], pa.string()))
+                packed.append(pa.StructArray.from_arrays(made, fields=list(kinds)))
+                pairs.append(own.pairs)
+                times.append(own.times)
+                sizes.append(np.diff(own.begin))
+                start, held = start + size, held + len(own.pairs)
                 if held >= UNIT_PAIRS:
                     yield unit()
                     number, held = number + 1, 0
-        if rows:
+        if packed:
             yield unit()
 
-    schema = StructType().add("unit", "long").add("rows", ArrayType(kept))
+    schema = StructType().add("unit", "long").add("rows", ArrayType(rows))
     for name in ("sizes", "pairs", "documents", "at", "times"):
         schema = schema.add(name, "binary")
-    return materialized(aligned.mapInArrow(run, schema), "aligned-units")
+    return materialized(source.mapInArrow(run, schema), "aligned-units")
 
 
-def link_counts(aligned: DataFrame) -> DataFrame:
-    """The result of ``align`` without its lists of pairs, with ``n_best`` and ``count_sum``.
+def link_counts(
+    df: DataFrame,
+    a_path: str,
+    b_path: str,
+    text: str = "text",
+    summary: Callable[[str], str] = str,
+) -> DataFrame:
+    """``df`` with the text replaced by ``n_a``, ``n_b``, ``n_groups``, ``n_links`` and ``groups``
+    as in ``align``, and with ``n_best`` and ``count_sum``.
 
     A pair's count is the number of rows of the table that hold it linked. ``count_sum`` adds the
     counts of all links of a row; ``n_best`` is how many of its links have the highest count of
-    all pairs with their first token, ties included. Rows without links get zeros. Columns of
-    these two names, in any case, are replaced.
+    all pairs with their first token, ties included. Rows without links get zeros. ``summary``
+    is applied to the written groups, which are larger than the texts, before they are kept.
+    Other columns stay; those with the names above, in any case, are replaced.
 
     What crosses tasks is each distinct pair of a unit once, and its total back. A pair that
     every text holds is one row a unit, which Spark can split where it is joined.
     """
-    added = {"n_best", "count_sum"}
-    units = _units(aligned.select(*[f"`{c}`" for c in aligned.columns if c.lower() not in added]))
+    units = _units(df, a_path, b_path, text, summary)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

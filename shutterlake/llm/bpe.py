@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from shutterlake.llm.common import annotate
 
 KEPT_WORDS = 1 << 18  # pieces between spaces whose tokens a worker remembers
+KEPT_LETTERS = 1 << 24  # letters of those pieces
 KEPT_BORDERS = 1 << 21  # pairs of neighbouring tokens whose verdict a worker remembers
 # Fixed value: how the tokenizer's byte-level step cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,18 +44,27 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Memory(dict):
-    """Remembers at most ``KEPT_WORDS`` answers: when half are new, older ones not used since go."""
+    """Remembers at most ``KEPT_WORDS`` answers, for keys of ``KEPT_LETTERS`` letters in all.
+
+    When half are new, older ones not used since go.
+    """
 
     def __init__(self) -> None:
         super().__init__()
         self.older: dict = {}
+        self.letters = 0
 
     def lacking(self, needed: set) -> set:
         """What must be learned; the rest of ``needed`` can now be looked up."""
-        if len(self) + len(needed) > KEPT_WORDS // 2:
+        lost = {key for key in needed if key not in self}
+        letters = sum(map(len, lost))
+        crowded = 2 * (len(self) + len(lost)) > KEPT_WORDS
+        if crowded or 2 * (self.letters + letters) > KEPT_LETTERS:
             self.older = dict(self)
             self.clear()
-        lost = {key for key in needed if key not in self}
+            lost, self.letters = set(needed), 0
+            letters = sum(map(len, lost))
+        self.letters += letters
         for key in [k for k in lost if k in self.older]:
             self[key] = self.older[key]
             lost.discard(key)
@@ -284,27 +294,36 @@ class Tokenizer:
         token, count = self.learn(joined, len(pieces))
         return sliced(token.astype(np.int32), np.cumsum(count))
 
+    def behind_spaces(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Tokens of pieces, each with a space before it and as if nothing else were there.
+
+        Pieces of letters alone are one word, and two with a punctuation mark behind them;
+        others are cut by the pattern.
+        """
+        rest = set(pieces)
+        letters = [p for p in rest if p.isalpha()]
+        rest.difference_update(letters)
+        marked = [p for p in rest if p and p[-1] in MARKS and p[:-1].isalpha()]
+        rest.difference_update(marked)
+        others = list(rest)
+        out = dict(zip(others, self.tokens([" " + p for p in others]), strict=True))
+        found = self.letters(letters + [p[:-1] for p in marked])
+        out.update(zip(letters, found, strict=False))
+        mark = {m: np.int32(self.id_of[m.encode()]).tobytes() for m in MARKS}
+        ends = zip(marked, found[len(letters) :], strict=True)
+        out.update({p: word + mark[p[-1]] for p, word in ends})
+        return out
+
     def remember(self, pieces: Iterable[str]) -> None:
         """Finds the tokens of all pieces that follow a single space in the texts.
 
         A space between two other characters always begins a word, so such a piece has the
         same tokens wherever it stands. Pieces that are empty or begin or end with white
-        space depend on their neighbours and are marked with None. Pieces of letters alone are
-        one word, and two with a punctuation mark behind them; others are cut by the pattern.
+        space depend on their neighbours and are marked with None.
         """
         new = self.pieces.lacking(set(pieces))
-        letters = [p for p in new if p.isalpha()]
-        new.difference_update(letters)
-        marked = [p for p in new if p and p[-1] in MARKS and p[:-1].isalpha()]
-        new.difference_update(marked)
-        plain = [p for p in new if p and p == p.strip()]
         self.pieces.update(dict.fromkeys(new))
-        self.pieces.update(zip(plain, self.tokens([" " + p for p in plain]), strict=True))
-        found = self.letters(letters + [p[:-1] for p in marked])
-        self.pieces.update(zip(letters, found, strict=False))
-        mark = {m: np.int32(self.id_of[m.encode()]).tobytes() for m in MARKS}
-        ends = zip(marked, found[len(letters) :], strict=True)
-        self.pieces.update({p: word + mark[p[-1]] for p, word in ends})
+        self.pieces.update(self.behind_spaces([p for p in new if p and p == p.strip()]))
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """``tokens``, by the memory of pieces."""

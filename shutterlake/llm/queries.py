@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -102,7 +103,11 @@ def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return licensed(table(spark, folder, "documents"))
+
+
+def licensed(docs: DataFrame) -> DataFrame:
+    found = licenses.scan(docs.select("doc_id", "text"))
     base = F.array_sort(F.array_distinct("phrase_of"))
     both = F.array_sort(F.array_union("phrase_of", "block_of"))
     phrase = F.size("phrase_at") > 0
@@ -156,15 +161,14 @@ def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
     return formatted(rows.unionByName(made))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """Alignments of documents, with a digest in place of the written groups."""
-    found = align.align(docs.select("doc_id", "text"), TOKENIZER, PIECES)
-    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
-    return found.withColumn("groups_sha256", digest).drop("text", "groups")
+def aligned(docs: DataFrame) -> DataFrame:
+    """Counts of aligned tokens and links, and a digest of the groups as they are written."""
 
+    def digest(groups: str) -> str:
+        return hashlib.sha256(groups.encode()).hexdigest() if groups else ""
 
-def aligned(docs: DataFrame) -> DataFrame:
-    return align.link_counts(grouped(docs))
+    found = align.link_counts(docs.select("doc_id", "text"), TOKENIZER, PIECES, summary=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
 
 
 def op13_align(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import ast
 import hashlib
 from collections import Counter, defaultdict
 
@@ -7,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from shutterlake.llm import align, queries
+from shutterlake.llm import align, bpe, queries
 from tests.llm.support import FOLDER, documents, needs_tables, odd_rows, prose
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,10 +34,11 @@ def groups_of(text, libraries, vocab):
             return []
         ends.append(np.cumsum([len(table[i]) for i in ids]).tolist())
     found, at = [], [0, 0]
+    place = [{end: i for i, end in enumerate(e)} for e in ends]
     for cut in sorted(set(ends[0]) & set(ends[1])):
         group = []
         for side, ids in enumerate((a, b)):
-            until = ends[side].index(cut) + 1
+            until = place[side][cut] + 1
             group.append(ids[at[side] : until])
             at[side] = until
         found.append(tuple(group))
@@ -70,7 +72,7 @@ def more_rows():
     return odd_rows() + [(100 + i, t, "en", "a") for i, t in enumerate(texts)]
 
 
-def test_equals_brute_force(spark, libraries, monkeypatch):
+def test_equals_brute_force(spark, libraries):
     rows = more_rows()
     want = expected(rows, libraries)
     names = [
@@ -78,16 +80,32 @@ def test_equals_brute_force(spark, libraries, monkeypatch):
     ]
     found = queries.aligned(documents(spark, rows))
     assert sorted(str(tuple(r[n] for n in names)) for r in found.collect()) == want
-    # the same with units of a few pairs, slices of a text and every group counted as wide
-    aligned = queries.grouped(documents(spark, rows).repartition(3))
-    monkeypatch.setattr(align, "UNIT_PAIRS", 10)
-    found = align.link_counts(aligned)
-    assert sorted(str(tuple(r[n] for n in names)) for r in found.collect()) == want
+    written = align.align(documents(spark, rows), A, B).collect()
+    digests = [hashlib.sha256(r["groups"].encode()).hexdigest() if r["groups"] else "" for r in written]
+    tuples = [(r["doc_id"], r["n_a"], r["n_b"], r["n_groups"], r["n_links"]) for r in written]
+    assert sorted((str(t), d) for t, d in zip(tuples, digests, strict=True)) == sorted(
+        (str(t[:5]), t[7]) for t in map(ast.literal_eval, want)
+    )
+    assert all(sum(r["pair_times"]) == r["n_links"] for r in written)
+
+
+def test_small_units_and_a_short_memory_change_nothing(libraries, monkeypatch):
+    texts = [r[1] for r in more_rows()]
+    vocab = align.Vocabulary(A, B)
+    whole = vocab.align(texts)
+    monkeypatch.setattr(align, "DENSE", 0)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 4)
+    for own, text in zip(range(len(texts)), texts, strict=True):
+        one = vocab.align([text])
+        assert one.groups == [whole.groups[own]]
+        a, b = whole.begin[own], whole.begin[own + 1]
+        assert one.pairs.tolist() == whole.pairs[a:b].tolist()
+        assert one.times.tolist() == whole.times[a:b].tolist()
 
 
-def test_wide_groups_and_small_slices_change_nothing(monkeypatch):
+def test_wide_groups_change_nothing(monkeypatch):
     vocab = align.vocabulary(A, B)
-    encoded = vocab.encode([prose(1, 60), None, "", "日本語" * 40, "12345 é"])
+    encoded = vocab.encode([prose(1, 60), "x▁y", "日本語" * 40, "12345 é"])
     groups = align.align_tokens(encoded, vocab)
     before = [x.tolist() for x in align.linked_pairs(groups)]
     monkeypatch.setattr(align, "WIDE", 0)
@@ -105,10 +123,11 @@ def test_extra_columns_and_empty_tables(spark):
     rows = spark.createDataFrame(
         [(1, "a b", 7, 8)], "doc_id bigint, text string, N_Best int, groups int"
     )
-    found = align.link_counts(align.align(rows, A, B))
+    found = align.link_counts(rows, A, B)
     assert found.columns[-2:] == ["n_best", "count_sum"] and "N_Best" not in found.columns
     assert found.first()["n_best"] == 2
-    assert align.link_counts(align.align(rows.limit(0), A, B)).count() == 0
+    assert align.link_counts(rows.limit(0), A, B).count() == 0
+    assert align.align(rows.limit(0), A, B).count() == 0
 
 
 @needs_tables

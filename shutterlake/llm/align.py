@@ -20,24 +20,27 @@ import functools
 import itertools
 import operator
 import re
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from shutterlake.llm.bpe import Memory, first_of, sliced, spans, tokenizer
+from shutterlake.llm.bpe import WORDS, first_of, spans, special_ids, token_bytes
 from shutterlake.llm.common import annotate, arrow_types, materialized, pieces
 from shutterlake.llm.lm import pack, unpack
 
 BLANKS = re.compile(r"\s\s")
 SLICE_BYTES = 1 << 20  # text aligned at once
+KEPT_PARTS = 1 << 18  # parts of texts whose alignment a worker remembers
+KEPT_LETTERS = 1 << 24  # letters of those parts
 UNIT_PAIRS = 1 << 19  # distinct pairs of documents, summed, of a unit
 WIDE = 1 << 10  # links of a group from which repeated tokens are counted before pairing
 DENSE = 1 << 23  # texts times distinct pairs up to which a table of all is counted
@@ -56,8 +59,12 @@ class Vocabulary:
     b_path: str
 
     def __post_init__(self) -> None:
-        self.coder = tokenizer(self.a_path)
-        self.a_bytes = self.coder.table
+        self.a_bytes = token_bytes(self.a_path)
+        special = special_ids(self.a_path)
+        plain = {t: i for i, t in enumerate(self.a_bytes) if i not in special}
+        self.coder = tiktoken.Encoding(
+            "first", pat_str=WORDS, mergeable_ranks=plain, special_tokens={}
+        )
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=self.b_path)
         pieces = range(self.pieces.get_piece_size())
         self.b_bytes = np.array([piece_bytes(self.pieces, i) for i in pieces], object)
@@ -71,44 +78,101 @@ class Vocabulary:
         names = (self.pieces.id_to_piece(i) for i in pieces)
         if any("▁" in name.lstrip("▁") for name in names):
             raise ValueError("the second tokenizer has a token with a space behind other characters")
-        self.known = Memory()
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}  # of every known part of a text
+        self.letters = 0
+        self.names: list[str] = []  # their groups as written
+        self.lost: set[int] = set()  # those whose bytes a tokenizer changes
+        self.counts = np.zeros((4, 0), np.int64)
+        self.sizes = np.zeros(0, np.int64)  # distinct pairs of each
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)  # pairs by number
+        self.pair_of = np.zeros(0, np.int64)
+        self.order = np.zeros(0, np.int64)  # numbers of pairs, by pair
 
     def encode(self, texts: list[str]) -> Encoded:
-        """Tokens of both for texts with a space before them; none where bytes were changed."""
-        first = self.coder.behind_spaces(texts)
-        first = [first[t] for t in texts]
-        second = self.pieces.encode(texts, num_threads=1) if texts else []
-        a = np.frombuffer(b"".join(first), np.int32).astype(np.int64)
-        b = np.fromiter(itertools.chain.from_iterable(second), np.int64)
-        a_count = np.fromiter(map(len, first), np.int64, len(texts)) // 4
-        b_count = np.fromiter(map(len, second), np.int64, len(texts))
+        """Tokens of both for texts with a space before them; none where bytes were changed.
+
+        All are encoded as one text with spaces between, which both begin a token at. If that
+        changes any byte they are encoded one by one.
+        """
         whole = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
         size = np.fromiter(map(len, whole), np.int64, len(texts))
-        joined, same = b"".join(whole), np.ones(len(texts), bool)
-        for ids, count, table, sizes in (
-            (a, a_count, self.a_bytes, self.a_size), (b, b_count, self.b_bytes, self.b_size),
+        joined, both = " ".join(texts), []
+        first = self.coder.encode_ordinary(" " + joined) if texts else []
+        second = self.pieces.encode(joined, num_threads=1) if texts else []
+        for ids, table, sizes in (
+            (first, self.a_bytes, self.a_size), (second, self.b_bytes, self.b_size),
         ):
-            same &= np.diff(np.r_[0, np.cumsum(sizes[ids])][np.r_[0, np.cumsum(count)]]) == size
-            if not same.all() or b"".join(table[ids].tolist()) != joined:
-                ends = np.cumsum(count)
-                each = (b"".join(table[ids[e - n : e]]) for e, n in zip(ends, count, strict=True))
-                same &= np.fromiter(map(operator.eq, each, whole), bool, len(texts))
-        a, b = a[np.repeat(same, a_count)], b[np.repeat(same, b_count)]
-        return Encoded(a, b, a_count * same, b_count * same, same)
-
-    def learn(self, keys: Iterable[str]) -> None:
-        """Aligns what stands between spaces, for keys that are not remembered."""
-        new = list(self.known.lacking(set(keys)))
-        encoded = self.encode(new)
+            ids = np.array(ids, np.int64)
+            until = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum(size), "right")
+            if b"".join(table[ids].tolist()) != b"".join(whole):
+                return self.encode_each(texts, whole)
+            both.append((ids, np.diff(until, prepend=0)))
+        (a, a_count), (b, b_count) = both
+        return Encoded(a, b, a_count, b_count, np.ones(len(texts), bool))
+
+    def encode_each(self, texts: list[str], whole: list[bytes]) -> Encoded:
+        first = [self.coder.encode_ordinary(" " + t) for t in texts]
+        second = self.pieces.encode(texts, num_threads=1)
+        same = np.array([
+            b"".join(self.a_bytes[one].tolist()) == b"".join(self.b_bytes[two].tolist()) == own
+            for one, two, own in zip(first, second, whole, strict=True)
+        ], bool)
+        flat = []
+        for each in (first, second):
+            kept = [ids if good else [] for ids, good in zip(each, same, strict=True)]
+            flat.append(np.array([i for ids in kept for i in ids], np.int64))
+            flat.append(np.array(list(map(len, kept)), np.int64))
+        return Encoded(flat[0], flat[2], flat[1], flat[3], same)
+
+    def learn(self, new: list[str], encoded: Encoded) -> None:
+        """Aligns what stands between spaces and remembers it."""
         groups = align_tokens(encoded, self)
         pairs, times, begin = linked_pairs(groups)
-        data = [sliced(x, begin[1:]) for x in (pairs, times)]
         links = np.r_[0, np.cumsum(groups.a_count * groups.b_count)]
         links = np.diff(links[np.r_[0, np.cumsum(groups.texts)]])
-        counts = (encoded.a_count, encoded.b_count, groups.texts, links)
-        names = written(groups, self)
-        self.known.update(zip(new, zip(*(c.tolist() for c in counts), names, *data), strict=True))
-        self.known.update((new[i], None) for i in np.flatnonzero(~encoded.same).tolist())
+        counts = np.stack([encoded.a_count, encoded.b_count, groups.texts, links])
+        first = len(self.names)
+        self.lost.update((first + np.flatnonzero(~encoded.same)).tolist())
+        self.number.update(zip(new, itertools.count(first)))
+        self.letters += sum(map(len, new))
+        self.names += written(groups, self)
+        self.counts = np.concatenate([self.counts, counts], axis=1)
+        self.pairs = np.concatenate([self.pairs, self.pair_numbers(pairs)])
+        self.times = np.concatenate([self.times, times])
+        self.sizes = np.concatenate([self.sizes, np.diff(begin)])
+
+    def pair_numbers(self, pairs: np.ndarray) -> np.ndarray:
+        """Numbers of pairs in the order of their arrival."""
+        found, which = np.unique(pairs, return_inverse=True)
+        known = self.pair_of[self.order]
+        new = np.setdiff1d(found, known, assume_unique=True)
+        numbers = np.arange(len(known), len(known) + len(new))
+        self.order = np.insert(self.order, np.searchsorted(known, new), numbers)
+        self.pair_of = np.concatenate([self.pair_of, new])
+        return self.order[np.searchsorted(self.pair_of[self.order], found)][which]
+
+    def numbered(self, keys: list[str]) -> list[int]:
+        """The numbers of parts of texts; those that are new are aligned first.
+
+        When too many are known, all are forgotten.
+        """
+        found = list(map(self.number.get, keys))
+        if None in found:
+            new = {k for k, n in zip(keys, found, strict=True) if n is None}
+            if len(self.names) + len(new) > KEPT_PARTS or self.letters > KEPT_LETTERS:
+                self.forget()
+                new = set(keys)
+            regular = [k for k in new if k and k == k.strip()]
+            self.learn(regular, self.encode(regular))
+            if len(regular) < len(new):
+                odd = list(new.difference(regular))
+                whole = [b" " + k.encode("utf-8", "surrogatepass") for k in odd]
+                self.learn(odd, self.encode_each(odd, whole))
+            found = list(map(self.number.__getitem__, keys))
+        return found
 
     def keys(self, text: str) -> list[str]:
         """A text cut at spaces so that each part, with its space, has its own tokens.
@@ -134,23 +198,39 @@ class Vocabulary:
     def align(self, texts: list[str | None]) -> Alignments:
         """The alignment of many texts, from that of their parts."""
         cut = [self.keys(t) if t else [] for t in texts]
-        distinct = set(itertools.chain.from_iterable(cut))
-        self.learn(distinct)
-        lost = {k for k in distinct if self.known[k] is None}
-        if lost:  # a tokenizer changes their bytes
-            cut = [[] if lost.intersection(keys) else keys for keys in cut]
-        number = dict(zip(distinct, itertools.count()))
-        which = list(map(number.__getitem__, itertools.chain.from_iterable(cut)))
-        parts = [self.known[k] or NOTHING for k in distinct]
-        until = np.cumsum([0, *map(len, cut)])
-        at = np.array(which, np.int64)
-        *counts, names, pairs, times = zip(*parts, strict=True) if parts else [()] * 7
-        sums = [np.diff(np.r_[0, np.cumsum(np.array(c, np.int64)[at])][until]) for c in counts]
-        groups = [";".join([names[i] for i in which[a:b]]) for a, b in itertools.pairwise(until.tolist())]
-        return Alignments(*sums, groups, *summed(pairs, times, at, until))
-
-
-NOTHING = (0, 0, 0, 0, "", b"", b"")
+        which = self.numbered(list(itertools.chain.from_iterable(cut)))
+        ends = list(itertools.accumulate(map(len, cut), initial=0))
+        each = [which[a:b] for a, b in itertools.pairwise(ends)]
+        if self.lost:
+            each = [[] if self.lost.intersection(own) else own for own in each]
+        names = self.names
+        groups = [";".join([names[i] for i in own]) for own in each]
+        until = np.array(list(itertools.accumulate(map(len, each), initial=0)))
+        at = np.array([i for own in each for i in own] if self.lost else which, np.int64)
+        sums = [np.diff(np.r_[0, np.cumsum(c[at])][until]) for c in self.counts]
+        return Alignments(*sums, groups, *self.summed(at, until))
+
+    def summed(self, at: np.ndarray, until: np.ndarray):
+        """Distinct pairs of every text with the links of all its parts, and where texts begin."""
+        begin = np.cumsum(self.sizes) - self.sizes
+        size, own = self.sizes[at], np.unique(at)
+        place = spans(begin[at], size)
+        numbers = np.unique(self.pairs[spans(begin[own], self.sizes[own])])
+        distinct = np.sort(self.pair_of[numbers])
+        rank = np.zeros(len(self.pair_of), np.int64)
+        rank[numbers] = np.searchsorted(distinct, self.pair_of[numbers])
+        wide, texts, time = max(1, len(distinct)), len(until) - 1, self.times[place]
+        text = np.repeat(np.repeat(np.arange(texts), np.diff(until)), size)
+        cell = text * wide + rank[self.pairs[place]]
+        if texts * wide <= DENSE:
+            total = np.bincount(cell, weights=time, minlength=texts * wide)
+            found = np.flatnonzero(total)
+            total = total[found].astype(np.int64)
+        else:
+            order = np.argsort(cell, kind="stable")
+            first = first_of(cell[order])
+            found, total = cell[order][first], np.add.reduceat(time[order], first)
+        return distinct[found % wide], total, np.searchsorted(found, np.arange(texts + 1) * wide)
 
 
 class Encoded(NamedTuple):
@@ -176,28 +256,6 @@ class Alignments(NamedTuple):
     begin: np.ndarray
 
 
-def summed(pairs: Sequence[bytes], times: Sequence[bytes], at: np.ndarray, until: np.ndarray):
-    """Distinct pairs of every text with the links of all its parts, and where texts begin."""
-    size = np.fromiter(map(len, pairs), np.int64, len(pairs)) // 8
-    pair = np.frombuffer(b"".join(pairs), np.int64)
-    time = np.frombuffer(b"".join(times), np.int64)
-    distinct, pair = np.unique(pair, return_inverse=True)
-    place = spans((np.cumsum(size) - size)[at], size[at])
-    text = np.repeat(np.repeat(np.arange(len(until) - 1), np.diff(until)), size[at])
-    cell = text * max(1, len(distinct)) + pair[place]
-    cells = (len(until) - 1) * len(distinct)
-    if cells <= DENSE:
-        total = np.bincount(cell, weights=time[place], minlength=cells)
-        found = np.flatnonzero(total)
-        total = total[found].astype(np.int64)
-    else:
-        order = np.argsort(cell, kind="stable")
-        first = first_of(cell[order])
-        found, total = cell[order][first], np.add.reduceat(time[place][order], first)
-    begin = np.searchsorted(found, np.arange(len(until)) * max(1, len(distinct)))
-    return distinct[found % max(1, len(distinct))], total, begin
-
-
 def piece_bytes(pieces: sentencepiece.SentencePieceProcessor, number: int) -> bytes:
     """The bytes a piece stands for: a byte piece's own, else its text with spaces restored."""
     name = pieces.id_to_piece(number)

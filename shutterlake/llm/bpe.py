@@ -71,6 +71,12 @@ class Memory(dict):
         return lost
 
 
+def special_ids(path: str) -> set[int]:
+    """The ids of a tokenizer file's special tokens."""
+    with open(path, encoding="utf-8") as file:
+        return {t["id"] for t in json.load(file).get("added_tokens", [])}
+
+
 def token_bytes(path: str) -> np.ndarray:
     """The bytes of every token of a tokenizer file."""
     with open(path, encoding="utf-8") as file:
@@ -286,19 +292,26 @@ class Tokenizer:
         in_word = np.r_[0, np.cumsum(count[words])]
         return sliced(flat, in_word[np.cumsum(list(map(len, cut)))])
 
-    def letters(self, pieces: list[str]) -> list[bytes]:
-        """Tokens of words of letters alone, each behind a space."""
+    def plain(self, letters: list[str], marked: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens, behind each other, of pieces with a space before them, and how many each has.
+
+        The first are one word of letters each; the others have a punctuation mark behind it,
+        which is a word of its own.
+        """
+        pieces = letters + [f"{p[:-1]}\n{p[-1]}" for p in marked]
         if not pieces:
-            return []
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         joined = (" " + "\n ".join(pieces)).encode().replace(b"\n", BETWEEN)
-        token, count = self.learn(joined, len(pieces))
-        return sliced(token.astype(np.int32), np.cumsum(count))
+        token, count = self.learn(joined, len(letters) + 2 * len(marked))
+        pairs = count[len(letters) :].reshape(-1, 2).sum(axis=1)
+        return token, np.concatenate([count[: len(letters)], pairs])
 
-    def behind_spaces(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Tokens of pieces, each with a space before it and as if nothing else were there.
+    def behind_spaces(self, pieces: Iterable[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Pieces in some order, their tokens behind each other, and how many each has.
 
-        Pieces of letters alone are one word, and two with a punctuation mark behind them;
-        others are cut by the pattern.
+        Each piece has a space before it and is taken as if nothing else were there. Pieces of
+        letters alone are one word, and two with a punctuation mark behind them; others are cut
+        by the pattern.
         """
         rest = set(pieces)
         letters = [p for p in rest if p.isalpha()]
@@ -306,13 +319,11 @@ class Tokenizer:
         marked = [p for p in rest if p and p[-1] in MARKS and p[:-1].isalpha()]
         rest.difference_update(marked)
         others = list(rest)
-        out = dict(zip(others, self.tokens([" " + p for p in others]), strict=True))
-        found = self.letters(letters + [p[:-1] for p in marked])
-        out.update(zip(letters, found, strict=False))
-        mark = {m: np.int32(self.id_of[m.encode()]).tobytes() for m in MARKS}
-        ends = zip(marked, found[len(letters) :], strict=True)
-        out.update({p: word + mark[p[-1]] for p, word in ends})
-        return out
+        found = self.tokens([" " + p for p in others])
+        token, count = self.plain(letters, marked)
+        token = np.concatenate([token, np.frombuffer(b"".join(found), np.int32)])
+        count = np.concatenate([count, np.fromiter(map(len, found), np.int64, len(found)) // 4])
+        return letters + marked + others, token, count
 
     def remember(self, pieces: Iterable[str]) -> None:
         """Finds the tokens of all pieces that follow a single space in the texts.
@@ -322,8 +333,12 @@ class Tokenizer:
         space depend on their neighbours and are marked with None.
         """
         new = self.pieces.lacking(set(pieces))
-        self.pieces.update(dict.fromkeys(new))
-        self.pieces.update(self.behind_spaces([p for p in new if p and p == p.strip()]))
+        lost = [p for p in new if not p or p != p.strip()]
+        self.pieces.update(dict.fromkeys(lost))
+        new.difference_update(lost)
+        found, token, count = self.behind_spaces(new)
+        each = sliced(token.astype(np.int32), np.cumsum(count))
+        self.pieces.update(zip(found, each, strict=True))
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """``tokens``, by the memory of pieces."""

@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from shutterlake.llm import align, bpe, queries
+from shutterlake.llm import align, queries
 from tests.llm.support import FOLDER, documents, needs_tables, odd_rows, prose
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,7 +94,7 @@ def test_small_units_and_a_short_memory_change_nothing(libraries, monkeypatch):
     vocab = align.Vocabulary(A, B)
     whole = vocab.align(texts)
     monkeypatch.setattr(align, "DENSE", 0)
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 4)
+    monkeypatch.setattr(align, "KEPT_PARTS", 4)
     for own, text in zip(range(len(texts)), texts, strict=True):
         one = vocab.align([text])
         assert one.groups == [whole.groups[own]]

@@ -27,9 +27,11 @@ from shutterlake.sources import tables
 
 BUCKETS = 64  # hash buckets of the photos table; a layout choice made once per table
 LAST = "photo_last_statistics"
+DAYS = "photo_statistics_days"
 PARTITIONS = {
     "photos": tables.BUCKET,
     LAST: tables.BUCKET,
+    DAYS: tables.BUCKET,
     "photo_statistics": "recorded_on",
     "quarantine": "recorded_on",
     "search_trends": "trend_date",
@@ -113,6 +115,7 @@ def quarantine(bad: DataFrame, feed: str, root: str, recorded_at: dt.datetime) -
 
 
 PHOTO_ORDER, PHOTO_KEPT = ["updated_at"], ["extracted_at"]
+LAST_ORDER = ["recorded_at"]
 
 
 def read_photos(spark: SparkSession, root: str) -> DataFrame | None:
@@ -123,7 +126,8 @@ def read_photos(spark: SparkSession, root: str) -> DataFrame | None:
 def fold_tables(spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
     """Folds the loads since the last time into the bucketed tables."""
     tables.fold(spark, root, "photos", ["id"], buckets, PHOTO_ORDER, PHOTO_KEPT)
-    tables.fold(spark, root, LAST, ["photo_id"], buckets)
+    tables.fold(spark, root, LAST, ["photo_id"], buckets, LAST_ORDER)
+    fold_days(spark, root)
 
 
 def recover_tables(spark: SparkSession, root: str) -> None:
@@ -153,42 +157,66 @@ def load_photos(raw: DataFrame, root: str, recorded_at: dt.datetime) -> int:
 
 
 def load_statistics(new: DataFrame, root: str, loaded_at: Column) -> None:
-    """Merges snapshots with their deltas and remembers each photo's newest one.
-
-    Deltas are taken against the remembered snapshots only, of which there is one a photo, so
-    the history is not read. The one before it is remembered too: a repeated load finds its
-    own snapshot there and takes the delta against the earlier. A snapshot older than both
-    counts from zero, and is not remembered.
+    """Merges snapshots with their deltas, in whatever order they come.
+
+    A snapshot newer than the photo's newest is compared with that one, which is remembered, so
+    the history is not read. For others, late or delivered again, the history is read on their
+    own days and the nearest days before and after with snapshots of the photo; the deltas of
+    their successors are rewritten with theirs. Which days those are is kept as bits in a table
+    of its own, of which only the photos' hash buckets are read. Photo and time must be unique
+    in ``new``. A load that broke off is made good by repeating it.
     """
     spark = new.sparkSession
-    totals = ["recorded_at", *snapshots.DELTAS]
     new = checkpointed(new)
-    last = tables.read_keyed(spark, root, LAST, ["photo_id"])
+    last = tables.read_keyed(spark, root, LAST, ["photo_id"], LAST_ORDER)
     if last is None:
         last = spark.createDataFrame([], StructType.fromDDL(schemas.PHOTO_LAST_STATISTICS))
-    first = new.groupBy("photo_id").agg(F.min("recorded_at").alias("_first"))
-    known = last.join(first, "photo_id").select(
-        "photo_id", "_first", F.col("recorded_at").alias("_last"),
-        F.explode(F.array(F.struct(*totals), "before")).alias("s"),
-    )
-    known = checkpointed(
-        known.groupBy("photo_id")
-        .agg(
-            F.max("_last").alias("_last"),
-            F.max_by("s", F.when(F.col("s.recorded_at") < F.col("_first"), F.col("s.recorded_at")))
-            .alias("s"),
-        )
-    )
-    earlier = known.where("s is not null").select("photo_id", "s.*")
-    deltas = snapshots.new_stat_deltas(new, earlier)
-    deltas = conform(deltas, schemas.PHOTO_STATISTICS)
+    photos = new.select("photo_id").distinct()
+    last = checkpointed(last.join(photos, "photo_id", "left_semi").select(*new.columns))
+    newest = last.select("photo_id", F.col("recorded_at").alias("_last"))
+    late = new.join(newest, "photo_id").where(F.col("recorded_at") <= F.col("_last"))
+    known = last
+    if not late.isEmpty():
+        beside = history_beside(spark, root, late)
+        known = known.unionByName(beside.select(*new.columns)).dropDuplicates(snapshots.KEY)
+    deltas = conform(snapshots.placed_deltas(known, new), schemas.PHOTO_STATISTICS)
     deltas = deltas.withColumn("recorded_on", F.to_date("recorded_at"))
     keys = schemas.KEYS["photo_statistics"]
     tables.merge(checkpointed(deltas), root, "photo_statistics", keys, "recorded_on")
-    newest = snapshots.latest_snapshots(new).join(known, "photo_id", "left")
-    newest = newest.where("_last is null or recorded_at >= _last")
-    newest = conform(newest.withColumnRenamed("s", "before"), schemas.PHOTO_LAST_STATISTICS)
-    tables.add_changes(newest, root, LAST, loaded_at)
+    days = tables.with_bucket(snapshots.days_of(new), "photo_id", BUCKETS)
+    days.write.mode("append").partitionBy(tables.BUCKET).parquet(f"{root.rstrip('/')}/{DAYS}")
+    fresh = snapshots.latest_snapshots(new).join(newest, "photo_id", "left")
+    fresh = fresh.where("_last is null or recorded_at >= _last")
+    fresh = conform(fresh, schemas.PHOTO_LAST_STATISTICS)
+    tables.add_changes(fresh, root, LAST, loaded_at)
+
+
+def history_beside(spark: SparkSession, root: str, late: DataFrame) -> DataFrame:
+    """The stored snapshots on the days beside late ones, read from those days alone."""
+    history = tables.read_table(spark, root, "photo_statistics")
+    days = tables.read_table_or_none(spark, root, DAYS)
+    if days is None:  # a table that was loaded before its days were kept
+        days = tables.with_bucket(snapshots.days_of(history), "photo_id", BUCKETS)
+        days.write.partitionBy(tables.BUCKET).parquet(f"{root.rstrip('/')}/{DAYS}")
+        days = tables.read_table(spark, root, DAYS)
+    # at most one row for every bucket, then one for every day of the calendar
+    buckets = tables.with_bucket(late.select("photo_id"), "photo_id", BUCKETS)
+    buckets = [r[0] for r in buckets.select(tables.BUCKET).distinct().collect()]
+    own = days.where(F.col(tables.BUCKET).isin(buckets))
+    beside = checkpointed(snapshots.days_beside(own, late))
+    on = [r[0] for r in beside.select("recorded_on").distinct().collect()]
+    return history.where(F.col("recorded_on").isin(on)).join(
+        beside, ["photo_id", "recorded_on"], "left_semi"
+    )
+
+
+def fold_days(spark: SparkSession, root: str) -> None:
+    """One row for each photo and month in the table of days."""
+    days = tables.read_table_or_none(spark, root, DAYS)
+    if days is not None:
+        merged = snapshots.merged_days(days)
+        batch = checkpointed(tables.with_bucket(merged, "photo_id", BUCKETS))
+        tables.merge(batch, root, DAYS, ["photo_id", "month"], tables.BUCKET)
 
 
 def load_search_trends(log: DataFrame, root: str, recorded_at: dt.datetime) -> int:

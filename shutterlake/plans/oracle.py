@@ -342,6 +342,7 @@ select * from trends where trend_date >= date '2024-01-15'
 union all select * from first where trend_date < date '2024-01-15'""",
     "stat_deltas": f"with {DELTAS} select * from deltas",
     "stat_deltas_incremental": f"with {DELTAS} select * exclude (id) from deltas",
+    "stat_deltas_late": f"with {DELTAS} select * exclude (id) from deltas",
     "upsert_analysis": f"""
 with {STG}, {TAG_ANALYSIS},
 words as (select p_size as likes, cast(floor(p_retailprice) as bigint) as downloads,

@@ -41,10 +41,14 @@ PHOTO_STATISTICS = """
     download_delta bigint, likes_delta bigint, views_delta bigint
 """
 
-# The newest snapshot of each photo and the one before it.
+# The newest snapshot of each photo.
 PHOTO_LAST_STATISTICS = """
-    photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint,
-    before struct<recorded_at:timestamp,downloads:bigint,likes:bigint,views:bigint>
+    photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint
+"""
+
+# The days of a month on which a photo has snapshots, one bit each.
+PHOTO_STATISTICS_DAYS = """
+    photo_id string, month date, days int
 """
 
 # Records of any feed that could not be loaded.

@@ -1,11 +1,13 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 
 from conftest import rows
 from pyspark.sql.types import StructType
 from shutterlake import schemas
+from shutterlake.operators import snapshots
 from shutterlake.plans import elt
 from shutterlake.session import shared_folder
 from shutterlake.sources import tables
@@ -189,7 +191,41 @@ def test_statistics_out_of_order_and_twice(spark, tmp_path):
         elt.fold_tables(spark, root, 2)
     stored = tables.read_table(spark, root, "photo_statistics")
     assert rows(stored, "photo_id", "likes", "likes_delta") == [
-        ("p", 30, 30), ("p", 40, 10), ("p", 50, 20), ("p", 61, 11), ("q", 7, 7)]
+        ("p", 30, 30), ("p", 40, 10), ("p", 50, 10), ("p", 61, 11), ("q", 7, 7)]
+
+
+def test_loads_in_any_order_equal_one(spark, tmp_path):
+    rng, start = random.Random(4), dt.datetime(2024, 1, 29)
+    schema = "photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint"
+    times = rng.sample(range(0, 24 * 200, 5), 60)
+    data = [(rng.choice("aaab"), start + dt.timedelta(hours=h), rng.randrange(99), i, None)
+            for i, h in enumerate(times)]
+    loads = [data[20:40], data[:25], data[40:] + data[3:5]]
+    for n, load in enumerate(loads):
+        elt.load_statistics(spark.createDataFrame(load, schema), str(tmp_path), elt.F.lit(at(9)))
+        if n == 1:
+            elt.fold_tables(spark, str(tmp_path), 2)
+    stored = tables.read_table(spark, str(tmp_path), "photo_statistics").drop("recorded_on")
+    whole = snapshots.stat_deltas(spark.createDataFrame(data, schema))
+    assert rows(stored) == rows(whole)
+
+
+def test_only_days_beside_a_late_snapshot_are_read(spark, tmp_path):
+    root, schema = str(tmp_path), "photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint"
+    day = lambda n, h=0: dt.datetime(2024, 3, 1, h) + dt.timedelta(days=n)
+    data = [("p", day(n), n, n, n) for n in (0, 3, 9, 40, 70)] + [("q", day(n), 1, 1, 1) for n in range(60)]
+    elt.load_statistics(spark.createDataFrame(data, schema), root, elt.F.lit(at(9)))
+    late = spark.createDataFrame([("p", day(20), 5, 5, 5), ("p", day(40, 3), 9, 9, 9)], schema)
+    days = snapshots.days_beside(tables.read_table(spark, root, elt.DAYS), late)
+    assert rows(days) == sorted([("p", day(n).date()) for n in (9, 40, 70)], key=repr)
+    read = elt.history_beside(spark, root, late)
+    assert "PartitionFilters: [recorded_on" in read._jdf.queryExecution().toString()
+    assert {r["photo_id"] for r in read.collect()} == {"p"}
+    files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.glob("photo_statistics/*/*.parquet")}
+    before = files()
+    elt.load_statistics(late, root, elt.F.lit(at(9)))
+    kept = {p.parent.name[-10:] for p, t in files().items() if before.get(p) == t}
+    assert kept == {str(day(n).date()) for n in range(71) if n not in (20, 40) and (n < 60 or n == 70)} - {str(day(70).date())}
 
 
 class Session:

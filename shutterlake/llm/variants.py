@@ -4,8 +4,8 @@ A trie's edges are rows ``(node, letter, child)``; a node is the hash of its pre
 a word, how many of its letters are used up, a node and the number of edits. Level by level the
 states are joined with the edges of their nodes: a letter that fits leads on, another one is
 inserted or replaces the word's. A state that has used up its word after one edit, at a node
-where a word ends, has found a neighbour. Each edge also says which letters follow its child, so
-a state that could not go on is never made.
+where a word ends, has found a neighbour. Each edge also has a summary of what follows its
+child, so that most states that would not come to an end are never made.
 
 Edits at the beginning of words would spread over the whole top of the trie. Two words one edit
 apart have either the first half of the shorter one in common or the rest, so a word enters the
@@ -28,37 +28,34 @@ from pyspark.sql import functions as F
 
 from shutterlake.llm.common import materialized, pieces, shared_path
 
-RUNS = re.compile("[A-Za-zÀ-ÿ]+")
+LETTERS = "A-Za-zÀ-ÿ"
 HELD_WORDS = 1 << 17  # distinct words a task counts before it passes them on
 LEAST_LETTERS = 7
 DEPTH = 40  # letters of the longest word in the trie
 SLIP = 31  # one run of a text in so many loses a letter
 BASE = 0x9E3779B97F4A7C15  # of polynomial hashes modulo 2^64
-END_BIT = 26  # behind the bits of a to z: a word ends here
 
 
-def words_in(name: str, text: str) -> Counter:
-    """Words of a text with their numbers, in UTF-8, letters deleted where a checksum says so."""
-    runs: Counter = Counter()
-    for run, n in Counter(RUNS.findall(text)).items():
-        runs[run.encode().lower()] += n  # of bytes, only A to Z have a lower case
-    found: Counter = Counter()
+def add_words(total: dict[bytes, int], runs: re.Pattern, name: str, text: str) -> None:
+    """Adds the words of a text, in UTF-8, letters deleted where a checksum says so."""
     before = zlib.crc32(f"{name}:".encode())
-    for run, n in runs.items():
-        h = zlib.crc32(run, before)
+    for run, n in Counter(runs.findall(text)).items():
+        word = run.encode().lower()  # of bytes, only A to Z have a lower case
+        h = zlib.crc32(word, before)
         if h % SLIP == 0:
-            letters = run.decode()
+            letters = word.decode()
             at = h % len(letters)
-            run = (letters[:at] + letters[at + 1 :]).encode()
-        found[run] += n
-    return found
+            word = (letters[:at] + letters[at + 1 :]).encode()
+        total[word] = total.get(word, 0) + n
 
 
 def count_words(df: DataFrame, id_column: str, text: str, least_letters: int) -> DataFrame:
     """``(word, n)`` of all words of at least ``least_letters`` code points."""
+    # runs never grow, so shorter ones are not looked at
+    runs = re.compile(f"[{LETTERS}]{{{least_letters},}}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        total: dict[bytes, int] = {}
 
         def rows() -> pa.RecordBatch:
             words = [w for w in total if len(w) - w.count(b"\xc3") >= least_letters]
@@ -72,7 +69,7 @@ def count_words(df: DataFrame, id_column: str, text: str, least_letters: int) ->
         for batch in pieces(batches):
             names, texts = (batch.column(i).to_pylist() for i in (0, 1))
             for name, one in zip(names, texts, strict=True):
-                total.update(words_in(name or "", one or ""))
+                add_words(total, runs, name or "", one or "")
                 if len(total) >= HELD_WORDS:
                     yield rows()
         yield rows()
@@ -86,19 +83,12 @@ def node_of(back: Column, prefix: Column) -> Column:
     return F.xxhash64(back, prefix)
 
 
-def letter_bits(letter: Column) -> tuple[Column, Column]:
-    """A letter as one bit of two numbers; the empty string is the end of a word."""
-    code, one, none = F.ascii(letter), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    place = F.when(code == 0, END_BIT).otherwise(code - 97)
-    low = F.when(code < 128, F.call_function("shiftleft", one, place)).otherwise(none)
-    high = F.when(code < 128, none).otherwise(F.call_function("shiftleft", one, code - 192))
-    return low, high
-
-
-def follows(letter: Column) -> Column:
-    """Whether an edge's child has an edge with this letter, or ends a word if it is empty."""
-    low, high = letter_bits(letter)
-    return (F.col("low").bitwiseAND(low) != 0) | (F.col("high").bitwiseAND(high) != 0)
+def rest_bits(rest: Column) -> tuple[Column, Column]:
+    """The rest of a word as one bit of each of two numbers."""
+    h = F.xxhash64(rest)
+    one = F.lit(1).cast("bigint")
+    places = (h.bitwiseAND(63), F.shiftright(h, 6).bitwiseAND(63))
+    return tuple(F.call_function("shiftleft", one, p.cast("int")) for p in places)
 
 
 def oriented(words: DataFrame) -> DataFrame:
@@ -113,23 +103,23 @@ def oriented(words: DataFrame) -> DataFrame:
 
 
 def edges(keys: DataFrame, least: int) -> DataFrame:
-    """``(depth, node, letter, child, low, high)``: edges below the depth at which words enter.
+    """``(depth, node, letter, child, one, two)``: edges below the depth at which words enter.
 
-    ``low`` and ``high`` have the letters that follow the child.
+    ``one`` and ``two`` have the bits of the rests of all words behind the child.
     """
     depths = keys.withColumn("depth", F.explode(F.sequence(F.lit(least), F.length("key") - 1)))
-    low, high = letter_bits(F.expr("substring(key, depth + 2, 1)"))
+    one, two = rest_bits(F.expr("substring(key, depth + 2)"))
     return (
         depths.select(
             "depth",
             node_of(F.col("back"), F.expr("left(key, depth)")).alias("node"),
             F.expr("substring(key, depth + 1, 1)").alias("letter"),
             node_of(F.col("back"), F.expr("left(key, depth + 1)")).alias("child"),
-            low.alias("low"),
-            high.alias("high"),
+            one.alias("one"),
+            two.alias("two"),
         )
         .groupBy("depth", "node", "letter", "child")
-        .agg(F.bit_or("low").alias("low"), F.bit_or("high").alias("high"))
+        .agg(F.bit_or("one").alias("one"), F.bit_or("two").alias("two"))
     )
 
 
@@ -138,28 +128,41 @@ def step(states: DataFrame, level: DataFrame) -> DataFrame:
 
     States are ``(key, back, used, node, edits, done)``; those without an edit still fit.
     """
-    wanted = F.expr("substring(key, used + 1, 1)")  # empty behind the last letter
-    fits = F.col("letter") == F.col("wanted")
-    joined = states.withColumn("wanted", wanted).join(level, "node")
-    joined = joined.where((F.col("edits") == 0) | fits)
-    after = F.expr("substring(key, used + 2, 1)")
-    can_use, can_insert = follows(after), follows(F.col("wanted"))
-
-    def state(used: Column, edits: Column, condition: Column) -> Column:
-        done = (edits == 1) & (used == F.length("key"))
-        made = F.struct(used.alias("used"), edits.alias("edits"), done.alias("done"))
-        return F.when(condition, made)
+    use_one, use_two = rest_bits(F.expr("substring(key, used + 2)"))
+    keep_one, keep_two = rest_bits(F.expr("substring(key, used + 1)"))
+    asked = states.select(
+        "key", "back", "used", "node", "edits", F.length("key").alias("size"),
+        F.expr("substring(key, used + 1, 1)").alias("wanted"),  # empty behind the last letter
+        use_one.alias("use_one"), use_two.alias("use_two"),
+        keep_one.alias("keep_one"), keep_two.alias("keep_two"),
+    )
+
+    def follows(name: str) -> Column:
+        """Whether a word behind the child may have just this rest."""
+        pairs = (("one", f"{name}_one"), ("two", f"{name}_two"))
+        one, two = (F.col(a).bitwiseAND(F.col(b)) != 0 for a, b in pairs)
+        return one & two
+
+    letter, wanted, size = F.col("letter"), F.col("wanted"), F.col("size")
+    fits, clean = letter == wanted, F.col("edits") == 0
+    goes_on = fits & (clean | follows("use"))
+    replaces = clean & ~fits & (wanted != "") & (letter > wanted) & follows("use")
+    inserts = clean & ~fits & follows("keep")
+    joined = asked.join(level, "node").where(goes_on | replaces | inserts)
+
+    def state(used: Column, edits: Column) -> Column:
+        done = (edits == 1) & (used == size)
+        return F.struct(used.alias("used"), edits.alias("edits"), done.alias("done"))
 
     used, one = F.col("used"), F.lit(1)
-    replaces = ~fits & (F.col("wanted") != "") & (F.col("letter") > F.col("wanted")) & can_use
-    ways = F.array(
-        state(used + 1, F.col("edits"), fits & ((F.col("edits") == 0) | can_use)),
-        state(used + 1, one, replaces),
-        state(used, one, ~fits & can_insert),
+    ways = (
+        F.when(goes_on, F.array(state(used + 1, F.col("edits"))))
+        .when(replaces & inserts, F.array(state(used + 1, one), state(used, one)))
+        .when(replaces, F.array(state(used + 1, one)))
+        .otherwise(F.array(state(used, one)))
     )
-    return (
-        joined.withColumn("way", F.explode(F.filter(ways, lambda w: w.isNotNull())))
-        .select("key", "back", "way.used", F.col("child").alias("node"), "way.edits", "way.done")
+    return joined.withColumn("way", F.explode(ways)).select(
+        "key", "back", "way.used", F.col("child").alias("node"), "way.edits", "way.done"
     )
 
 
@@ -199,7 +202,8 @@ def _named(found: DataFrame, keys: DataFrame) -> DataFrame:
     )
     half = F.expr("floor(length(word) / 2)").cast("int")
     both = F.call_function("left", F.col("word"), half) == F.call_function("left", F.col("other"), half)
-    exact = F.levenshtein("word", "other", 1) == 1  # prefixes could share a hash
+    # the summaries promise too much at times, and prefixes could share a hash
+    exact = F.levenshtein("word", "other", 1) == 1
     return pairs.where(exact & ~(F.col("back") & both)).select("word", "other")
 
 

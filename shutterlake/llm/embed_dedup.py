@@ -10,11 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shutterlake.llm import vectors
+from shutterlake.llm import ordering, vectors
 from shutterlake.llm.common import checkpointed, materialized
 from shutterlake.llm.components import connected_components
 
-BLOCK = 2048  # rows of a pass that one task compares
+BLOCK = 4096  # rows of a pass that one task compares
+ROWS = 256  # of these compared at once
 CHUNK = 1024  # vectors of a component that meet another chunk in one task
 
 
@@ -23,9 +24,9 @@ def near_duplicates(
     id_column: str = "vec_id",
     vector: str = "embedding",
     threshold: float = 0.9,
-    passes: int = 20,
+    passes: int = 10,
     bits: int = 48,
-    window: int = 64,
+    window: int = 1024,
     seed: int = 11,
     miss: float = 1e-3,
 ) -> DataFrame:
@@ -36,12 +37,13 @@ def near_duplicates(
     random hashes (the side of a random plane). A vector is compared with its ``window``
     successors in every order; pairs with a cosine of ``threshold`` or more, in double
     precision, are links, and the union of all passes gives the components. A task passes on
-    only as many of its links as connect what they connect. The members of a component then
+    one link for each vector, to the first one it is connected with there. The members of a component then
     count their links among each other exactly, so a group larger than any window loses none:
     a component is dealt in chunks and every two chunks meet in one task, which returns counts
     and no pairs.
 
-    Equal vectors are one class: they are compared once and counted with their number. A pair
+    Equal vectors are one class: they are compared once and counted with their number. Ids need
+    not be unique: rows with one id and different vectors are classes of their own. A pair
     at the threshold that no third vector connects is lost with a chance of ``miss`` at most,
     at every size, if the planes deal the vectors evenly; where vectors crowd in a few
     directions, the chance is that of a larger table.
@@ -56,20 +58,17 @@ def near_duplicates(
     width = vectors.dimension(groups)
     passes = max(passes, passes_for(groups.count(), threshold, window, miss))
     links = _window_links(groups, width, threshold, passes, bits, window, seed)
-    roots = connected_components(links)
-    linked = checkpointed(
-        groups.join(roots.withColumnRenamed("node", "rep"), "rep").select(
-            "rep", "size", "vector", F.col("root")
-        )
-    )
-    counts = _links_within(linked, width, threshold)
+    roots = connected_components(links).withColumnsRenamed({"node": "number"})
+    linked = checkpointed(groups.join(roots, "number"))
+    least = linked.groupBy("root").agg(F.min("rep").alias("least"))
+    counts = _links_within(linked.select("number", "size", "vector", "root"), width, threshold)
     found = (
-        groups.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(counts, "rep", "left")
+        groups.join(roots.join(least, "root").drop("root"), "number", "left")
+        .join(counts, "number", "left")
         .select(
             "vector",
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.coalesce("root", "rep").alias("component_id"),
+            F.coalesce("least", "rep").alias("component_id"),
         )
     )
     taking = vectors.usable(vector) & F.col(id_column).isNotNull()
@@ -103,86 +102,93 @@ def _window_links(groups, width, threshold, passes, bits, window, seed) -> DataF
         weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             if len(batch):
-                points = vectors.stack(batch["vector"], width)
+                points = vectors.unit(vectors.stack(batch["vector"], width))
                 for turn in range(passes):
                     sides = points @ planes[:, turn * bits : (turn + 1) * bits] > 0
-                    yield pd.DataFrame({"pass": turn, "key": sides @ weights, "rep": batch["rep"]})
+                    number = batch["number"]
+                    yield pd.DataFrame({"pass": turn, "key": sides @ weights, "number": number})
 
-    hashed = groups.select("rep", "vector").mapInPandas(keys, "pass int, key bigint, rep bigint")
-    placed = vectors.numbered(hashed, ["pass", "key", "rep"], "place")
+    hashed = groups.select("number", "vector").mapInPandas(
+        keys, "pass int, key bigint, number bigint"
+    )
+    placed = ordering.along(hashed, ["pass", "key", "number"], "place")
     block = F.floor(F.col("place") / BLOCK)
     # the first rows of a block also stand behind the block before it
     seen = F.when(
         (F.col("place") % BLOCK < window) & (block > 0), F.array(block, block - 1)
     ).otherwise(F.array(block))
     dealt = (
-        placed.join(groups.select("rep", "vector"), "rep")
+        placed.join(groups.select("number", "vector"), "number")
         .withColumn("block", F.explode(seen))
-        .select("block", "place", "pass", "rep", "vector")
+        .select("block", "place", "pass", "number", "vector")
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("place", ignore_index=True)
         lengths = part["vector"].map(len).to_numpy()
-        unit = vectors.stack(part["vector"], width)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        turn, rep = part["pass"].to_numpy(), part["rep"].to_numpy()
-        own = part["place"].to_numpy() // BLOCK == part["block"].iloc[0]
-        left, right = [], []
-        for step in range(1, min(window, len(part) - 1) + 1):
-            close = np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= threshold
-            close &= (turn[:-step] == turn[step:]) & (lengths[:-step] == lengths[step:])
-            at = np.flatnonzero(close & own[:-step])
-            left.append(rep[at])
-            right.append(rep[at + step])
-        empty = [np.array([], np.int64)]
-        a, b = np.concatenate(empty + left), np.concatenate(empty + right)
-        return pd.DataFrame(forest(a, b), columns=["a", "b"])
+        unit = vectors.unit(vectors.stack(part["vector"], width))
+        turn, number = part["pass"].to_numpy(), part["number"].to_numpy()
+        own = int((part["place"].to_numpy() // BLOCK == part["block"].iloc[0]).sum())
+        connected = np.arange(len(part))
+        for start in range(0, own, ROWS):
+            rows = np.arange(start, min(start + ROWS, own))
+            them = np.arange(start, min(rows[-1] + window + 1, len(part)))
+            apart = them[None, :] - rows[:, None]
+            close = (apart > 0) & (apart <= window) & (turn[rows][:, None] == turn[them])
+            close &= lengths[rows][:, None] == lengths[them]
+            close &= unit[rows] @ unit[them].T >= threshold
+            a, b = np.nonzero(close)
+            connected = joined(connected, rows[a], them[b])
+        ends = np.flatnonzero(connected != np.arange(len(part)))
+        return pd.DataFrame({"a": number[ends], "b": number[connected[ends]]})
 
     found = dealt.groupBy("block").applyInPandas(compare, "a bigint, b bigint")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what all links together connect: fewer than there are ends."""
-    parent: dict[int, int] = {}
+def joined(connected: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``connected`` with more links: for every row the first one that it is connected with.
 
-    def find(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    kept = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = find(x), find(y)
-        if p != q:
-            parent[p] = q
-            kept.append((x, y))
-    return kept
+    The larger of two labels is hung on the smaller, then all pointers are followed to the end,
+    until the two ends of every link have one label.
+    """
+    while True:
+        one, two = connected[a], connected[b]
+        apart = one != two
+        if not apart.any():
+            return connected
+        a, b, one, two = a[apart], b[apart], one[apart], two[apart]
+        connected = connected.copy()
+        np.minimum.at(connected, np.maximum(one, two), np.minimum(one, two))
+        while True:
+            farther = connected[connected]
+            if np.array_equal(farther, connected):
+                break
+            connected = farther
 
 
 def _links_within(linked: DataFrame, width: int, threshold: float) -> DataFrame:
-    """``(rep, links)``: for every class, the rows of other classes of its component it links."""
+    """``(number, links)``: for every class, the rows of other classes of its component it links."""
+    bins = max(1, linked.count() // CHUNK)  # small components share a task
     sizes = linked.groupBy("root").agg(F.count("*").alias("_members"))
     split = F.ceil(F.col("_members") / CHUNK)
-    # small components share a task; a large one is dealt in chunks that meet two by two
+    # a large component is dealt in chunks that meet two by two
     placed = (
         linked.join(sizes, "root")
         .withColumn("_split", split)
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), "_split"))
+        .withColumn("chunk", F.pmod(F.xxhash64("number"), "_split"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_split") - 1)))
         .withColumn("low", F.least("chunk", "other"))
         .withColumn("high", F.greatest("chunk", "other"))
         .withColumn("bin", F.when(F.col("_split") > 1, F.col("root")).otherwise(
-            F.pmod(F.xxhash64("root"), F.lit(512))
+            F.pmod(F.xxhash64("root"), F.lit(bins))
         ))
         .withColumn("large", F.col("_split") > 1)
     )
 
     def count(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["root", "rep"], ignore_index=True)
-        unit = vectors.stack(part["vector"], width)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        part = part.sort_values(["root", "number"], ignore_index=True)
+        unit = vectors.unit(vectors.stack(part["vector"], width))
         lengths = part["vector"].map(len).to_numpy()
         weight = part["size"].to_numpy()
         chunk, root = part["chunk"].to_numpy(), part["root"].to_numpy()
@@ -199,11 +205,11 @@ def _links_within(linked: DataFrame, width: int, threshold: float) -> DataFrame:
             else:
                 links[a] += close @ weight[b]
                 links[b] += close.T @ weight[a]
-        return pd.DataFrame({"rep": part["rep"], "links": links})
+        return pd.DataFrame({"number": part["number"], "links": links})
 
     counted = placed.groupBy("large", "bin", "low", "high").applyInPandas(
-        count, "rep bigint, links bigint"
+        count, "number bigint, links bigint"
     )
     return materialized(
-        counted.groupBy("rep").agg(F.sum("links").alias("links")), "vector-links"
+        counted.groupBy("number").agg(F.sum("links").alias("links")), "vector-links"
     )

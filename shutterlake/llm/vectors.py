@@ -1,14 +1,13 @@
-"""Rows of vectors: which take part, classes of equal vectors, and numbers along an order."""
+"""Rows of vectors: which take part, and classes of equal vectors."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shutterlake.llm.common import materialized
-from shutterlake.operators.ranking import rank_by_ranges
+from shutterlake.llm.ordering import dense
 
 
 def usable(vector: str):
@@ -25,13 +24,17 @@ def members(df: DataFrame, id_column: str, vector: str) -> DataFrame:
     )
 
 
-def classes(rows: DataFrame, name: str) -> DataFrame:
-    """One row ``(rep, size, vector)`` for all rows of an equal vector; rep is the smallest id.
+def classes(rows: DataFrame, name: str, *more: Column) -> DataFrame:
+    """One row ``(number, rep, size, ..., vector)`` for all rows of an equal vector.
 
-    Partial aggregation combines a large group of copies before the shuffle.
+    Numbers are unique, from 0; ``rep`` is the smallest id, which classes may share if an id
+    repeats with another vector. Partial aggregation combines a large group of copies before
+    the shuffle.
     """
-    grouped = rows.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
-    return materialized(grouped.select("rep", "size", "vector"), name)
+    grouped = rows.groupBy("vector").agg(
+        F.min("id").alias("rep"), F.count("*").alias("size"), *more
+    )
+    return dense(grouped, "number", name)
 
 
 def dimension(rows: DataFrame) -> int:
@@ -50,10 +53,10 @@ def stack(vectors: pd.Series, width: int) -> np.ndarray:
     return out
 
 
-def numbered(keys: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``keys`` with their position, from 0, in a total order; no task sees all rows."""
-    ranked = rank_by_ranges(keys, [F.col(c) for c in order], name)
-    return ranked.withColumn(name, F.col(name) - 1)
+def unit(points: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; by their largest component first, so that no square overflows."""
+    points = points / np.abs(points).max(axis=1, keepdims=True, initial=np.finfo(float).tiny)
+    return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 
 def smallest_ids(rows: DataFrame, group: str, keep: int) -> DataFrame:

@@ -20,8 +20,8 @@ PIECE_BYTES = 4 << 20
 def ensure_shared(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session without the setting (a test) gets a temporary folder; a cluster
-    without it is an error.
+    Only a local session without the setting (a test) gets a temporary folder, which is the
+    driver's own and lies on the one machine there is; a cluster without it is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -48,14 +48,33 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_shared(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+WRITTEN: list[str] = []  # intermediate tables that this driver has written and not removed
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again."""
+    """``df`` written as Parquet to the shared folder and read again, until ``discard``."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, keep: int = 0) -> None:
+    """Removes intermediate tables but the first ``keep``, once what was made of them is written.
+
+    Results that are not written yet can not be computed afterwards.
+    """
+    for path in WRITTEN[keep:]:
+        remove(spark, path)
+    del WRITTEN[keep:]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     ensure_shared(df.sparkSession)
     return df.checkpoint()

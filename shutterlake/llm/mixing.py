@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shutterlake.llm import ordering
 from shutterlake.llm.common import checkpointed, materialized
 
 WEIGHTS = (3, 1, 2)  # repeating over the sources in order of code points, null last
@@ -89,6 +90,8 @@ def mix(df: DataFrame, id_column: str, text: str, source: str) -> DataFrame:
         words_in(F.col(text)).alias("size"),
         row_key(id_column, text).alias("key"),
     )
+    # rows alike in these are copies of one text: they are numbered, so that each can be told
+    rows = ordering.among_alike(ordering.written(rows, "mix-rows"), ["source", "key", "size"], "number")
     rows = checkpointed(rows)
     sizes = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("documents")
@@ -108,21 +111,18 @@ def mix(df: DataFrame, id_column: str, text: str, source: str) -> DataFrame:
     )
     goals = materialized(goals, "mix-goals")  # so that Spark knows its size
     dealt = rows.join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).select(
-        "id", "source", "size", "key", "source_size", "target",
+        "id", "source", "size", "key", "number", "source_size", "target",
         F.floor("share").cast("int").alias("whole"),
         (F.col("share") - F.floor("share")).alias("chance"),
-        F.pmod(F.xxhash64("key", F.lit(1)), "blocks").alias("block"), "blocks",
+        F.pmod(F.xxhash64("key", "number"), "blocks").alias("block"), "blocks",
     )
     dealt = checkpointed(dealt)
     chances = dealt.where("chance > 0 and size > 0").select(
-        "source", "block", "blocks", "size", "key", "chance"
+        "source", "block", "blocks", "size", "key", "chance", "number"
     )
     rounded = _rounds(chances, goals)
-    # rows that are alike in all of these are copies of one text: they are counted, then numbered
-    alike = Window.partitionBy("source", "key", "size").orderBy(F.lit(0))
-    numbered = dealt.withColumn("number", F.row_number().over(alike))
     return (
-        numbered.join(
+        dealt.join(
             rounded.select(
                 F.col("key").alias("r_key"), F.col("size").alias("r_size"),
                 F.col("source").alias("r_source"), F.col("number").alias("r_number"), "extra",
@@ -206,12 +206,11 @@ def land(sizes: np.ndarray, chances: np.ndarray, goal: float) -> np.ndarray:
 
 def _rounds(chances: DataFrame, goals: DataFrame) -> DataFrame:
     """``(source, key, size, number, extra)``: 1 for every document that gets one copy more."""
-    number = Window.partitionBy("source", "key", "size").orderBy(F.lit(0))
     blocks = goals.agg(F.max("blocks")).first()[0] or 1
-    current = chances.withColumn("number", F.row_number().over(number))
+    current = chances
     schema = (
         "source string, block bigint, blocks bigint, size bigint, key bigint, chance double, "
-        "number int"
+        "number bigint"
     )
     # so many of a block are left at most: so many blocks fill one of the next round
     joined = max(2, BLOCK // (LANDING + 2))
@@ -220,7 +219,7 @@ def _rounds(chances: DataFrame, goals: DataFrame) -> DataFrame:
     def fly(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["size", "key", "number"], ignore_index=True)
         sizes, p = part["size"].to_numpy(np.float64), part["chance"].to_numpy(copy=True)
-        keys = part["key"].to_numpy(np.int64).view(np.uint64)
+        keys = part["key"].to_numpy(np.int64).view(np.uint64) * part["number"].to_numpy(np.uint64)
         draws = np.random.default_rng(int(np.bitwise_xor.reduce(keys))).random(len(p))
         flying = np.ones(len(p), bool)
         # some of all sizes stay behind, so that the landing can meet the target

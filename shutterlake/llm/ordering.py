@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shutterlake.llm.common import materialized
@@ -47,3 +47,29 @@ def in_order(df: DataFrame, order: list[str]) -> DataFrame:
 def along(df: DataFrame, order: list[str], column: str) -> DataFrame:
     """``df`` with each row's place, from 0, in an order."""
     return dense(in_order(df, order), column, f"ordered-{column}")
+
+
+def among_alike(table: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """A written table with each row's number, from 1, among the rows alike in ``keys``.
+
+    Rows are numbered inside their part of the table and shifted by the rows alike in the parts
+    before, so a key that a third of all rows have is numbered by as many tasks as it has parts.
+    """
+    part = F.shiftright(AT, ROW_BITS)
+    rows = table.withColumn("_part", part)
+    inside = Window.partitionBy(*keys, "_part").orderBy(AT)
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+    shifts = shifts.withColumn("_shift", F.sum("_n").over(before)).where("_shift > 0")
+    named = {c: f"_{c}_alike" for c in (*keys, "_part")}
+    shifts = shifts.drop("_n").withColumnsRenamed(named)
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in named.items()]
+    condition = same[0]
+    for each in same[1:]:
+        condition = condition & each
+    return (
+        rows.withColumn("_inside", F.row_number().over(inside))
+        .join(shifts, condition, "left")
+        .withColumn(column, F.col("_inside") + F.coalesce("_shift", F.lit(0)))
+        .drop("_inside", "_shift", "_part", AT, *named.values())
+    )

@@ -108,3 +108,22 @@ def test_flight_keeps_sums_and_expectations():
 
 def test_empty_table(spark):
     assert mixing.mix(documents(spark, rows()).limit(0), "doc_id", "text", "source").count() == 0
+
+
+def test_rows_alike_are_dealt_over_blocks(spark, monkeypatch):
+    """A third of all rows have no id and one text, in three files: many blocks, one result."""
+    monkeypatch.setattr(mixing, "BLOCK", 40)
+    data = [(None, "one and the same text", "x", "a")] * 400
+    data += [(i, prose(i, 3 + i % 9), "x", "ab"[i % 2]) for i in range(500)]
+    runs = []
+    for parts in (3, 5):
+        found = mixing.mix(documents(spark, data).repartition(parts), "doc_id", "text", "source")
+        rows = found.collect()
+        alike = [r for r in rows if r["id"] is None]
+        assert len(rows) == 900 and sorted(r["number"] for r in alike) == list(range(1, 401))
+        for source in "ab":
+            own = [r for r in rows if r["source"] == source]
+            taken = sum(r["copies"] * r["size"] for r in own)
+            assert abs(taken - own[0]["target"]) <= 6
+        runs.append(sorted((str(r["id"]), r["number"], r["copies"]) for r in rows))
+    assert runs[0] == runs[1]

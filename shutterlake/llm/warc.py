@@ -19,6 +19,7 @@ RFC4648 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 DATE = "2024-01-01T00:00:00Z"
 ID = "urn:page:"
+LONGEST = 1 << 30  # bytes of a payload
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -62,6 +63,7 @@ def write(
     html: str = "html",
     least_bytes: int = 0,
     archive_records: int = 2000,
+    archive_bytes: int = 128 << 20,
 ) -> None:
     """Writes ``pages`` as WARC files below ``path``, one record a row.
 
@@ -73,7 +75,10 @@ def write(
     breaks in a url are escaped. Other columns are not read.
 
     Spark's text writer writes the files: a record ends with two line breaks, which is its line
-    separator. Every file holds at most ``archive_records`` records.
+    separator. Every file holds at most ``archive_records`` records and about ``archive_bytes``
+    bytes, or one record that is longer: records are written by size, those up to twice as long
+    with half as many to a file, each size below a folder of its own. A payload over 1 GB is
+    refused, as no reader could take its archive.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
@@ -114,12 +119,31 @@ def write(
     ]
     head = F.concat_ws("\r\n", *lines)  # leaves out what is null
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    records = joined.select(F.concat(head, F.lit(END), body).alias("value"))
-    (
-        records.write.option("lineSep", END)
-        .option("maxRecordsPerFile", archive_records)
-        .text(path)
-    )
+    least = max(1, archive_bytes // archive_records)
+    size = F.when(revisit, F.lit(0)).otherwise(F.col("bytes"))
+    # 0 for the records of which a file may hold the full number, one more for each doubling
+    step = F.greatest(F.ceil(F.log2(size / F.lit(least))), F.lit(0)).cast("int")
+    step = F.when(size > least, step).otherwise(0)
+    records = joined.select(F.concat(head, F.lit(END), body).alias("value"), step.alias("step"))
+    steps = [r["step"] for r in _steps(pages, html, least).collect()]
+    if least << max(steps, default=0) > 2 * LONGEST:
+        raise ValueError(f"a payload is longer than {LONGEST} bytes")
+    for number in steps or [0]:
+        (
+            records.where(F.col("step") == number).select("value")
+            .write.option("lineSep", END)
+            .option("maxRecordsPerFile", max(1, archive_records >> number))
+            .text(f"{path}/step={number}")
+        )
+
+
+def _steps(pages: DataFrame, html: str, least: int) -> DataFrame:
+    """The doublings of ``least`` bytes that pages reach, one row each."""
+    size = F.octet_length(F.coalesce(F.col(html), F.lit("")))
+    step = F.when(size > least, F.ceil(F.log2(size / F.lit(least)))).otherwise(0).cast("int")
+    return pages.select(step.alias("step")).union(
+        pages.sparkSession.range(1).select(F.lit(0))  # revisits have no payload
+    ).distinct().orderBy("step")
 
 
 RECORD = re.compile(rb"WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.DOTALL)
@@ -149,7 +173,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     names = ["record_type", "record_id", "refers_to", "url", "digest", "payload"]
     kinds = [pa.string()] * 5 + [pa.binary()]
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -83,3 +83,21 @@ def test_a_broken_archive_is_an_error():
         list(warc.parse(good + b"junk"))
     with pytest.raises(ValueError):
         list(warc.parse(good.replace(b": 2", b": 3")))
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, "u", "x" * (10 << (i % 9)) + str(i)) for i in range(60)]
+    path = f"{tmp_path}/archives"
+    warc.write(pages(spark, rows).coalesce(1), path, archive_records=32, archive_bytes=1024)
+    sizes = [f.stat().st_size for f in tmp_path.glob("archives/step=*/part-*")]
+    assert max(sizes) < 10 * (1 << 8) + 32 * 250 and len(sizes) > 20
+    found = warc.resolve(warc.read(spark, path)).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)
+    counts = [len(list(warc.parse(f.read_bytes()))) for f in tmp_path.glob("archives/step=5/part-*")]
+    assert max(counts) == 1
+
+
+def test_a_payload_that_no_archive_can_hold_is_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LONGEST", 100)
+    with pytest.raises(ValueError):
+        warc.write(pages(spark, [(1, "u", "x" * 5000)]), f"{tmp_path}/a", archive_records=10, archive_bytes=100)

@@ -11,7 +11,7 @@ from tests.llm.support import components, prose
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, simhash string, "
-    "key int, copies int, number int, lang_pred string, grade string, ids string"
+    "key int, copies int, number int, Lang_Pred string, GRADE string, ids string"
 )
 EXTRA = ("s", 1, 2, 3, "p", "g", "i")  # names that operators use too
 

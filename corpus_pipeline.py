@@ -11,18 +11,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shutterlake.llm import bpe, langid, mixing, simhash, toxicity
-from shutterlake.llm.common import ensure_shared, shared_path
+from shutterlake.llm.common import WRITTEN, discard, ensure_shared, remove, shared_path
 from shutterlake.llm.queries import TOKENIZER
 
 
+def _clash(name: str, added: tuple[str, ...]) -> bool:
+    """Whether Spark takes a column for one that an operator adds; it does not look at case."""
+    return name.lower() in {a.lower() for a in added}
+
+
 def _apart(docs: DataFrame, added: tuple[str, ...]) -> DataFrame:
     """``docs`` with columns renamed that an operator would replace."""
-    return docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in added})
+    return docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if _clash(c, added)})
 
 
 def _as_before(found: DataFrame, docs: DataFrame, added: tuple[str, ...]) -> DataFrame:
     """The columns of ``docs``, under their names."""
-    return found.select(*[F.col(f"_own_{c}" if c in added else c).alias(c) for c in docs.columns])
+    return found.select(
+        *[F.col(f"_own_{c}" if _clash(c, added) else c).alias(c) for c in docs.columns]
+    )
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,16 +75,18 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, "doc_id", "text", "source")
     copies = mixed.where("copies > 0").select(
         F.col("id").alias("_id"),
+        F.col("source").alias("_mixed_source"),
         F.col("key").alias("_mixed"),
         F.col("number").alias("_mixed_number"),
         F.col("copies").alias("_copies"),
     )
     # repeated rows are numbered alike on both sides
-    alike = Window.partitionBy("doc_id", "_key").orderBy(F.lit(0))
+    alike = Window.partitionBy("doc_id", "source", "_key").orderBy(F.lit(0))
     rows = docs.withColumn("_key", mixing.row_key("doc_id", "text"))
     taken = rows.withColumn("_number", F.row_number().over(alike)).join(
         copies,
         F.col("doc_id").eqNullSafe(F.col("_id"))
+        & F.col("source").eqNullSafe(F.col("_mixed_source"))
         & (F.col("_key") == F.col("_mixed"))
         & (F.col("_number") == F.col("_mixed_number")),
     )
@@ -105,9 +114,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage needed is removed once it is written, and so is the
+    table of the stage before; the last stage's table stays for the result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        path = shared_path(spark, f"stage-{name}")
+        path, made = shared_path(spark, f"stage-{name}"), len(WRITTEN)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        discard(spark, made)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

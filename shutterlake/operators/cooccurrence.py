@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shutterlake.functions import columns as X
 from shutterlake.operators import ranking
+from shutterlake.session import checkpointed
 
 COUNTERS = ("likes", "downloads", "views")
 PHOTO_COLUMNS = ("id", "photo_date", *COUNTERS)
@@ -68,20 +69,54 @@ def tag_pairs(bags: DataFrame, diagonal: bool = False) -> DataFrame:
     )
 
 
-def pair_statistics(bags: DataFrame, min_count: int = 2) -> DataFrame:
+def pruned(bags: DataFrame, min_count: int) -> DataFrame:
+    """Bags without the tags that are on fewer than ``min_count`` photos.
+
+    A pair is on no more photos than either of its tags, so no pair that frequent is lost, and
+    the pairs of a long tail of tags are never made. Costs two shuffles of (photo, tag) rows.
+    """
+    links = bags.select("id", F.explode(_tagged()).alias("t")).select("id", "t.tag", "t.n")
+    often = links.groupBy("tag").agg(F.count("*").alias("_photos"))
+    often = often.where(F.col("_photos") >= min_count).select("tag")
+    kept = links.join(often, "tag", "left_semi").groupBy("id")
+    kept = kept.agg(F.array_sort(F.collect_list(F.struct("tag", "n"))).alias("bag"))
+    names = [c for c in bags.columns if c != "bag"]
+    return bags.select(*names).join(kept, "id").select(*names, "bag")
+
+
+def heavy_pairs(pairs: DataFrame, min_count: int, buckets: int) -> DataFrame:
+    """The rows of pairs whose hash bucket holds ``min_count`` rows or more.
+
+    A pair's bucket holds at least its own rows, so no pair that frequent is lost. The heavy
+    buckets are ``buckets`` numbers at most, which bounds what is broadcast; rows of light ones
+    go before the shuffle of the pairs. Choose more buckets than there are frequent pairs.
+    """
+    bucket = F.pmod(F.xxhash64("tag1", "tag2"), F.lit(buckets))
+    heavy = pairs.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
+    heavy = heavy.where(F.col("_rows") >= min_count).select("_bucket")
+    named = pairs.withColumn("_bucket", bucket)
+    return named.join(F.broadcast(heavy), "_bucket", "left_semi").drop("_bucket")
+
+
+def pair_statistics(
+    bags: DataFrame, min_count: int = 2, buckets: int | None = None
+) -> DataFrame:
     """Statistics per pair of tags that share a photo.
 
     Totals and means are over position pairs, hence the weights. The distinct days make Spark
-    aggregate by (pair, day) first, which also splits a pair that is on most photos.
+    aggregate by (pair, day) first, which also splits a pair that is on most photos. With
+    ``buckets`` the pairs are made twice, and those in light buckets are not shuffled.
     """
+    pairs = tag_pairs(bags)
+    if buckets:
+        pairs = heavy_pairs(pairs, min_count, buckets)
     weight = F.sum("weight")
 
     def total(name):
         return F.sum(F.col("weight") * F.col(name))
 
     return (
-        tag_pairs(bags)
-        .groupBy("tag1", "tag2")
+        pairs.groupBy("tag1", "tag2")
         .agg(
             F.count("*").alias("cooccurrence_count"),
             F.countDistinct("photo_date").alias("days_appeared_together"),
@@ -99,10 +134,10 @@ def pair_statistics(bags: DataFrame, min_count: int = 2) -> DataFrame:
 
 
 def tag_cooccurrence(
-    bags: DataFrame, as_of: dt.date | str, min_count: int = 2
+    bags: DataFrame, as_of: dt.date | str, min_count: int = 2, buckets: int | None = None
 ) -> DataFrame:
     """Per pair: distinct photos and days, totals, means, first and last date."""
-    pairs = pair_statistics(bags, min_count)
+    pairs = pair_statistics(bags, min_count, buckets)
     return pairs.withColumn("analysis_date", X.day(as_of))
 
 
@@ -134,11 +169,16 @@ def mart_tag_cooccurrence(
     bags: DataFrame, as_of: dt.date | str, min_count: int = 2
 ) -> DataFrame:
     """Pairs with rates and the two global ranks, most frequent first; ranked by ranges."""
-    pairs = tag_pair_rate(bags, as_of, min_count)
+    pairs = checkpointed(tag_pair_rate(bags, as_of, min_count))
     by_count = [F.desc("cooccurrence_count"), F.asc("tag1"), F.asc("tag2")]
     by_likes = [F.desc("avg_likes"), F.asc("tag1"), F.asc("tag2")]
-    liked = ranking.rank_by_ranges(pairs, by_likes, "engagement_rank")
-    return ranking.rank_by_ranges(liked, by_count, "popularity_rank").orderBy("popularity_rank")
+    key = ["tag1", "tag2"]
+    # only the pair and its measure are sorted
+    liked = ranking.rank_by_ranges(pairs.select(*key, "avg_likes"), by_likes, "engagement_rank")
+    counted = pairs.select(*key, "cooccurrence_count")
+    counted = ranking.rank_by_ranges(counted, by_count, "popularity_rank")
+    ranks = liked.drop("avg_likes").join(counted.drop("cooccurrence_count"), key)
+    return pairs.join(ranks, key).orderBy("popularity_rank")
 
 
 def tag_pairs_positional(

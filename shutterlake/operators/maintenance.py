@@ -49,6 +49,12 @@ def dedup_removed(users: DataFrame, key: str = "email") -> DataFrame:
     )
 
 
+def referring(removed: DataFrame, children: DataFrame, reference: str) -> DataFrame:
+    """Rows that refer to a removed id, each with the id that is kept in its place."""
+    ids = removed.select(F.col("removed_id").alias("_id"), "kept_id")
+    return children.join(ids, F.col(reference) == F.col("_id")).drop("_id")
+
+
 def dedup_log(users: DataFrame, key: str = "email") -> DataFrame:
     """The cleanup log as text: one row for each key with removed rows, which names their ids.
 

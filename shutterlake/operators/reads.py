@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shutterlake.functions import columns as X
-from shutterlake.operators.ranking import deep_page, top_page
+from shutterlake.operators.ranking import deep_page, selected_page, top_page
 from shutterlake.operators.snapshots import DELTAS, latest_snapshots
 
 # Columns a caller may sort by.
@@ -88,6 +88,14 @@ def list_photos_deep(
     return deep_page(*_listed(photos, order_by, limit, offset))
 
 
+def list_photos_selected(
+    photos: DataFrame, order_by: str = "created_at", limit: int = 20, offset: int = 0
+) -> DataFrame:
+    """The same page, found by counting instead of sorting; runs a few scans when called."""
+    rows, _, limit, offset = _listed(photos, order_by, limit, offset)
+    return selected_page(rows, order_by, "id", limit, offset)
+
+
 def _listed(photos, order_by, limit, offset):
     _check_choice("order_by", order_by, PHOTO_ORDERS)
     _check_range("limit", limit, 1, 100)
@@ -192,7 +200,11 @@ def search_matches(photos: DataFrame, q: str) -> DataFrame:
 
 def search_photos(photos: DataFrame, q: str, limit: int = 20, offset: int = 0) -> DataFrame:
     """One page of the matching photos, most liked first."""
+    return search_page(search_matches(photos, q), limit, offset)
+
+
+def search_page(matches: DataFrame, limit: int = 20, offset: int = 0) -> DataFrame:
     _check_range("limit", limit, 1, 100)
     _check_range("offset", offset, 0)
-    rows = _only(_with_user(search_matches(photos, q).drop("user_id")), FOUND)
+    rows = _only(_with_user(matches.drop("user_id")), FOUND)
     return top_page(rows, [F.desc("likes"), F.asc("id")], limit, offset)

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from shutterlake import schemas
 from shutterlake.functions import columns as X
-from shutterlake.operators import charts, cooccurrence, daily, maintenance, normalize
+from shutterlake.operators import cells, charts, cooccurrence, daily, maintenance, normalize
 from shutterlake.operators import photographers, quality, reads, search, snapshots, staging
 from shutterlake.operators import tags, upsert
-from shutterlake.plans import elt
+from shutterlake.plans import elt, incremental
 from shutterlake.session import SETTINGS, checkpointed, scratch
-from shutterlake.sources import landing, star, tables
+from shutterlake.sources import landing, search_index, star, tables
 from shutterlake.streaming.ingest import stream_photos
 
 AS_OF = star.AS_OF
@@ -335,6 +335,59 @@ def tag_metrics(spark, folder):
     return tags.tag_metrics(_stg_bags(spark, folder), AS_OF)
 
 
+def _loaded_cells(spark, folder):
+    """Photos in three loads, two photos in three first with other tags, likes and days, with the
+    cells refreshed after each."""
+    root = scratch(spark, "cells")
+    photos = star.photos(spark, folder).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    photos = checkpointed(elt.conform(photos, schemas.PHOTOS))
+    share = F.pmod(F.xxhash64("id"), F.lit(3))
+    before = photos.withColumns({
+        "likes": F.col("likes") * 2 + 1,
+        "tags": F.concat(F.reverse("tags"), F.array(F.lit("old"), F.get("tags", F.lit(0)))),
+        "created_at": F.col("created_at") - F.expr("interval 36 hours") * share,
+    })
+    loads = (
+        before.where(share < 2),
+        photos.where(share > 0),
+        photos.where(share == 0).unionByName(before.where(share == 5)),
+    )
+    for n, load in enumerate(loads):
+        stamp = F.lit(RECORDED + dt.timedelta(days=n))
+        tables.add_changes(load, root, "photos", stamp)
+        incremental.refresh(spark, root)
+    return root
+
+
+@query
+def tag_metrics_incremental(spark, folder):
+    """Tag metrics of cells that three loads have filled and changed."""
+    stored = incremental.read(spark, _loaded_cells(spark, folder), incremental.TAGS)
+    return _ntz(cells.tag_metrics(stored, AS_OF), "first_photo_date", "latest_photo_date")
+
+
+@query
+def tag_pair_rate_incremental(spark, folder):
+    root = _loaded_cells(spark, folder)
+    tag_cells, pair_cells = (
+        incremental.read(spark, root, name) for name in (incremental.TAGS, incremental.PAIRS)
+    )
+    return cells.tag_pair_rate(tag_cells, pair_cells, AS_OF)
+
+
+@query
+def tag_pairs_positional_incremental(spark, folder):
+    stored = incremental.read(spark, _loaded_cells(spark, folder), incremental.PAIRS)
+    return cells.tag_pairs_positional(stored, AS_OF)
+
+
+@query
+def tag_cooccurrence_pruned(spark, folder):
+    """Pairs on at least 5 photos, with rare tags and light buckets of pairs left out before."""
+    bags = cooccurrence.pruned(_stg_bags(spark, folder), 5)
+    return cooccurrence.tag_cooccurrence(bags, AS_OF, 5, buckets=1 << 16)
+
+
 @query
 def tag_analysis(spark, folder):
     return tags.tag_analysis(_stg_bags(spark, folder), AS_OF)
@@ -464,6 +517,13 @@ def list_photos_deep_page(spark, folder):
     return rows.select("id", "views", "likes", F.col("user.username").alias("username"))
 
 
+@query
+def list_photos_selected(spark, folder):
+    """The same page, found by rounds of counting."""
+    rows = reads.list_photos_selected(_normalized(spark, folder), "views", limit=50, offset=700)
+    return rows.select("id", "views", "likes", F.col("user.username").alias("username"))
+
+
 @query
 def photo_detail(spark, folder):
     """Every photo with its latest statistics."""
@@ -534,6 +594,24 @@ def search_photos(spark, folder):
     return _page(flat, reads.pagination(matches, 20, 5))
 
 
+@query
+def search_photos_indexed(spark, folder):
+    """The same search by the index, which two loads have filled; the second has new versions."""
+    root = scratch(spark, "search-index")
+    photos = star.text_photos(spark, folder)
+    late = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
+    before = photos.withColumn("description", F.reverse("description"))
+    first = photos.where(~late).unionByName(before.where(late))
+    search_index.add(first, root, F.lit(RECORDED), blocks=16)
+    search_index.add(photos.where(late), root, F.lit(RECORDED + dt.timedelta(days=1)), blocks=16)
+    flat = search_index.search_photos(spark, root, "tHe", limit=20, offset=5).select(
+        "id", F.md5("description").alias("description_md5"), "likes", "downloads",
+        F.col("user.username").alias("username"), F.col("user.name").alias("name"),
+    )
+    matches = search_index.matches(spark, root, "tHe")
+    return _page(flat, reads.pagination(matches, 20, 5))
+
+
 # -- dashboard tables ----------------------------------------------------------------------
 
 
@@ -600,6 +678,19 @@ def dedup_latest(spark, folder):
     return maintenance.dedup_latest(star.users(spark, folder))
 
 
+@query
+def dedup_applied(spark, folder):
+    """The users table after its cleanup, a second one, and a fold."""
+    root = scratch(spark, "users")
+    users = star.users(spark, folder)
+    users = users.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    tables.add_changes(users, root, "users", F.lit(RECORDED))
+    for n in (1, 2):
+        elt.cleanup_users(spark, root, RECORDED + dt.timedelta(days=n))
+    tables.fold(spark, root, "users", ["id"], 8, elt.USER_ORDER)
+    return _ntz(elt.read_users(spark, root), "updated_at")
+
+
 @query
 def dedup_log(spark, folder):
     return maintenance.dedup_log(star.users(spark, folder))

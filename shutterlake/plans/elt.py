@@ -18,12 +18,12 @@ from pyspark.sql.types import StructType
 
 from shutterlake import schemas
 from shutterlake.functions import columns as X
-from shutterlake.operators import cooccurrence, daily, normalize, photographers, quality
+from shutterlake.operators import cooccurrence, daily, maintenance, normalize, photographers, quality
 from shutterlake.operators import search, snapshots, staging, tags
 from shutterlake.operators.upsert import latest
 from shutterlake.session import checkpointed, get_session
 from shutterlake.sources import landing as L
-from shutterlake.sources import tables
+from shutterlake.sources import ledger, tables
 
 BUCKETS = 64  # hash buckets of the photos table; a layout choice made once per table
 LAST = "photo_last_statistics"
@@ -219,6 +219,47 @@ def fold_days(spark: SparkSession, root: str) -> None:
         tables.merge(batch, root, DAYS, ["photo_id", "month"], tables.BUCKET)
 
 
+USER_ORDER = ["updated_at"]
+
+
+def read_users(spark: SparkSession, root: str) -> DataFrame | None:
+    return tables.read_keyed(spark, root, "users", ["id"], USER_ORDER)
+
+
+def cleanup_users(
+    spark: SparkSession,
+    root: str,
+    recorded_at: dt.datetime,
+    references: dict[str, str] | None = None,
+) -> int:
+    """Takes all users but the newest of each email out of the users table.
+
+    The cleanup log gets a row for each email. ``references`` names tables with a column that
+    refers to a user's id: their rows that refer to a removed one are kept in
+    ``orphaned_references`` before anything is removed. A second run finds nothing to do.
+    """
+    users = checkpointed(read_users(spark, root))
+    removed = checkpointed(maintenance.dedup_removed(users))
+    count = removed.count()
+    if not count:
+        return 0
+    stamp = F.lit(recorded_at).cast("timestamp")
+    for name, reference in (references or {}).items():
+        children = tables.read_table(spark, root, name)
+        found = maintenance.referring(removed, children, reference)
+        text = F.to_json(F.struct(*children.columns)).alias("row")
+        lost = found.select(
+            F.lit(name).alias("table"), F.col(reference).cast("string").alias("removed_id"),
+            F.col("kept_id").cast("string").alias("kept_id"), text, stamp.alias("created_at"),
+        )
+        tables.append(lost, root, "orphaned_references")
+    log = maintenance.dedup_log(users).withColumn("created_at", stamp)
+    tables.append(conform(log, schemas.CLEANUP_LOGS), root, "cleanup_logs")
+    ids = removed.select(F.col("removed_id").alias("id"))
+    tables.add_removals(ids, root, "users", stamp)
+    return count
+
+
 def load_search_trends(log: DataFrame, root: str, recorded_at: dt.datetime) -> int:
     """Counts searches per term and day; lines that are no search are quarantined."""
     log = log if "reason" in log.columns else L.judge_log(log)
@@ -338,14 +379,20 @@ def run_elt(
     recorded_at: dt.datetime | None = None,
     buckets: int = BUCKETS,
     compact: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """Extract, load and transform; one summary row per step.
 
     ``landing`` holds the folder photos/ and, optionally, details/ and statistics/, which
     complete the photo records, and searches/, a search log. Load needs a successful
     extract, transform a successful load; a failure keeps what earlier phases wrote. With
-    ``compact`` the loads are folded into the tables' ``buckets`` before the transform.
+    ``compact`` the loads are folded into the tables' ``buckets`` before the transform. An
+    ``incremental`` run parses only photo files that no such run has loaded; if details or
+    statistics have landed or changed since, all photo files, as any may be completed by them.
+    A batch size would leave out records of files that then count as loaded, so it is refused.
     """
+    if incremental and batch_size is not None:
+        raise ValueError("an incremental run takes whole files")
     recover_tables(spark, root)
     recorded_at = recorded_at or dt.datetime.now(dt.timezone.utc)
     results: list[tuple] = []
@@ -364,12 +411,18 @@ def run_elt(
         staged = {}
 
         def extract():
-            judged = checkpointed(normalize.judge(read_records(spark, landing)))
+            files = unseen_files(spark, landing, root) if incremental else None
+            read = read_records(spark, landing, files)
+            judged = checkpointed(normalize.judge(read))
             staged["photos"] = checkpointed(L.photo_batch(judged, batch_size))
+            staged["files"] = files
             return staged["photos"].count()
 
         def load():
-            return load_photos(staged["photos"], root, recorded_at)
+            count = load_photos(staged["photos"], root, recorded_at)
+            if staged["files"] is not None:
+                ledger.record(staged["files"], root)
+            return count
 
         if not phase("extract", "extract_photos", extract) or extract_only:
             return summary()
@@ -386,9 +439,32 @@ def run_elt(
     return summary()
 
 
-def read_records(spark: SparkSession, landing: str) -> DataFrame:
-    """The photo feed, completed by the details and statistics feeds where they landed."""
-    basic = L.read_photos(spark, f"{landing}/photos")
+def unseen_files(spark: SparkSession, landing: str, root: str) -> DataFrame:
+    """Photo files to parse, with the files of the feeds that complete them if those are new."""
+    found = ledger.unseen(spark, f"{landing}/photos", root)
+    for feed in ("details", "statistics"):
+        more = or_none(lambda feed=feed: ledger.unseen(spark, f"{landing}/{feed}", root))
+        if more is not None and not more.isEmpty():
+            every = ledger.landed(spark, f"{landing}/photos")
+            found = found.unionByName(more).unionByName(every).distinct()
+    return checkpointed(found)
+
+
+def read_records(
+    spark: SparkSession, landing: str, files: DataFrame | None = None
+) -> DataFrame:
+    """The photo feed, completed by the details and statistics feeds where they landed.
+
+    With ``files`` only those of them that are photo files are parsed.
+    """
+    if files is None:
+        basic = L.read_photos(spark, f"{landing}/photos")
+    else:
+        own = ledger.landed(spark, f"{landing}/photos").select("path")
+        paths = ledger.paths(files.join(own, "path", "left_semi"))
+        if not paths:
+            return L.empty_feed(spark, "photos")
+        basic = L.read_photos(spark, paths)
     details = or_none(lambda: L.read_feed(spark, f"{landing}/details", "photos"))
     stats = or_none(lambda: L.read_feed(spark, f"{landing}/statistics", "photo_statistics"))
     if details is None and stats is None:
@@ -434,6 +510,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--analysis-date", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--batch-size", type=int)
     parser.add_argument("--compact", action="store_true")
+    parser.add_argument("--incremental", action="store_true")
     parser.add_argument("--log-level", choices=["DEBUG", "INFO", "WARN", "ERROR"], default="WARN")
     only = parser.add_mutually_exclusive_group()
     only.add_argument("--extract-only", action="store_true")
@@ -450,6 +527,7 @@ def main(argv: list[str] | None = None) -> int:
         args.extract_only,
         args.transform_only,
         compact=args.compact,
+        incremental=args.incremental,
     )
     rows = summary.collect()  # one row per step
     for row in rows:

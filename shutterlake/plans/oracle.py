@@ -626,3 +626,19 @@ with {RAW}
 select id, parsed as created_at, width, height, color, likes, views,
  cast(c_custkey as varchar) as user_id, tags from raw where width is not null and not cut""",
 }
+
+# the same rows by other ways: from cells that loads have filled and changed, with pairs left out
+# beforehand, from a page found by counting, an index, a stored table
+ORACLE |= {
+    "list_photos_selected": ORACLE["list_photos_deep_page"],
+    "search_photos_indexed": ORACLE["search_photos"],
+    "dedup_applied": ORACLE["dedup_latest"],
+    "tag_metrics_incremental": ORACLE["tag_metrics"],
+    "tag_pairs_positional_incremental": ORACLE["tag_pairs_positional"],
+    "tag_pair_rate_incremental": f"""
+with {STG}, {PAIRS}
+select p.*, r.tag1_cooccurrence_rate from pairs p join rated r
+ on p.tag1 = r.tag1 and p.tag2 = r.tag2 where p.cooccurrence_count >= 2""",
+    "tag_cooccurrence_pruned": f"""
+with {STG}, {PAIRS} select * from pairs where cooccurrence_count >= 5""",
+}

@@ -19,17 +19,22 @@ FEEDS = {
 }
 
 
-def read_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
     """One feed with its fixed schema. Lines that do not fit keep their text in ``_corrupt``."""
     if kind not in FEEDS:
         raise ValueError(f"kind must be one of {', '.join(FEEDS)}: {kind}")
     return _read_json(spark, path, FEEDS[kind])
 
 
-def read_photos(spark: SparkSession, path: str) -> DataFrame:
+def read_photos(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_feed(spark, path, "photos")
 
 
+def empty_feed(spark: SparkSession, kind: str) -> DataFrame:
+    """A feed of which nothing is to be read."""
+    return spark.createDataFrame([], f"{FEEDS[kind]}, {CORRUPT} string")
+
+
 def photo_batch(
     raw: DataFrame, batch_size: int | None = None, order_by: str = "latest"
 ) -> DataFrame:
@@ -77,7 +82,7 @@ def judge_log(log: DataFrame) -> DataFrame:
     return log.withColumn("reason", reason)
 
 
-def _read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_json(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     return (
         spark.read.schema(f"{schema}, {CORRUPT} string")
         .option("mode", "PERMISSIVE")

@@ -13,6 +13,7 @@ from shutterlake.session import checkpointed
 
 BUCKET = "bucket"
 LOADED = ("loaded_at", "loaded_on")  # what a change has beside the table's columns
+REMOVED = "_removed"  # true in the newest version of a key that was taken out
 
 
 def read_table(
@@ -60,8 +61,14 @@ def publish(df: DataFrame, name: str, kind: str, root: str | None = None) -> Dat
         return df
     if kind != "table" or root is None:
         raise ValueError("kind must be view, or table with a root")
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-    return read_table(df.sparkSession, root, name)
+    spark, target = df.sparkSession, f"{root.rstrip('/')}/{name}"
+    # written beside the table, which stays whole if this breaks off, then exchanged
+    df.write.mode("overwrite").parquet(_stage(root, name))
+    files, path = _files(spark, target)
+    files.delete(path, True)
+    files.mkdirs(path.getParent())
+    files.rename(_files(spark, _stage(root, name))[1], path)
+    return read_table(spark, root, name)
 
 
 def append(df: DataFrame, root: str, name: str) -> None:
@@ -150,6 +157,28 @@ def add_changes(batch: DataFrame, root: str, name: str, loaded_at: Column) -> No
     changes.write.mode("append").partitionBy(LOADED[1]).parquet(_changes(root, name))
 
 
+def add_removals(keys: DataFrame, root: str, name: str, loaded_at: Column) -> None:
+    """Takes keys out of a table: a change without a row, which readers and folds respect.
+
+    A later load of the key brings it back. ``keys`` has the table's key columns.
+    """
+    add_changes(keys.withColumn(REMOVED, F.lit(True)), root, name, loaded_at)
+
+
+def _marked(newest: DataFrame | None, base: DataFrame | None) -> DataFrame | None:
+    """Changes that say of every key that it is there, if the table may say otherwise."""
+    if newest is None or base is None or REMOVED in newest.columns or REMOVED not in base.columns:
+        return newest
+    return newest.withColumn(REMOVED, F.lit(False))
+
+
+def _present(df: DataFrame) -> DataFrame:
+    """Rows that have not been taken out."""
+    if REMOVED not in df.columns:
+        return df
+    return df.where(~F.coalesce(REMOVED, F.lit(False))).drop(REMOVED)
+
+
 def _changes(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}_changes"
 
@@ -173,6 +202,8 @@ def newest_changes(
     if changes is None:
         return None
     columns = [c for c in changes.columns if c not in LOADED]
+    if REMOVED in columns and set(columns) == {*keys, REMOVED}:
+        return changes.select(*keys, REMOVED).distinct()
     rest = [c for c in columns if c not in keys]
     text = F.xxhash64(F.to_json(F.struct(*rest)))
     newest = F.max_by(F.struct(*rest), F.struct(LOADED[0], *order, text)).alias("_new")
@@ -200,11 +231,36 @@ def read_keyed(
     changed keys are few enough for Spark to broadcast; ``fold`` keeps them few.
     """
     base = read_table_or_none(spark, root, name, merge_schema=True)
-    newest = newest_changes(spark, root, name, keys, order, keep)
+    newest = _marked(newest_changes(spark, root, name, keys, order, keep), base)
     if base is None:
-        return newest
+        return newest and _present(newest)
     base = base.drop(BUCKET)
-    return base if newest is None else upsert(base, newest, keys, keep)
+    return _present(base if newest is None else upsert(base, newest, keys, keep))
+
+
+def read_key(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    keys: Sequence[str],
+    value,
+    order: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame | None:
+    """The row of one value of the first key, read from its bucket and the changes alone."""
+    base = read_table_or_none(spark, root, name, merge_schema=True)
+    newest = _marked(newest_changes(spark, root, name, keys, order, keep), base)
+    buckets = layout(spark, root, name)
+    if base is not None and buckets is not None:
+        bucket = F.pmod(F.xxhash64(F.lit(value)), F.lit(buckets)).cast("int")
+        number = spark.range(1).select(bucket).first()[0]
+        base = base.where(F.col(BUCKET) == number)
+    wanted = F.col(keys[0]) == F.lit(value)
+    base = base and base.drop(BUCKET).where(wanted)
+    newest = newest and newest.where(wanted)
+    if base is None:
+        return newest and _present(newest)
+    return _present(base if newest is None else upsert(base, newest, keys, keep))
 
 
 def fold(
@@ -220,6 +276,7 @@ def fold(
 
     ``buckets`` is a layout choice made once: it is stored beside the table, and another number
     is refused, as it would give a row two places. A fold that broke off can be repeated.
+    Changes that arrive while it runs stay. What was taken out stays in its bucket as a mark.
     """
     stored = layout(spark, root, name)
     if stored not in (None, buckets):
@@ -227,14 +284,17 @@ def fold(
     newest = newest_changes(spark, root, name, keys, order, keep)
     if newest is None:
         return
+    read = newest.inputFiles()
+    newest = _marked(newest, read_table_or_none(spark, root, name, merge_schema=True))
     if stored is None:
         spark.range(1).coalesce(1).select(F.lit(buckets).alias("buckets")).write.mode(
             "overwrite"
         ).json(f"{root.rstrip('/')}/_layout/{name}")
     batch = checkpointed(with_bucket(newest, keys[0], buckets))
     merge(batch, root, name, keys, BUCKET, keep)
-    files, path = _files(spark, _changes(root, name))
-    files.delete(path, True)
+    for file in read:  # one for each load and task since the last fold
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
 
 
 def layout(spark: SparkSession, root: str, name: str) -> int | None:

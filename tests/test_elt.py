@@ -250,3 +250,31 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(cluster) == "hdfs://shared" == cluster.getCheckpointDir()
     with pytest.raises(RuntimeError):
         shared_folder(Session())
+
+
+def test_an_incremental_run_parses_only_new_files(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    (landing / "photos").mkdir(parents=True)
+    write = lambda name, *ids: (landing / "photos" / name).write_text(
+        "\n".join(json.dumps(record(i, i)) for i in ids)
+    )
+    run = lambda **more: {
+        r["step"]: r["records"]
+        for r in elt.run_elt(spark, str(landing), root, DAY, extract_only=not more, incremental=True, **more).collect()
+    }
+    write("a.json", 1, 2)
+    assert run()["extract_photos"] == 2
+    load = lambda: elt.ledger.record(elt.unseen_files(spark, str(landing), root), root)
+    load()
+    assert run()["extract_photos"] == 0
+    write("b.json", 3)
+    assert run()["extract_photos"] == 1
+    load()
+    write("a.json", 1, 2, 4)  # written again
+    assert run()["extract_photos"] == 3
+    load()
+    (landing / "statistics").mkdir()
+    (landing / "statistics" / "s.json").write_text('{"id": "p1", "likes": {"total": 7}}')
+    assert run()["extract_photos"] == 4  # any photo may be completed
+    with pytest.raises(ValueError):
+        elt.run_elt(spark, str(landing), root, DAY, batch_size=1, incremental=True)

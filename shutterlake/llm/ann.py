@@ -15,17 +15,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shutterlake.llm import ordering, vectors
+from shutterlake.llm import vectors
 from shutterlake.llm.common import materialized
 
 CELL = 1 << 12  # neighbouring rows of the curves that one task looks at
+RANGE = 1 << 16  # rows of a range of a curve, about
+TIE = 7  # bits of the hash that parts rows of one cell
 BLOCK = 1 << 13  # vectors that one task compares with queries
 QUERIES = 1 << 12  # queries that meet a block in one task
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     """Position of grid cells (one row each) on the Hilbert curve of that many bits an axis."""
-    axes = [cells[:, i].astype(np.int64) for i in range(cells.shape[1])]
+    small = np.int16 if bits < 15 else np.int64
+    axes = [cells[:, i].astype(small) for i in range(cells.shape[1])]
     for level in range(bits - 1, 0, -1):
         low = (1 << level) - 1
         for i, axis in enumerate(axes):
@@ -40,10 +43,13 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     flip = np.zeros_like(axes[0])
     for level in range(bits - 1, 0, -1):
         flip = np.where((axes[-1] >> level) & 1 == 1, flip ^ ((1 << level) - 1), flip)
-    index = np.zeros_like(axes[0])
+    axes = [axis ^ flip for axis in axes]
+    index = np.zeros(len(cells), np.int64)
     for level in range(bits - 1, -1, -1):
+        digit = np.zeros(len(cells), np.int64)  # one bit of every axis
         for axis in axes:
-            index = (index << 1) | (((axis ^ flip) >> level) & 1)
+            digit = digit << 1 | (axis >> level) & 1
+        index = index << len(axes) | digit
     return index
 
 
@@ -74,8 +80,9 @@ def nearest(
     Each of ``curves`` orders (``curves_for`` the table by default) projects all vectors on
     ``axes`` random directions, cuts every direction at the quantiles of the corpus, shifts the
     resulting grid by a random number of cells and sorts along its Hilbert curve of ``2**bits``
-    cells an axis, range-partitioned by Spark; rows of one cell are ordered by a hash of their
-    own in every curve. The quantiles are those of ``fitted`` vectors with the smallest hashes.
+    cells an axis, in ranges that Spark sorts; rows of one cell are ordered by a hash of their
+    own in every curve. The quantiles, and where ranges begin, are those of ``fitted`` vectors
+    with the smallest hashes.
     A query meets the ``window`` rows before and behind its place in every order. The windows
     are merged, and candidates are ranked by Euclidean distance in double precision on the
     original vectors, ties by smaller id. If the windows together would hold as many rows as
@@ -128,8 +135,9 @@ def _requests(groups, width, total, window, curves, axes, bits, fitted, seed) ->
 
 
 def _places(groups, width, curves, axes, bits, fitted, seed) -> DataFrame:
-    """``(own, _at)``: along all curves, each class as twice its number, and one more if it is a
-    query, with its place in the written table."""
+    """``(part, row, own)``: along all curves, each class as twice its number, and one more if it
+    is a query, with its place in its range of its curve."""
+    total = groups.count()
     rng = np.random.default_rng(seed)
     shape = (max(width, 1), axes)
     if width < axes:
@@ -143,41 +151,80 @@ def _places(groups, width, curves, axes, bits, fitted, seed) -> DataFrame:
     points = vectors.stack(sample.toPandas()["vector"], width)  # of bounded number
     cuts = np.quantile(points @ directions, np.arange(1, half) / half, axis=0)
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def index(points: np.ndarray, c: int) -> np.ndarray:
+        own = slice(c * axes, (c + 1) * axes)
+        at = (points @ directions[:, own]).T
+        cells = [
+            np.searchsorted(edge, axis) + shift
+            for edge, axis, shift in zip(cuts[:, own].T, at, shifts[own], strict=True)
+        ]
+        return hilbert_index(np.minimum(np.stack(cells, axis=1), (1 << bits) - 1), bits)
+
+    # each curve is cut into ranges of about as many rows, by the indices of the sample; a
+    # hash of the row stands behind the index, so that rows of one cell are cut as well
+    ranges = -(-total // RANGE)
+    edges = [
+        np.sort(index(points, c) << TIE | hashed(np.arange(len(points)), c))[
+            np.arange(1, ranges) * len(points) // ranges
+        ]
+        for c in range(curves if ranges > 1 else 0)
+    ]
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
+            number, asked = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            points = vectors.stack(batch.column(2).to_pandas(), width)
+            if not len(number):
                 continue
-            at = vectors.stack(batch["vector"], width) @ directions
-            number = batch["number"].to_numpy()
-            own = 2 * number + batch["asked"].to_numpy()
+            own = 2 * number + asked
             for c in range(curves):
-                columns = range(c * axes, (c + 1) * axes)
-                cells = [np.searchsorted(cuts[:, i], at[:, i]) + shifts[i] for i in columns]
-                cells = np.minimum(np.stack(cells, axis=1), (1 << bits) - 1)
-                key = hilbert_index(cells, bits)
-                tie = (number * 0x9E3779B1 + c * 0x85EBCA6B ^ number >> 7) * 0xC2B2AE35 >> 12 & 0xFFFF
-                low = axes * bits - 32  # bits of the index that go with the tie
-                first = c << 32 | (key >> low if low > 0 else key)
-                second = (key & (1 << max(low, 0)) - 1) << 16 | tie
-                yield pd.DataFrame({"first": first, "second": second, "own": own})
-
-    keyed = groups.select("number", "asked", "vector").mapInPandas(
-        keys, "first bigint, second bigint, own bigint"
+                key = index(points, c)
+                part = np.full(len(key), c * ranges)
+                if ranges > 1:
+                    part += np.searchsorted(edges[c], key << TIE | hashed(number, c))
+                columns = [pa.array(x, pa.int64()) for x in (part, key, own)]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "key", "own"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = -1, 0
+        for batch in batches:
+            part, own = batch.column(0).to_numpy(), batch.column(1)
+            firsts = np.flatnonzero(np.diff(part, prepend=current))
+            row = np.arange(len(part)) + held
+            for first in firsts.tolist():  # ranges that begin here
+                row[first:] = np.arange(len(part) - first)
+            if len(part):
+                current, held = int(part[-1]), int(row[-1]) + 1
+            columns = [batch.column(0), pa.array(row, pa.int64()), own]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "row", "own"])
+
+    keyed = groups.select("number", "asked", "vector").mapInArrow(
+        keys, "part bigint, key bigint, own bigint"
     )
-    ordered = ordering.in_order(keyed, ["first", "second", "own"])
-    return ordering.written(ordered.select("own"), "curve-places")
+    tie = F.xxhash64("own", "part")
+    ordered = keyed.repartition("part").sortWithinPartitions("part", "key", tie, "own")
+    rows = ordered.select("part", "own").mapInArrow(count, "part bigint, row bigint, own bigint")
+    return materialized(rows, "curve-places")
+
+
+def hashed(number: np.ndarray, curve: int) -> np.ndarray:
+    """``TIE`` bits of a hash of each number, another one for every curve."""
+    h = (number + 1) * 0x9E3779B1 ^ (curve + 1) * 0x85EBCA6B
+    return (h ^ h >> 15) * 0xC2B2AE35 >> 13 & (1 << TIE) - 1
 
 
 def _windows(places: DataFrame, total: int, window: int) -> DataFrame:
     """``(number, ids)``: for every query and curve the rows of its window, as packed numbers."""
-    starts = ordering.part_starts(places)
-    first = np.array([starts.get(i, 0) for i in range(max(starts, default=0) + 1)], np.int64)
-    mask = (1 << ordering.ROW_BITS) - 1
+    sizes = places.groupBy("part").agg((F.max("row") + 1).alias("n")).collect()
+    n = np.zeros(max((r["part"] for r in sizes), default=0) + 2, np.int64)  # one for each range
+    for r in sizes:
+        n[r["part"] + 1] = r["n"]
+    start = np.cumsum(n)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, at = (batch.column(i).to_numpy() for i in (0, 1))
-            place = first[at >> ordering.ROW_BITS] + (at & mask)
+            part, row, own = (batch.column(i).to_numpy() for i in (0, 1, 2))
+            place = start[part] + row
             cell = place // CELL
             out = []
             for step, edge in ((0, None), (-1, place % CELL < window), (1, place % CELL >= CELL - window)):
@@ -209,7 +256,7 @@ def _windows(places: DataFrame, total: int, window: int) -> DataFrame:
         ids = [number[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
         return pa.table({"number": pa.array(number[queries], pa.int64()), "ids": pa.array(ids, pa.binary())})
 
-    dealt = places.select("own", ordering.AT).mapInArrow(deal, "cell bigint, place binary, own binary")
+    dealt = places.mapInArrow(deal, "cell bigint, place binary, own binary")
     return dealt.groupBy("cell").applyInArrow(look, "number bigint, ids binary")
 
 

@@ -159,13 +159,16 @@ def test_windows_smaller_than_the_table(spark, monkeypatch, kind):
 
 def test_every_row_of_a_window_is_met(spark, monkeypatch):
     monkeypatch.setattr(ann, "CELL", 16)
-    monkeypatch.setattr(ann, "curves_for", lambda n: 1)
+    monkeypatch.setattr(ann, "RANGE", 40)
     rows = [(i, [float(i), 1.0]) for i in range(300)]
     groups = ann.vectors.classes(frame(spark, rows).select("vec_id", "embedding").toDF("id", "vector"), "c",
                                  F.max(F.col("id") % 10 == 0).alias("asked"))
     places = ann._places(groups, 2, 3, 2, 7, 300, 1)
     for row in ann._windows(places, 300, 9).collect():
         assert 10 <= len(set(np.frombuffer(row["ids"], np.int64))) == len(row["ids"]) // 8 <= 19
+    ranges = places.groupBy("part").count().collect()
+    assert len(ranges) == 3 * 8 and max(r["count"] for r in ranges) < 80
+    assert places.groupBy("part", "row").count().where("count > 1").isEmpty()
 
 
 def test_ids_that_repeat_with_other_vectors(spark):

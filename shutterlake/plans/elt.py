@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+import threading
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,9 +19,11 @@ from pyspark.sql.types import StructType
 
 from shutterlake import schemas
 from shutterlake.functions import columns as X
-from shutterlake.operators import cooccurrence, daily, maintenance, normalize, photographers, quality
+from shutterlake.operators import cells, cooccurrence, daily, maintenance, normalize
+from shutterlake.operators import photographers, quality
 from shutterlake.operators import search, snapshots, staging, tags
 from shutterlake.operators.upsert import latest
+from shutterlake.plans import graph, incremental
 from shutterlake.session import checkpointed, get_session
 from shutterlake.sources import landing as L
 from shutterlake.sources import ledger, tables
@@ -42,6 +45,9 @@ PARTITIONS = {
 }
 
 
+LOG = threading.Lock()
+
+
 def job_log(
     spark: SparkSession,
     root: str,
@@ -67,7 +73,8 @@ def job_log(
     }
     types = StructType.fromDDL(schemas.ETL_JOBS)
     row = [values[f.name].cast(f.dataType).alias(f.name) for f in types]
-    tables.append(spark.range(1).coalesce(1).select(*row), root, "etl_jobs")
+    with LOG:  # steps run at the same time, but two writers of one folder would lose rows
+        tables.append(spark.range(1).coalesce(1).select(*row), root, "etl_jobs")
 
 
 def run_step(
@@ -125,6 +132,8 @@ def read_photos(spark: SparkSession, root: str) -> DataFrame | None:
 
 def fold_tables(spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
     """Folds the loads since the last time into the bucketed tables."""
+    if tables.read_table_or_none(spark, root, incremental.LEDGER) is not None:
+        incremental.refresh(spark, root)  # cells take in changes from where they lie
     tables.fold(spark, root, "photos", ["id"], buckets, PHOTO_ORDER, PHOTO_KEPT)
     tables.fold(spark, root, LAST, ["photo_id"], buckets, LAST_ORDER)
     fold_days(spark, root)
@@ -272,8 +281,13 @@ def load_search_trends(log: DataFrame, root: str, recorded_at: dt.datetime) -> i
     return trends.count()
 
 
-def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]:
-    """The three analyses of a day and the marts. A failing part does not stop the others."""
+def transform(
+    spark: SparkSession, root: str, day: dt.date | str, from_cells: bool = False
+) -> list[tuple]:
+    """The three analyses of a day and the marts, those at the same time that do not need each
+    other. A failing part does not stop the others; the checks of the tables come last. With
+    ``from_cells`` the tag analysis adds up cells, which take in the photos that changed.
+    """
     photos = read_photos(spark, root)
     if photos is None:
         raise FileNotFoundError(f"there are no photos below {root}")
@@ -289,11 +303,18 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
         return df.count()
 
     def analyze_tags():
-        analysis = tags.tag_analysis(bags, day).withColumn("updated_at", stamp)
+        if from_cells:
+            incremental.refresh(spark, root)
+            found = (incremental.read(spark, root, n) for n in (incremental.TAGS, incremental.PAIRS))
+            tag_cells, pair_cells = found
+            analysis = cells.tag_analysis(tag_cells, day)
+            pairs = cells.tag_pairs_positional(pair_cells, day)
+        else:
+            analysis = tags.tag_analysis(bags, day)
+            pairs = cooccurrence.tag_pairs_positional(bags, day)
+        analysis = analysis.withColumn("updated_at", stamp)
         count = merged(analysis, "tag_analysis", "analysis_date")
-        merged(
-            cooccurrence.tag_pairs_positional(bags, day), "tag_cooccurrence", "analysis_date"
-        )
+        merged(pairs, "tag_cooccurrence", "analysis_date")
         return count
 
     def analyze_photographers():
@@ -308,16 +329,31 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
         return merged(trends, "daily_trends", "trend_date", ["created_at"])
 
     def build_marts():
-        stg = staging.stg_photos(photos, day)
+        def model(name, kind, make, *needs):
+            work = lambda: tables.publish(make(), name, kind, root)
+            return {name: graph.Step(work, needs)}
+
+        stg = lambda: staging.stg_photos(photos, day)
         models = {
-            "stg_photos": ("view", stg),
-            "int_tag_metrics": ("view", tags.tag_metrics(bags, day)),
-            "int_photographer_metrics": ("view", photographers.photographer_metrics(stg, day)),
-            "mart_daily_trends": ("table", daily.mart_daily_trends(stg, bags)),
-            "mart_tag_cooccurrence": ("table", cooccurrence.mart_tag_cooccurrence(bags, day)),
-        }
-        for name, (kind, df) in models.items():
-            tables.publish(df, name, kind, root)
+            **model("stg_photos", "view", stg),
+            **model("int_tag_metrics", "view", lambda: tags.tag_metrics(bags, day), "stg_photos"),
+            **model(
+                "int_photographer_metrics", "view",
+                lambda: photographers.photographer_metrics(stg(), day), "stg_photos",
+            ),
+            **model(
+                "mart_daily_trends", "table",
+                lambda: daily.mart_daily_trends(stg(), bags), "stg_photos",
+            ),
+            **model(
+                "mart_tag_cooccurrence", "table",
+                lambda: cooccurrence.mart_tag_cooccurrence(bags, day), "stg_photos",
+            ),
+        }
+        built = graph.run(spark, models)
+        failed = [f"{n}: {e}" for n, e in built.items() if isinstance(e, Exception)]
+        if failed:
+            raise RuntimeError("; ".join(failed))
         return len(models)
 
     def test_tables():
@@ -337,21 +373,20 @@ def transform(spark: SparkSession, root: str, day: dt.date | str) -> list[tuple]
             raise ValueError(f"{failures} failing rows, kept in the table failures")
         return failures
 
-    results = []
-    for step in (
-        analyze_tags,
-        analyze_photographers,
-        generate_daily_trends,
-        build_marts,
-        test_tables,
-    ):
-        name = step.__name__
-        try:
-            records = run_step(spark, root, name, "transform", step, {"date": str(day)})
-            results.append(("transform", name, True, records, None))
-        except Exception as error:
-            results.append(("transform", name, False, 0, str(error)))
-    return results
+    analyses = (analyze_tags, analyze_photographers, generate_daily_trends, build_marts)
+    named = {step.__name__: step for step in (*analyses, test_tables)}
+
+    def logged(name):
+        return lambda: run_step(spark, root, name, "transform", named[name], {"date": str(day)})
+
+    steps = {step.__name__: graph.Step(logged(step.__name__)) for step in analyses}
+    steps["test_tables"] = graph.Step(logged("test_tables"), after=tuple(steps))
+    return [
+        ("transform", name, False, 0, str(got))
+        if isinstance(got, Exception)
+        else ("transform", name, True, got, None)
+        for name, got in graph.run(spark, steps).items()
+    ]
 
 
 def store_failures(checks: dict[str, DataFrame], root: str) -> DataFrame:
@@ -379,7 +414,7 @@ def run_elt(
     recorded_at: dt.datetime | None = None,
     buckets: int = BUCKETS,
     compact: bool = False,
-    incremental: bool = False,
+    only_new: bool = False,
 ) -> DataFrame:
     """Extract, load and transform; one summary row per step.
 
@@ -387,12 +422,13 @@ def run_elt(
     complete the photo records, and searches/, a search log. Load needs a successful
     extract, transform a successful load; a failure keeps what earlier phases wrote. With
     ``compact`` the loads are folded into the tables' ``buckets`` before the transform. An
-    ``incremental`` run parses only photo files that no such run has loaded; if details or
+    run with ``only_new`` parses only photo files that no such run has loaded; if details or
     statistics have landed or changed since, all photo files, as any may be completed by them.
-    A batch size would leave out records of files that then count as loaded, so it is refused.
+    A batch size would leave out records of files that then count as loaded, so it is refused. Such
+    a run also takes its tag analysis from cells.
     """
-    if incremental and batch_size is not None:
-        raise ValueError("an incremental run takes whole files")
+    if only_new and batch_size is not None:
+        raise ValueError("a run of new files takes whole files")
     recover_tables(spark, root)
     recorded_at = recorded_at or dt.datetime.now(dt.timezone.utc)
     results: list[tuple] = []
@@ -411,7 +447,7 @@ def run_elt(
         staged = {}
 
         def extract():
-            files = unseen_files(spark, landing, root) if incremental else None
+            files = unseen_files(spark, landing, root) if only_new else None
             read = read_records(spark, landing, files)
             judged = checkpointed(normalize.judge(read))
             staged["photos"] = checkpointed(L.photo_batch(judged, batch_size))
@@ -435,7 +471,7 @@ def run_elt(
             return summary()
     if compact:
         fold_tables(spark, root, buckets)
-    results.extend(transform(spark, root, analysis_date))
+    results.extend(transform(spark, root, analysis_date, from_cells=only_new))
     return summary()
 
 
@@ -510,7 +546,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--analysis-date", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--batch-size", type=int)
     parser.add_argument("--compact", action="store_true")
-    parser.add_argument("--incremental", action="store_true")
+    parser.add_argument("--only-new", action="store_true")
     parser.add_argument("--log-level", choices=["DEBUG", "INFO", "WARN", "ERROR"], default="WARN")
     only = parser.add_mutually_exclusive_group()
     only.add_argument("--extract-only", action="store_true")
@@ -527,7 +563,7 @@ def main(argv: list[str] | None = None) -> int:
         args.extract_only,
         args.transform_only,
         compact=args.compact,
-        incremental=args.incremental,
+        only_new=args.only_new,
     )
     rows = summary.collect()  # one row per step
     for row in rows:

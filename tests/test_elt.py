@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql.types import StructType
 from shutterlake import schemas
 from shutterlake.operators import snapshots
-from shutterlake.plans import elt
+from shutterlake.plans import elt, graph
 from shutterlake.session import shared_folder
 from shutterlake.sources import tables
 from shutterlake.streaming.ingest import stream_photos
@@ -252,15 +252,15 @@ def test_shared_folder_comes_from_the_session(spark):
         shared_folder(Session())
 
 
-def test_an_incremental_run_parses_only_new_files(spark, tmp_path):
+def test_a_run_of_new_files_parses_only_those(spark, tmp_path):
     landing, root = tmp_path / "landing", str(tmp_path / "tables")
     (landing / "photos").mkdir(parents=True)
     write = lambda name, *ids: (landing / "photos" / name).write_text(
         "\n".join(json.dumps(record(i, i)) for i in ids)
     )
-    run = lambda **more: {
+    run = lambda: {
         r["step"]: r["records"]
-        for r in elt.run_elt(spark, str(landing), root, DAY, extract_only=not more, incremental=True, **more).collect()
+        for r in elt.run_elt(spark, str(landing), root, DAY, extract_only=True, only_new=True).collect()
     }
     write("a.json", 1, 2)
     assert run()["extract_photos"] == 2
@@ -277,4 +277,41 @@ def test_an_incremental_run_parses_only_new_files(spark, tmp_path):
     (landing / "statistics" / "s.json").write_text('{"id": "p1", "likes": {"total": 7}}')
     assert run()["extract_photos"] == 4  # any photo may be completed
     with pytest.raises(ValueError):
-        elt.run_elt(spark, str(landing), root, DAY, batch_size=1, incremental=True)
+        elt.run_elt(spark, str(landing), root, DAY, batch_size=1, only_new=True)
+
+
+def test_runs_of_new_files_give_the_analyses_of_full_runs(spark, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "photos").mkdir(parents=True)
+    roots = [str(tmp_path / n) for n in ("new", "full")]
+    for n, ids in enumerate(((1, 2, 3), (2, 5), ())):
+        for i in ids:
+            text = json.dumps(record(i, i + 3 * n, tags=[{"title": t} for t in "abc"[: 1 + (i + n) % 3]]))
+            (landing / "photos" / f"{n}-{i}.json").write_text(text)
+        for root, only_new in zip(roots, (True, False), strict=True):
+            run = elt.run_elt(spark, str(landing), root, DAY, recorded_at=at(20 + n), only_new=only_new, compact=n == 1)
+            assert all(r["success"] for r in run.collect())
+    for name, columns in (("tag_analysis", ("tag_name", "photo_count", "total_likes", "avg_likes")),
+                          ("tag_cooccurrence", ("tag1", "tag2", "cooccurrence_count"))):
+        one, two = (rows(tables.read_table(spark, root, name), *columns) for root in roots)
+        assert one == two and one
+
+
+def test_a_failed_model_skips_only_what_needs_it(spark):
+    order = []
+    step = lambda name, *needs, fail=False, after=(): graph.Step(
+        lambda: 1 // (not fail) and order.append(name) or spark.range(3).count(), needs, after
+    )
+    steps = {
+        "d": step("d", "b"), "a": step("a"), "b": step("b", "a", fail=True), "c": step("c", "a"),
+        "e": step("e", "d"), "last": step("last", after=("d", "c")),
+    }
+    got = graph.run(spark, steps)
+    assert list(got) == list(steps) and [got[n] for n in ("a", "c", "last")] == [3, 3, 3]
+    assert isinstance(got["b"], ZeroDivisionError)
+    assert all(isinstance(got[n], graph.Skipped) for n in "de")
+    assert order[0] == "a" and order.index("c") < order.index("last")
+    with pytest.raises(ValueError):
+        graph.run(spark, {"x": step("x", "y"), "y": step("y", "x")})
+    with pytest.raises(ValueError):
+        graph.run(spark, {"x": step("x", "z")})

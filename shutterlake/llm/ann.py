@@ -105,7 +105,9 @@ def nearest(
     groups = vectors.classes(rows, "curve-classes", F.max("asked").alias("asked"))
     width, total = vectors.dimension(groups), groups.count()
     found = _ranked(groups, _requests(groups, width, total, window, curves, axes, bits, fitted, seed), width, total, k)
-    named = rows.join(groups.select("number", "rep", "vector"), "vector")
+    # by the vector's hash first, which is cheaper to sort than vectors
+    own = groups.select("number", "rep", F.xxhash64("vector").alias("_hash"), "vector")
+    named = rows.withColumn("_hash", F.xxhash64("vector")).join(own, ["_hash", "vector"])
     named = named.groupBy("id", "number", "rep").agg(F.max("asked").alias("asked"))
     answers = vectors.smallest_ids(named.select("id", F.col("number").alias("found")), "found", k + 1)
     by_query = Window.partitionBy("query_id", "number").orderBy("score", "id")

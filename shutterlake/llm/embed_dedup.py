@@ -66,6 +66,7 @@ def near_duplicates(
         groups.join(roots.join(least, "root").drop("root"), "number", "left")
         .join(counts, "number", "left")
         .select(
+            F.xxhash64("vector").alias("hash"),  # cheaper to sort than vectors
             "vector",
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
             F.coalesce("least", "rep").alias("component_id"),
@@ -75,8 +76,10 @@ def near_duplicates(
     keyed = df.select(
         F.col(id_column).alias("_id"), F.when(taking, F.col(vector)).alias("_vector")
     )
+    keyed = keyed.withColumn("_hash", F.xxhash64("_vector"))
     component = F.coalesce("component_id", "_id")
-    return keyed.join(found, keyed["_vector"] == found["vector"], "left").select(
+    same = (F.col("_hash") == F.col("hash")) & (F.col("_vector") == F.col("vector"))
+    return keyed.join(found, same, "left").select(
         F.col("_id").alias(id_column),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         component.cast("bigint").alias("component_id"),

@@ -93,3 +93,40 @@ def test_small_tables(spark):
     found = lm.score(documents(spark, held_out)).collect()
     assert len(found) == len(held_out)
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] == 0 for r in found)
+
+
+def test_weights_equal_an_independent_estimate(spark, monkeypatch):
+    """Hold-out choice, buckets and expectation-maximisation done again, token by token."""
+    given, kept = rows(400), []
+    learned = lm._learn_weights
+    monkeypatch.setattr(lm, "_learn_weights", lambda *a: kept.append(learned(*a)) or kept[-1])
+    lm.score(documents(spark, given), order=2).collect()
+    counted = [t for n, t, *_ in given if crc(n) % 5 != 1 and crc(n) // 5 % 10]
+    held = [t for n, t, *_ in given if crc(n) % 5 != 1 and crc(n) // 5 % 10 == 0]
+    one, two = Counter(), Counter()
+    for text in counted:
+        own = tokens(text)
+        one.update(own)
+        two.update(zip(["START", *own], own, strict=False))
+    total, base = sum(one.values()), 1 / (len(one) + 1)
+    bucket = lambda n: int(math.log2(n)) + 1
+
+    def estimate(pairs):
+        a = 0.5
+        for _ in range(300):
+            a = sum(a * p / (a * p + (1 - a) * q) for p, q in pairs) / len(pairs)
+        return a
+
+    first = estimate([(one[w] / total, base) for text in held for w in tokens(text)])
+    assert kept[0][0][bucket(total)] == pytest.approx(first, abs=0.01)
+    by_bucket = {}
+    for text in held:
+        own = tokens(text)
+        for before, word in zip(["START", *own], own, strict=False):
+            n = len(counted) if before == "START" else one[before]
+            if n:
+                lower = first * one[word] / total + (1 - first) * base
+                by_bucket.setdefault(bucket(n), []).append((two[before, word] / n, lower))
+    assert len(by_bucket) > 3
+    for number, pairs in by_bucket.items():
+        assert kept[0][1][number] == pytest.approx(estimate(pairs), abs=0.02)

@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 
 from shutterlake.llm import toxicity
@@ -49,3 +52,32 @@ def test_odd_rows_and_empty_tables(spark):
     assert toxicity.predict(docs.limit(0), model).count() == 0
     nothing = toxicity.learn(docs, labels(spark, rows()).limit(0))
     assert all(r["toxic_score"] < 0.01 for r in toxicity.predict(docs, nothing).collect())
+
+
+def graded(text, model):
+    """Brute force: every word and beginning counted, every probability by itself."""
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower)
+    total = 0.0
+    for feature, weight in model.weights.items():
+        name = feature.decode()
+        if name.endswith("*"):
+            times = sum(w.encode().startswith(feature[:-1]) for w in words)
+        else:
+            times = words.count(name)
+        total += weight * math.log1p(times)
+    above = [1 / (1 + math.exp(t - total)) for t in model.thresholds]
+    return sum(above), above[0]
+
+
+def test_grades_equal_brute_force(spark):
+    model = toxicity.learn(documents(spark, rows()), labels(spark, rows()))
+    assert model.weights and all(t < 50 for t in model.thresholds)
+    given = rows(60) + odd_rows() + [(900, "VILEX4 rotten. vilex444! Rotten,rotten", "en", "s")]
+    found = toxicity.predict(documents(spark, given), model).collect()
+    want = {(r[0], r[1]): graded(r[1], model) for r in given}
+    for r in found:
+        severity, score = want[r["doc_id"], r["text"]]
+        assert r["severity"] == np.float64(severity).round(12) or abs(r["severity"] - severity) < 1e-9
+        assert abs(r["toxic_score"] - score) < 1e-9
+        assert r["grade"] == int(severity + 0.5)

@@ -23,11 +23,20 @@ PARTS = 16  # of the trigram table
 
 
 def trigrams(text: Column) -> Column:
-    """The distinct runs of three characters of a text in lower case."""
-    low = F.lower(text)
-    places = F.sequence(F.lit(1), F.length(low) - 2)
-    runs = F.transform(places, lambda i: F.substring(low, i, F.lit(3)))
-    return F.when(F.length(low) >= 3, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    """The distinct runs of three characters of a text in lower case, in one pass over it.
+
+    The text is split into characters once and bound to a lambda's variable: Spark finds a place
+    in a string by counting from its start, and repeats for every element what a lambda holds.
+    """
+
+    def runs(chars):
+        heads = F.slice(chars, F.lit(1), F.greatest(F.size(chars) - 2, F.lit(0)))
+        return F.transform(
+            heads, lambda c, i: F.concat(c, F.get(chars, i + 1), F.get(chars, i + 2))
+        )
+
+    each = F.transform(F.array(F.split(F.lower(text), "")), lambda chars: F.array_distinct(runs(chars)))
+    return F.coalesce(F.get(each, F.lit(0)), F.array().cast("array<string>"))
 
 
 def add(photos: DataFrame, root: str, loaded_at: Column, blocks: int = BLOCKS) -> None:

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +112,19 @@ def test_search_index(spark, make_photos, tmp_path):
     assert search_index.candidate_blocks(spark, root, "sunset zebra") == []
 
 
+def test_trigrams_of_a_long_text_take_one_pass(spark):
+    texts = ["", "ab", "aBc", "caf\u00e9 \U0001f600x\n\u0130 abab", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    df = df.select(F.lower("t").alias("low"), search_index.trigrams("t").alias("found"))
+    for low, found in df.collect():
+        want = list(dict.fromkeys((low or "")[i : i + 3] for i in range(len(low or "") - 2)))
+        assert found == want
+    began = time.monotonic()  # counting from the start for each place takes a hundred billion steps
+    long = spark.range(1).select(F.repeat(F.lit("\u00e9bcde"), 100_000).alias("t"))
+    assert len(long.select(search_index.trigrams("t")).first()[0]) == 5
+    assert time.monotonic() - began < 60
+
+
 def test_cleanup_is_applied_once_and_names_what_refers_to_it(spark, tmp_path):
     root = str(tmp_path)
     at = lambda n: dt.datetime(2024, 1, n)

@@ -21,6 +21,8 @@ TAG_SUMS = {
     "photos": "bigint", "weight": "bigint", "likes": "bigint", "downloads": "bigint",
     "views": "bigint", "like_rate": RATE, "download_rate": RATE, "paired": "bigint",
 }
+RATES = tuple(c for c, t in TAG_SUMS.items() if t == RATE)
+WORD = float(1 << 32)
 PAIR_SUMS = {c: "bigint" for c in ("photos", "weight", "likes", "downloads", "views")}
 TIMES = ("first_at", "last_at")
 
@@ -34,6 +36,20 @@ def _sums(names: dict[str, str]) -> list[Column]:
     return [F.sum(F.col("sign") * F.col(c)).cast(t).alias(c) for c, t in names.items()]
 
 
+def _halves(rate: Column) -> dict[str, Column]:
+    """A rate in millionths as two whole numbers, whose sums are exact and cost no decimals."""
+    units = rate * 1e6
+    high = F.floor(units / WORD)
+    return {"high": high, "low": F.floor(units - high.cast("double") * WORD + 0.5)}
+
+
+def _whole(name: str) -> Column:
+    """The sum of rates behind the sums of their halves."""
+    high, low = (F.sum(f"{name}_{half}").cast("decimal(20,0)") for half in ("high", "low"))
+    units = high * F.lit(int(WORD)).cast("decimal(10,0)") + low
+    return (units * F.lit("0.000001").cast("decimal(6,6)")).cast(RATE).alias(name)
+
+
 def tag_rows(photos: DataFrame) -> DataFrame:
     """One row for each photo and distinct tag with what it adds to its cell."""
     bags = tags.photo_bags(photos)
@@ -42,13 +58,14 @@ def tag_rows(photos: DataFrame) -> DataFrame:
     n = F.col("n")
 
     def rate(name):
-        return (n * X.per_view_rate(X.or_zero(name), X.or_zero("views"))).cast(RATE)
+        return _halves(n * X.per_view_rate(X.or_zero(name), X.or_zero("views")))
 
     return links.select(
         "tag", F.to_date("created_at").alias("day"), "created_at", F.lit(1).alias("photos"),
         n.cast("bigint").alias("weight"),
         *[(n * X.or_zero(c)).alias(c) for c in ("likes", "downloads", "views")],
-        rate("likes").alias("like_rate"), rate("downloads").alias("download_rate"),
+        *[v.alias(f"like_rate_{half}") for half, v in rate("likes").items()],
+        *[v.alias(f"download_rate_{half}") for half, v in rate("downloads").items()],
         ((F.col("_named") >= 2) & F.col("tag").isNotNull()).cast("int").alias("paired"),
     )
 
@@ -63,17 +80,23 @@ def pair_rows(photos: DataFrame) -> DataFrame:
 
 
 def tag_deltas(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """What changed photos add to each tag cell, and the times that left it and came to it."""
+    """What changed photos add to each tag cell, and the times that left it and came to it.
+
+    The rows are made once: they are added up by time first, and the times of a cell then.
+    """
     rows = _signed(old, new, tag_rows)
-    deltas = rows.groupBy(*TAG_KEYS).agg(*_sums(TAG_SUMS))
-    moved = rows.groupBy(*TAG_KEYS, "created_at").agg(F.sum("sign").alias("s")).where("s <> 0")
+    plain = {c: t for c, t in TAG_SUMS.items() if c not in RATES}
+    halves = {f"{c}_{half}": "bigint" for c in RATES for half in ("high", "low")}
+    by_time = rows.groupBy(*TAG_KEYS, "created_at").agg(
+        F.sum("sign").alias("s"), *_sums(plain | halves)
+    )
     at = F.col("created_at")
     lost, gained = F.when(F.col("s") < 0, at), F.when(F.col("s") > 0, at)
-    times = moved.groupBy(*TAG_KEYS).agg(
+    return by_time.groupBy(*TAG_KEYS).agg(
+        *[_whole(c) if c in RATES else F.sum(c).cast(t).alias(c) for c, t in TAG_SUMS.items()],
         F.min(lost).alias("lost_first"), F.max(lost).alias("lost_last"),
         F.min(gained).alias("new_first"), F.max(gained).alias("new_last"),
     )
-    return _beside(deltas, times, TAG_KEYS)
 
 
 def pair_deltas(old: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -120,7 +143,8 @@ def moved(deltas: DataFrame, cells: DataFrame | None, keys: list[str], sums: dic
 
 def rederived(touched: DataFrame, photos: DataFrame) -> DataFrame:
     """Tag cells whose times are stale with those of the ``photos`` of their days."""
-    rows = tag_rows(photos).select(*[F.col(k).alias(f"_{k}") for k in TAG_KEYS], "created_at")
+    day = F.to_date("created_at").alias("_day")
+    rows = photos.select(F.explode(F.array_distinct("tags")).alias("_tag"), day, "created_at")
     stale = touched.where("stale").select(*TAG_KEYS)
     same = F.col("tag").eqNullSafe(F.col("_tag")) & F.col("day").eqNullSafe(F.col("_day"))
     found = rows.join(stale, same).groupBy(*TAG_KEYS).agg(

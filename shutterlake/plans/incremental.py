@@ -63,9 +63,12 @@ def refresh(spark: SparkSession, root: str) -> int | None:
     files = checkpointed(fresh.select("file").distinct())
     if files.isEmpty():
         return None
-    changed = checkpointed(fresh.select("id").distinct())
-    new = checkpointed(_newest(stored.join(changed, "id", "left_semi")))
-    old = None if known is None else checkpointed(_newest(known.join(changed, "id", "left_semi")))
+    if known is None:  # all photos changed
+        old, new = None, checkpointed(_newest(stored))
+    else:
+        changed = checkpointed(fresh.select("id").distinct())
+        new = checkpointed(_newest(stored.join(changed, "id", "left_semi")))
+        old = checkpointed(_newest(known.join(changed, "id", "left_semi")))
     _move_tags(spark, root, old, new, stored, version)
     _move(spark, root, PAIRS, cells.pair_deltas(old, new), cells.PAIR_KEYS, cells.PAIR_SUMS, version)
     tables.append(files.withColumn("version", F.lit(version)).coalesce(1), root, LEDGER)

@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 import random
 import time
 
@@ -62,6 +63,20 @@ def test_cells_equal_the_analyses_of_all_photos(spark, make_photos, tmp_path, mo
     assert rows(days) == rows(want.agg(F.countDistinct("day")))
 
 
+def test_rates_are_added_exactly_and_rows_made_once(spark, make_photos):
+    photos = make_photos(
+        {"id": "1", "created_at": T0, "likes": 2**62, "views": 1, "tags": ["a", "a"]},
+        {"id": "2", "created_at": T0, "likes": 1, "views": 3, "tags": ["a"]},
+    )
+    one = make_photos({"id": "1", "created_at": T0, "likes": 2**62, "views": 1, "tags": ["a", "a"]})
+    left = cells.tag_deltas(one, photos)
+    got = left.select("like_rate", "weight", "lost_first", "new_first").first()
+    assert got == (decimal.Decimal("33.333333"), 1, None, T0)
+    made = left._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count("Generate explode") == 2  # one of each version, and no join beside them
+    assert "Join" not in made
+
+
 def test_pruning_loses_no_frequent_pair(spark, make_photos):
     rng = random.Random(6)
     photos = make_photos(*[

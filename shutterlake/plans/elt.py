@@ -180,8 +180,7 @@ def load_statistics(new: DataFrame, root: str, loaded_at: Column) -> None:
     last = tables.read_keyed(spark, root, LAST, ["photo_id"], LAST_ORDER)
     if last is None:
         last = spark.createDataFrame([], StructType.fromDDL(schemas.PHOTO_LAST_STATISTICS))
-    photos = new.select("photo_id").distinct()
-    last = checkpointed(last.join(photos, "photo_id", "left_semi").select(*new.columns))
+    last = checkpointed(last.join(new, "photo_id", "left_semi").select(*new.columns))
     newest = last.select("photo_id", F.col("recorded_at").alias("_last"))
     late = new.join(newest, "photo_id").where(F.col("recorded_at") <= F.col("_last"))
     known = last
@@ -192,21 +191,26 @@ def load_statistics(new: DataFrame, root: str, loaded_at: Column) -> None:
     deltas = deltas.withColumn("recorded_on", F.to_date("recorded_at"))
     keys = schemas.KEYS["photo_statistics"]
     tables.merge(checkpointed(deltas), root, "photo_statistics", keys, "recorded_on")
-    days = tables.with_bucket(snapshots.days_of(new), "photo_id", BUCKETS)
-    days.write.mode("append").partitionBy(tables.BUCKET).parquet(f"{root.rstrip('/')}/{DAYS}")
+    add_days(new, root)
     fresh = snapshots.latest_snapshots(new).join(newest, "photo_id", "left")
     fresh = fresh.where("_last is null or recorded_at >= _last")
     fresh = conform(fresh, schemas.PHOTO_LAST_STATISTICS)
     tables.add_changes(fresh, root, LAST, loaded_at)
 
 
+def add_days(snaps: DataFrame, root: str) -> None:
+    """Appends the days of snapshots; a bucket's rows meet first, else every task has files in all."""
+    days = tables.with_bucket(snapshots.days_of(snaps), "photo_id", BUCKETS)
+    days = days.hint("rebalance", tables.BUCKET)
+    days.write.mode("append").partitionBy(tables.BUCKET).parquet(f"{root.rstrip('/')}/{DAYS}")
+
+
 def history_beside(spark: SparkSession, root: str, late: DataFrame) -> DataFrame:
     """The stored snapshots on the days beside late ones, read from those days alone."""
     history = tables.read_table(spark, root, "photo_statistics")
     days = tables.read_table_or_none(spark, root, DAYS)
     if days is None:  # a table that was loaded before its days were kept
-        days = tables.with_bucket(snapshots.days_of(history), "photo_id", BUCKETS)
-        days.write.partitionBy(tables.BUCKET).parquet(f"{root.rstrip('/')}/{DAYS}")
+        add_days(history, root)
         days = tables.read_table(spark, root, DAYS)
     # at most one row for every bucket, then one for every day of the calendar
     buckets = tables.with_bucket(late.select("photo_id"), "photo_id", BUCKETS)

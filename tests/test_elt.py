@@ -315,3 +315,19 @@ def test_a_failed_model_skips_only_what_needs_it(spark):
         graph.run(spark, {"x": step("x", "y"), "y": step("y", "x")})
     with pytest.raises(ValueError):
         graph.run(spark, {"x": step("x", "z")})
+
+
+def test_days_of_a_load_lie_in_a_file_for_each_bucket(spark, tmp_path):
+    root, conf = str(tmp_path), "spark.sql.adaptive.coalescePartitions.enabled"
+    names = "photo_id string, recorded_at timestamp, downloads bigint, likes bigint, views bigint"
+    data = [(str(i), dt.datetime(2024, 1, 1 + i % 5), i, i, i) for i in range(2000)]
+    spark.conf.set(conf, "false")  # as on large inputs, many tasks have rows
+    try:
+        new = spark.createDataFrame(data, names)
+        elt.load_statistics(new, root, elt.F.lit(dt.datetime(2024, 2, 1)))
+    finally:
+        spark.conf.unset(conf)
+    files = list((tmp_path / elt.DAYS).glob("*/*.parquet"))
+    assert len(files) == elt.BUCKETS
+    days = elt.tables.read_table(spark, root, elt.DAYS)
+    assert days.agg(elt.F.count("*"), elt.F.sum(elt.F.bit_count("days"))).first() == (2000, 2000)

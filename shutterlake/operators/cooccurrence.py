@@ -73,8 +73,10 @@ def pruned(bags: DataFrame, min_count: int) -> DataFrame:
     """Bags without the tags that are on fewer than ``min_count`` photos.
 
     A pair is on no more photos than either of its tags, so no pair that frequent is lost, and
-    the pairs of a long tail of tags are never made. Costs two shuffles of (photo, tag) rows.
+    the pairs of a long tail of tags are never made. Costs two shuffles of (photo, tag) rows. The
+    bags are read three times, so they are written once.
     """
+    bags = checkpointed(bags)
     links = bags.select("id", F.explode(_tagged()).alias("t")).select("id", "t.tag", "t.n")
     often = links.groupBy("tag").agg(F.count("*").alias("_photos"))
     often = often.where(F.col("_photos") >= min_count).select("tag")
@@ -107,9 +109,10 @@ def pair_statistics(
     aggregate by (pair, day) first, which also splits a pair that is on most photos. With
     ``buckets`` the pairs are made twice, and those in light buckets are not shuffled.
     """
-    pairs = tag_pairs(bags)
-    if buckets:
-        pairs = heavy_pairs(pairs, min_count, buckets)
+    if buckets:  # the bags are read twice, so they are written once
+        pairs = heavy_pairs(tag_pairs(checkpointed(bags)), min_count, buckets)
+    else:
+        pairs = tag_pairs(bags)
     weight = F.sum("weight")
 
     def total(name):

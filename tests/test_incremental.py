@@ -77,6 +77,25 @@ def test_rates_are_added_exactly_and_rows_made_once(spark, make_photos):
     assert "Join" not in made
 
 
+def test_pruning_makes_its_bags_once(spark, make_photos):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    photos = make_photos(*[
+        {"id": str(i), "created_at": T0, "tags": ["a", "b", f"t{i % 3}"]} for i in range(30)
+    ])
+    bags = tags.photo_bags(photos)
+    want = rows(cooccurrence.pair_statistics(bags, 6))
+    counted = bags.mapInArrow(count, bags.schema)
+    got = cooccurrence.pair_statistics(cooccurrence.pruned(counted, 6), 6, buckets=64)
+    assert rows(got) == want
+    assert made.value == 30
+
+
 def test_pruning_loses_no_frequent_pair(spark, make_photos):
     rng = random.Random(6)
     photos = make_photos(*[

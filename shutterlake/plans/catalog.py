@@ -15,11 +15,12 @@ from shutterlake.operators import cells, charts, cooccurrence, daily, maintenanc
 from shutterlake.operators import photographers, quality, reads, search, snapshots, staging
 from shutterlake.operators import tags, upsert
 from shutterlake.plans import elt, incremental
-from shutterlake.session import SETTINGS, checkpointed, scratch
+from shutterlake.session import SETTINGS, checkpointed, remove, scratch, staged
 from shutterlake.sources import landing, search_index, star, tables
 from shutterlake.streaming.ingest import stream_photos
 
 AS_OF = star.AS_OF
+PACKED_LINES = 100_000  # of a compressed landing file, which one task reads as a whole
 LOG_AS_OF = "2024-01-30"  # the newest day of the events table
 RECORDED = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
@@ -76,6 +77,14 @@ def _landed_photos(spark, folder):
     return path
 
 
+def _packed(spark, lines, path):
+    """Landing files as a collector that compresses them drops them."""
+    with staged(spark):
+        packed = lines.write.option("compression", "gzip")
+        packed.option("maxRecordsPerFile", PACKED_LINES).text(path)
+    return path
+
+
 @query
 def ingest_photos(spark, folder):
     raw = landing.read_photos(spark, _landed_photos(spark, folder))
@@ -827,18 +836,19 @@ def photos_after_two_loads(spark, folder):
 @query
 def quarantine(spark, folder):
     """What two loads of the same cut files and log lines leave in quarantine."""
-    root, files = scratch(spark, "quarantine"), _landing(spark, folder)
-    raw = landing.read_photos(spark, f"{files}/photos")
+    root, files = scratch(spark, "quarantine"), scratch(spark, "landing")
     lines = star.table(spark, folder, "events").select(
         F.when(F.col("event_id") % 50 == 0, F.concat(F.lit('{"cut": '), "event_id"))
         .when(F.col("event_id") % 51 == 0, F.to_json(F.struct("ts", "event_id")))
         .otherwise('{"search_term": "x", "searched_at": "2024-01-01T00:00:00Z"}')
         .alias("value")
     )
-    lines.write.text(f"{files}/log")
+    raw = landing.read_photos(spark, _packed(spark, star.raw_lines(spark, folder), f"{files}/photos"))
+    log = elt.read_search_log(spark, _packed(spark, lines, f"{files}/log"))
     for _ in range(2):
         elt.load_photos(raw, root, RECORDED)
-        elt.load_search_trends(elt.read_search_log(spark, f"{files}/log"), root, RECORDED)
+        elt.load_search_trends(log, root, RECORDED)
+    remove(spark, files)
     kept = tables.read_table(spark, root, "quarantine")
     return kept.groupBy("feed", "reason", "recorded_on").agg(
         F.count("id").alias("ids"), F.countDistinct(normalize.CORRUPT).alias("texts"),

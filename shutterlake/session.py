@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Spark's own setting: shuffle files go with the action that made them
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_session(app: str = "shutterlake", **conf: str) -> SparkSession:
     """A session with the settings the operators expect; ``conf`` adds or overrides."""
@@ -45,3 +50,35 @@ def checkpointed(df):
     """``df`` written once to the shared folder, so that several readers do not recompute it."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def staged(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function like ``checkpointed`` for frames that nothing reads after the block.
+
+    They are written as compressed Parquet and removed at the block's end. Shuffle files go after
+    each action inside the block; else both stay until the driver collects its garbage.
+    """
+    paths: list[str] = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        paths.append(scratch(spark, "staged"))
+        df.write.option("compression", "zstd").parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield stage
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

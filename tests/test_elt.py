@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 import random
+import time
+from pathlib import Path
 
 import pytest
 
@@ -8,7 +10,7 @@ from conftest import rows
 from pyspark.sql.types import StructType
 from shutterlake import schemas
 from shutterlake.operators import snapshots
-from shutterlake.plans import elt, graph
+from shutterlake.plans import catalog, elt, graph
 from shutterlake.session import shared_folder
 from shutterlake.sources import tables
 from shutterlake.streaming.ingest import stream_photos
@@ -331,3 +333,41 @@ def test_days_of_a_load_lie_in_a_file_for_each_bucket(spark, tmp_path):
     assert len(files) == elt.BUCKETS
     days = elt.tables.read_table(spark, root, elt.DAYS)
     assert days.agg(elt.F.count("*"), elt.F.sum(elt.F.bit_count("days"))).first() == (2000, 2000)
+
+
+def star_tables(spark, folder):
+    """Orders, customers and events; one order in 23 lands as a cut line, one in 19 has no width."""
+    day = dt.datetime(2024, 1, 5)
+    orders = [(k, 1 + k % 7, "O", 100.0 + k, day, "1-URGENT") for k in range(1, 461)]
+    events = [(k, day, k % 9, "click", 1.0, '{"k": 1}') for k in range(1, 301)]
+    for name, data, columns in (
+        ("orders", orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        ("customer", [(k, f"c{k}", "AUTO") for k in range(1, 8)], "c_custkey bigint, c_name string, c_mktsegment string"),
+        ("events", events, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"),
+    ):
+        spark.createDataFrame(data, columns).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def left_over(spark, work):
+    """What ``work`` returns, the names of the folders with files that it left, and its shuffles."""
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    found = lambda: {p.relative_to(shared).parts for p in shared.rglob("part-*") if p.is_file()}
+    manager = spark._jsc.sc().env().blockManager().diskBlockManager()
+    blocks = lambda: {b for b in manager.getAllBlocks().mkString(" ").split() if b.startswith("shuffle")}
+    files, shuffles = found(), blocks()
+    got = work()
+    until = time.time() + 20
+    while blocks() - shuffles and time.time() < until:  # Spark removes them in the background
+        time.sleep(0.2)
+    folders = {p[1].rsplit("-", 1)[0] if p[0] == "shutterlake" else p[0] for p in found() - files}
+    return got, folders, blocks() - shuffles
+
+
+def test_quarantine_leaves_nothing_but_its_tables(spark, tmp_path):
+    folder = star_tables(spark, tmp_path / "star")
+    got, folders, shuffles = left_over(spark, lambda: catalog.QUERIES["quarantine"](spark, folder))
+    assert (folders, shuffles) == ({"quarantine"}, set())
+    assert rows(got, "feed", "reason", "ids", "texts", "lines") == [
+        ("photos", "malformed", 0, 20, 20), ("photos", "width", 23, 0, 23),
+        ("searches", "malformed", 0, 6, 6), ("searches", "search_term,searched_at", 0, 0, 5)]

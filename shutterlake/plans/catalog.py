@@ -884,10 +884,11 @@ def job_log(spark, folder):
 @query
 def stream_upsert_photos(spark, folder):
     """The landing files loaded as a stream, twice: the table is as after one load."""
-    root = scratch(spark, "stream")
-    path = _landed_photos(spark, folder)
+    root, path = scratch(spark, "stream"), scratch(spark, "landing-photos")
+    _packed(spark, star.raw_lines(spark, folder), path)
     for name in ("first", "again"):
         stream_photos(spark, path, root, f"{root}/_{name}", RECORDED).awaitTermination()
+    remove(spark, path)
     photos = elt.read_photos(spark, root)
     return _ntz(photos, "created_at").select(
         "id", "created_at", "width", "height", "color", "likes", "views", "user_id",

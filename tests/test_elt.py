@@ -371,3 +371,12 @@ def test_quarantine_leaves_nothing_but_its_tables(spark, tmp_path):
     assert rows(got, "feed", "reason", "ids", "texts", "lines") == [
         ("photos", "malformed", 0, 20, 20), ("photos", "width", 23, 0, 23),
         ("searches", "malformed", 0, 6, 6), ("searches", "search_term,searched_at", 0, 0, 5)]
+
+
+def test_stream_leaves_nothing_but_its_tables(spark, tmp_path):
+    folder = star_tables(spark, tmp_path / "star")
+    query = catalog.QUERIES["stream_upsert_photos"]
+    got, folders, shuffles = left_over(spark, lambda: query(spark, folder))
+    assert (folders, shuffles) == ({"stream"}, set())
+    good = [k for k in range(1, 461) if k % 19 and k % 23]
+    assert rows(got, "id", "views") == sorted(((str(k), 10 + k // 10) for k in good), key=repr)
